@@ -6,15 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .html import op3_inferred_wrappers
 from .mixing import op5_hypergeometric_mix
 from .packing import op4_best_fit_decreasing
+from .pii import op9_boosted_candidates
+from .quality import op8_weak_supervision
+from .secrets import op6_multipart_secrets
 from .sharding import op2_sampled_splitters
 from .topk import OP10_SQL, op10_uniform_threshold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sampled_splitters": op2_sampled_splitters,
+    "op3_inferred_wrappers": op3_inferred_wrappers,
     "op4_best_fit_decreasing": op4_best_fit_decreasing,
     "op5_hypergeometric_mix": op5_hypergeometric_mix,
+    "op6_multipart_secrets": op6_multipart_secrets,
+    "op8_weak_supervision": op8_weak_supervision,
+    "op9_boosted_candidates": op9_boosted_candidates,
     "op10_uniform_threshold": op10_uniform_threshold,
 }
 ORACLE_SQL: dict[str, str] = {"op10_uniform_threshold": OP10_SQL}
