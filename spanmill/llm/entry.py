@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .html import op3_inferred_wrappers
 from .mixing import op5_hypergeometric_mix
+from .neardup import op7_order_minhash
 from .packing import op4_best_fit_decreasing
 from .pii import op9_boosted_candidates
 from .quality import op8_weak_supervision
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_best_fit_decreasing": op4_best_fit_decreasing,
     "op5_hypergeometric_mix": op5_hypergeometric_mix,
     "op6_multipart_secrets": op6_multipart_secrets,
+    "op7_order_minhash": op7_order_minhash,
     "op8_weak_supervision": op8_weak_supervision,
     "op9_boosted_candidates": op9_boosted_candidates,
     "op10_uniform_threshold": op10_uniform_threshold,

@@ -156,6 +156,26 @@ def write_mix(mixed: DataFrame, path: str, files_per_shard: int = 16) -> None:
     salted.repartition("shard", "_file").sortWithinPartitions("shard", "_file", "shuffle_key").drop("_file").write.partitionBy("shard").parquet(path)
 
 
+def mixed_documents(docs: DataFrame, *, text_col: str = "text", chars_col: str = "n_chars", **options) -> DataFrame:
+    """docs as the mix takes them, with the columns of docs: a row for each repeat of a document.
+
+    The one document of a source that its target cuts keeps the words taken, joined by single spaces.
+    """
+    rest = tuple(c for c in docs.columns if c not in (options.get("id_col", "doc_id"), options.get("source_col", "source")))
+    plan = plan_mix(docs, text_col=text_col, carry=rest, **options)
+    epochs = F.expr("""filter(transform(sequence(0, 2), e -> named_struct(
+        'start', array_min(transform(filter(pieces, p -> p.epoch = e), p -> p.start)),
+        'length', aggregate(filter(pieces, p -> p.epoch = e), 0L, (n, p) -> n + p.length))), x -> x.length > 0)""")
+    rows = plan.withColumn("_take", F.explode(epochs))
+    words = F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0))
+    cut = F.array_join(F.slice(words, (F.col("_take.start") + 1).cast("int"), F.col("_take.length").cast("int")), " ")
+    text = F.when(F.col("_take.length") < F.col("size"), cut).otherwise(F.col(text_col))
+    out = rows.withColumn(text_col, text)
+    if chars_col in docs.columns:
+        out = out.withColumn(chars_col, F.length(text_col).cast(docs.schema[chars_col].dataType))
+    return out.select(*docs.columns)
+
+
 def op5_hypergeometric_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = plan_mix(read(spark, sf_dir, "documents"))
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda total, p: total + p["length"])

@@ -203,8 +203,11 @@ def scan_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return found.select(id_col, *[count(k) for k in BASE], F.sha2(_listed(F.col("_base")).cast("binary"), 256).alias("base_sha256"), _listed(F.col("detections")).alias("spans"))
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with each detected span of the text replaced by its kind in brackets; overlapping spans become one."""
+def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """docs with each detected span of the text replaced by its kind in brackets; overlapping spans become one.
+
+    chars_col, if docs has it, becomes the length of the new text where something was replaced.
+    """
     found = detect(docs, text_col).withColumn("_by_start", F.array_sort(F.transform("detections", lambda s: F.struct(s["start"], s["end"], s["kind"]))))
     text = F.col("_text")
 
@@ -215,7 +218,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     done = F.aggregate("_by_start", first, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
     new = F.when(F.size("_by_start") > 0, done).otherwise(F.col(text_col))
-    return found.withColumn(text_col, new).select(*docs.columns)
+    out = found.withColumn(text_col, new)
+    if chars_col in docs.columns:
+        out = out.withColumn(chars_col, F.when(F.size("_by_start") > 0, F.length(text_col)).otherwise(F.col(chars_col)).cast(docs.schema[chars_col].dataType))
+    return out.select(*docs.columns)
 
 
 def op9_boosted_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,7 +71,7 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: DataFrame, names: list[str], rounds: int = 40, tolerance: float = 1e-6) -> tuple[float, dict[tuple[str, int, int], float]]:
+def estimate(patterns: DataFrame, names: list[str], rounds: int = 30, tolerance: float = 1e-4) -> tuple[float, dict[tuple[str, int, int], float]]:
     """Expectation-maximisation over a table of vote patterns and counts n.
 
     Returns the share of good documents, and P(vote | class) for each (rule, class 0 or 1, vote).
