@@ -1,19 +1,19 @@
-"""Token ids by a public byte-level BPE file, with a cache of pre-tokens per Python worker.
+"""Token ids by a public byte-level BPE file.
 
-A text is split by the file's own pre-tokenizer rule; each distinct pre-token is encoded once by the
-tokenizers library and kept as little-endian bytes, so that most words cost a dictionary lookup.
+tiktoken encodes, with the file's own vocabulary as ranks, if the file's merges stand in the order of
+their ids; else, and for texts that hold the file's special tokens, the tokenizers library does. Ids
+always equal those of the tokenizers library.
 """
 
 from __future__ import annotations
 
+import json
+import sys
+from array import array
 from functools import lru_cache
 
-import numpy as np
-import regex
-
-#: Fixed values of byte-level BPE files: the pre-token rule, white space spelt out as in Unicode's White_Space.
-_SPACE = r"\t-\r \x85\xa0  -     　"
-PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
+#: A fixed value of byte-level BPE files: the pre-token rule.
+PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def default_tokenizer() -> str:
@@ -22,36 +22,50 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class _Cache(dict):
-    """Pre-token -> its ids as bytes. At most `most` entries are kept; others are encoded each time."""
+def _byte_of() -> dict[str, int]:
+    """The printable character that byte-level files write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
 
-    def __init__(self, tokenizer, most: int):
-        self.tokenizer, self.most = tokenizer, most
+def _fast(path: str):
+    """tiktoken's encoder for the file, or None where its merges aren't in the order of ids."""
+    import tiktoken
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) < self.most and len(piece) < 64:
-            self[piece] = ids
-        return ids
+    with open(path, encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    vocab, byte_of = model["vocab"], _byte_of()
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    order = [vocab["".join(m)] for m in merges]
+    if order != sorted(order):
+        return None
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items() if all(c in byte_of for c in token) and i < len(merges) + 256}
+    return tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 class Encoder:
-    """encode(text) gives the ids, little-endian unsigned 32 bits each, equal to those of the tokenizers library."""
+    """encode(text) gives the ids, little-endian unsigned 32 bits each."""
 
-    def __init__(self, path: str, cache_entries: int = 400_000):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        self.find = regex.compile(PRE_TOKEN).findall
-        self.special = {t.content: np.array([i], dtype="<u4").tobytes() for i, t in tokenizer.get_added_tokens_decoder().items()}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.ids = _Cache(tokenizer, cache_entries)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.fast = _fast(path)
+        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def slow(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> bytes:
-        if self.cut is None or not any(s in text for s in self.special):
-            return b"".join(map(self.ids.__getitem__, self.find(text)))
-        parts = (self.special.get(x) or b"".join(map(self.ids.__getitem__, self.find(x))) for x in self.cut.split(text) if x)
-        return b"".join(parts)
+        if not text or self.fast is None or any(s in text for s in self.specials):
+            ids = self.slow(text)
+        else:
+            ids = self.fast(text)
+        packed = array("I", ids)
+        if sys.byteorder == "big":
+            packed.byteswap()
+        return packed.tobytes()
 
 
 @lru_cache(maxsize=2)
