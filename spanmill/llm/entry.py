@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .counts import op1_offset_attribution
 from .html import op3_inferred_wrappers
 from .mixing import op5_hypergeometric_mix
 from .neardup import op7_order_minhash
@@ -17,6 +18,7 @@ from .sharding import op2_sampled_splitters
 from .topk import OP10_SQL, op10_uniform_threshold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_offset_attribution": op1_offset_attribution,
     "op2_sampled_splitters": op2_sampled_splitters,
     "op3_inferred_wrappers": op3_inferred_wrappers,
     "op4_best_fit_decreasing": op4_best_fit_decreasing,

@@ -51,9 +51,20 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.fast = _fast(path)
+        self.fast, self._lengths = _fast(path), None
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+    def byte_lengths(self):
+        """The length in bytes of each id's text, as an array."""
+        if self._lengths is None:
+            import numpy as np
+
+            vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+            self._lengths = np.zeros(max(vocab.values()) + 1, np.int64)
+            for token, i in vocab.items():  # byte-level files write one character for each byte
+                self._lengths[i] = len(token.encode()) if token in self.specials else len(token)
+        return self._lengths
+
     def slow(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
