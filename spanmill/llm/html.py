@@ -196,6 +196,11 @@ def _fold_end(out: list, longest: int = 24) -> None:
             return
 
 
+def _same(a: list, b: list) -> bool:
+    """Whether two items align: equal keys, and for texts equal paths."""
+    return a[0] == b[0] and (a[0] != "#" or a[2][0] == b[2][0])
+
+
 def _merge_item(a: list, b: list) -> list:
     optional = a[1] or b[1]
     if a[0] == "#":
@@ -231,18 +236,18 @@ def _lifted(items: list, other: list) -> list:
 
 def merge(a: list, b: list) -> list:
     """The union-free expression that covers both: a longest common subsequence, the rest optional."""
-    if len(a) == len(b) and all(x[0] == y[0] for x, y in zip(a, b)):
+    if len(a) == len(b) and all(map(_same, a, b)):
         return [_merge_item(x, y) for x, y in zip(a, b)]
     a, b = _lifted(a, b), _lifted(b, a)
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
-        row, below, key = best[i], best[i + 1], a[i][0]
+        row, below, item = best[i], best[i + 1], a[i]
         for j in range(m - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if key == b[j][0] else max(below[j], row[j + 1])
+            row[j] = below[j + 1] + 1 if _same(item, b[j]) else max(below[j], row[j + 1])
     out, i, j = [], 0, 0
     while i < n or j < m:
-        if i < n and j < m and a[i][0] == b[j][0]:
+        if i < n and j < m and _same(a[i], b[j]):
             out.append(_merge_item(a[i], b[j]))
             i, j = i + 1, j + 1
         elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
@@ -292,22 +297,19 @@ def _role(path: str) -> int:
     return role
 
 
-def content_of(items: list, pages: int) -> tuple[list[str], list[int]]:
-    """Paths whose texts are the article, and fixed texts under them that are not.
+def content_of(items: list, pages: int) -> tuple[list[list[str]], list[int]]:
+    """Paths whose texts are the article, best-marked regions first, and fixed texts that are not.
 
-    The article stands in the best-marked region that holds text. Only where no element or name marks
-    one do fixed texts, equal on all of at least three pages, count as the site's own.
+    A page's article stands in the first of these regions that holds text there. Only where no
+    element or name marks a region do fixed texts, equal on all of at least three pages, count as the
+    site's own.
     """
     texts = list(_texts(items))
     roles = {t[0]: _role(t[0]) for t in texts}
-    best = max([r for r in roles.values()], default=-1)
-    if best < 0:
-        return [], []
-    paths = sorted(p for p, r in roles.items() if r >= max(best, 0) or best == 3 and r == 3)
-    fixed = sorted({t[1] for t in texts if t[1] is not None and t[0] in paths}) if best == 0 and pages >= 3 else []
-    if fixed and not any(t[1] is None for t in texts if t[0] in paths):
-        fixed = []
-    return paths, fixed
+    levels = [own for r in (3, 2, 1, 0) if (own := sorted(p for p, role in roles.items() if role >= r)) and r in roles.values()]
+    plain = [t for t in texts if roles[t[0]] == 0]
+    fixed = sorted({t[1] for t in plain if t[1] is not None}) if pages >= 3 and any(t[1] is None for t in plain) else []
+    return levels, fixed
 
 
 def _host(url) -> str:
@@ -333,8 +335,7 @@ def _combine(frame: pd.DataFrame) -> pd.DataFrame:
     for text, n in sorted(zip(frame["wrapper"], frame["pages"])):
         items = json.loads(text)
         wrapper, pages = items if wrapper is None else merge(wrapper, items), pages + n
-    paths, fixed = content_of(wrapper, pages)
-    return pd.DataFrame([(frame["host"].iloc[0], expression(wrapper), int(pages), json.dumps([paths, fixed]))], columns=["host", "wrapper", "pages", "content"])
+    return pd.DataFrame([(frame["host"].iloc[0], expression(wrapper), int(pages), json.dumps(content_of(wrapper, pages)))], columns=["host", "wrapper", "pages", "content"])
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -344,24 +345,27 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 @lru_cache(maxsize=20_000)
-def _loaded(content: str) -> tuple[frozenset, frozenset]:
-    paths, fixed = json.loads(content)
-    return frozenset(paths), frozenset(fixed)
+def _loaded(content: str) -> tuple[list[frozenset], frozenset]:
+    levels, fixed = json.loads(content)
+    return [frozenset(paths) for paths in levels], frozenset(fixed)
 
 
 def main_text(html: str, content: str) -> str:
-    paths, fixed = _loaded(content)
+    levels, fixed = _loaded(content)
     path: list[str] = []
-    out = []
+    found = []
     for kind, text in stream(html):
         if kind == "#":
-            if "/".join(path) in paths and not (fixed and crc32(text.encode()) in fixed):
-                out.append(text)
+            found.append(("/".join(path), text))
         elif kind == "</":
             path.pop()
         else:
             path.append(kind[1:-1])
-    return "\n".join(out)
+    for paths in levels:
+        out = [t for p, t in found if p in paths and not (fixed and _role(p) == 0 and crc32(t.encode()) in fixed)]
+        if out:
+            return "\n".join(out)
+    return ""
 
 
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -65,6 +65,12 @@ def test_copies_of_one_page_keep_their_text(spark):
     assert {r["text"] for r in out.collect()} == {TEXT}
 
 
+def test_layouts_of_one_host(spark):
+    rows = [(k, "http://e.example/", f"<html><body>{LAYOUTS[name]}</body></html>") for k, name in enumerate(sorted(LAYOUTS))]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(out) == len(LAYOUTS) and {r["text"] for r in out} == {TEXT}
+
+
 def test_nulls_and_odd_markup(spark):
     rows = [(1, None, None), (2, "x", ""), (None, "http://c.example/a", "plain text & more"), (3, "http://c.example/b", "<p>a<p>b</div></p><b>c"), (4, "http://c.example/c", "<<>><p a='>'>q</p>"), (5, "http://d.example", "<article>" + "<p>w</p>" * 3000)]
     got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
