@@ -18,15 +18,20 @@ def _stars(pairs: DataFrame, larger_only: bool) -> DataFrame:
     return near.unionAll(least.select(F.col("u").alias("a"), F.col("_m").alias("b")))
 
 
+#: Below so many links a round runs in one task, without a shuffle; that is some 30 MB.
+SMALL_LINKS = 500_000
+
+
 def components(links: DataFrame, most_rounds: int = 30) -> DataFrame:
     """(key, root) for every key in a link (a, b); root is the least key of its component."""
     edges = materialize(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    state = None
+    small, state = edges.count() <= SMALL_LINKS, None
     for _ in range(most_rounds):
+        edges = edges.coalesce(1) if small else edges
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = _stars(both, True).where(F.col("a") != F.col("b")).distinct()
-        small = _stars(large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), False)
-        edges = materialize(small.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
+        near = _stars(large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), False)
+        edges = materialize(near.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars")
         now = edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first()
         if now == state:
             break

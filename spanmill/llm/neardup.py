@@ -7,8 +7,8 @@ keys that share one of BANDS bands are candidates.
 
 Candidates are not expanded into pairs. In each bucket the key that shares most with others is the
 hub; all members are verified against it, and links grow into components. Buckets that still hold
-several components get further hubs, and at last all pairs that lie across components, so no
-candidate pair is left between components unverified.
+several components are cut into blocks of bounded size, in which the members across components are
+aligned, so no candidate pair is left between components unverified.
 
 The similarity of two texts is LCS / (n + m - LCS) over their shingle sequences, at least THRESHOLD;
 the alignment runs bit-parallel in the band that the threshold allows. It equals the Jaccard
@@ -36,8 +36,8 @@ from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 L, ROWS, BANDS = 2, 3, 32
-#: Hub rounds before all remaining pairs are verified, and the bound for broadcasting keys or ids.
-HUB_ROUNDS, BROADCAST_ROWS = 2, 1_000_000
+#: Members in a chunk of a bucket, and the bound for broadcasting keys or ids.
+BLOCK_ROWS, BROADCAST_ROWS = 500, 1_000_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 2**64))
@@ -181,20 +181,87 @@ def _signatures(bands: int, rows: int, take: int):
     return run
 
 
-def _word_bytes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in batches:
-        yield pd.DataFrame({"key": frame["key"], "words": [(word_hashes(t) >> np.uint64(32)).astype("<u4").tobytes() for t in frame["text"].array]})
+def _word_bytes(bands: int, rows: int, take: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sketch = Sketch(bands, rows, take)
+        for frame in batches:
+            own = [word_hashes(t) for t in frame["text"].array]
+            found = [sketch.of(s).view(np.int64) if len(s := shingles(w)) else np.zeros(0, np.int64) for w in own]
+            yield pd.DataFrame({"key": frame["key"], "words": [(w >> np.uint64(32)).astype("<u4").tobytes() for w in own], "bands": found})
+
+    return run
+
+
+def _sequence(raw: bytes) -> np.ndarray:
+    return shingles(np.frombuffer(raw, "<u4").astype(np.uint64))
 
 
 def _similar(threshold: float):
     @F.pandas_udf(T.BooleanType())
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        of = lambda raw: shingles(np.frombuffer(raw, "<u4").astype(np.uint64))
-        return pd.Series([aligned(of(x), of(y), threshold) > 0 for x, y in zip(a, b)], dtype=bool)
+        return pd.Series([aligned(_sequence(x), _sequence(y), threshold) > 0 for x, y in zip(a, b)], dtype=bool)
 
     return similar
 
 
+def _block(threshold: float):
+    """Links across components within one block of a bucket.
+
+    A block holds a chunk of the bucket's largest component and a chunk of its other members, or two
+    chunks of other members. A pair is aligned in the first band it shares, so once in all.
+    """
+
+    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        bucket, kind, i, j = key
+        bands = np.stack(frame["bands"].to_numpy())
+        roots = frame["root"].astype("category").cat.codes.to_numpy()
+        chunks, major = frame["chunk"].to_numpy(), frame["major"].to_numpy()
+        texts = [_sequence(w) for w in frame["words"]]
+        sizes = np.array([len(t) for t in texts])
+        out, keys, at = [], frame["key"].to_numpy(), np.arange(len(frame))
+        for x in at:
+            if kind == "large":
+                if not major[x]:
+                    continue
+                other = ~major
+            else:
+                other = at > x if i == j else chunks == j
+                if i != j and chunks[x] != i:
+                    continue
+            small, large = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
+            others = np.flatnonzero(other & (roots != roots[x]) & (small >= threshold * large - 1e-9))
+            if not len(others):
+                continue
+            same = bands[others] == bands[x]
+            first = same.argmax(axis=1)
+            for y in others[bands[x][first] == bucket]:
+                if aligned(texts[x], texts[y], threshold) > 0:
+                    out.append((max(keys[x], keys[y]), min(keys[x], keys[y])))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return run
+
+
+def _blocked(members: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members (bucket, key, root) of one bucket in different components.
+
+    No pairs are dealt out: a member goes to the blocks it takes part in, at most one for each
+    BLOCK_ROWS members of its bucket, and no two chunks of the largest component ever meet.
+    """
+    each = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    per = each.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("_top"), F.sum("n").alias("_all"))
+    chunks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK_ROWS)).cast("int")
+    placed = members.select("bucket", "key", "root").join(per, "bucket").select(
+        "bucket", "key", "root", (F.col("root") == F.col("_top.root")).alias("major"), chunks(F.col("_top.n")).alias("_a"), chunks(F.col("_all") - F.col("_top.n")).alias("_b")
+    ).withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(F.col("major"), F.col("_a")).otherwise(F.col("_b"))).cast("int"))
+    met = placed.join(words, "key").withColumn("_block", F.explode(F.expr("""
+        if(major, transform(sequence(0, _b - 1), j -> named_struct('kind', 'large', 'i', chunk, 'j', j)),
+           concat(transform(sequence(0, _a - 1), i -> named_struct('kind', 'large', 'i', i, 'j', chunk)),
+                  transform(sequence(0, _b - 1), j -> named_struct('kind', 'small', 'i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
+    own = met.select("bucket", "_block.*", "key", "root", "major", "chunk", "words", "bands")
+    return own.groupBy("bucket", "kind", "i", "j").applyInPandas(_block(threshold), "a binary, b binary").distinct()
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, take: int = L) -> DataFrame:
     """doc_id, key, class_id: one row per row of docs; class_id is the least doc_id of its class."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -205,47 +272,31 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: st
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(placed.join(crowded, "bucket"), "neardup-members")
     central = members.groupBy("key").agg(F.sum("n").alias("score"))
-    members = materialize(members.join(central, "key").select("bucket", "key", "score", F.col("key").alias("root")), "neardup-scored")
+    members = materialize(members.join(central, "key").select("bucket", "key", "score"), "neardup-scored")
     keys = members.select("key").distinct()
     few = keys.count() <= BROADCAST_ROWS
     wanted = texts.join(F.broadcast(keys) if few else keys, "key", "left_semi")
     least = signed.groupBy("key").agg(F.min("doc_id").alias("_least"))
     wanted = wanted.join(least, "key").where(F.col("doc_id").eqNullSafe(F.col("_least"))) if not few else wanted
-    words = materialize(wanted.mapInPandas(_word_bytes, "key binary, words binary").groupBy("key").agg(F.first("words").alias("words")), "neardup-words")
+    words = materialize(wanted.mapInPandas(_word_bytes(bands, rows, take), "key binary, words binary, bands array<long>").groupBy("key").agg(F.first("words").alias("words"), F.first("bands").alias("bands")), "neardup-words")
     similar = _similar(threshold)
 
-    def verified(pairs: DataFrame, label: str) -> DataFrame:
-        own = pairs.join(words.select(F.col("key").alias("a"), F.col("words").alias("_wa")), "a").join(words.select(F.col("key").alias("b"), F.col("words").alias("_wb")), "b")
-        return materialize(own.select("a", "b", similar("_wa", "_wb").alias("linked")), label)
-
-    def pair(x: str, y: str) -> list:
-        return [F.greatest(x, y).alias("a"), F.least(x, y).alias("b")]
-
-    tried, roots = None, None
-    for turn in range(HUB_ROUNDS + 1):
-        if turn < HUB_ROUNDS:
-            own = members
-            for _ in range(1 + turn):  # the hub of the turn is not in the component of the hubs before
-                hubs = own.groupBy("bucket").agg(F.max(F.struct("score", "key", "root")).alias("h")).select("bucket", F.col("h.key").alias("hub"), F.col("h.root").alias("hub_root"))
-                joined = own.join(hubs, "bucket").where(F.col("root") != F.col("hub_root"))
-                own = joined.select("bucket", "key", "score", "root")
-            met = members.join(hubs, "bucket").where(F.col("root") != F.col("hub_root"))
-            pairs = met.select(*pair("key", "hub")).distinct()
-        else:
-            other = members.select("bucket", F.col("key").alias("key2"), F.col("root").alias("root2"))
-            pairs = members.join(other, "bucket").where(F.col("root") < F.col("root2")).select(*pair("key", "key2")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = verified(pairs, f"neardup-pairs-{turn}")
-        tried = fresh if tried is None else tried.unionAll(fresh)
-        roots = components(tried.where("linked").select("a", "b"))
-        if turn == HUB_ROUNDS:
-            break
-        labelled = members.drop("root").join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        mixed = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("bucket")
-        members = materialize(labelled.join(mixed, "bucket", "left_semi").select("bucket", "key", "score", "root"), f"neardup-members-{turn}")
-        if members.isEmpty():
-            break
+    hubs = members.groupBy("bucket").agg(F.max(F.struct("score", "key")).alias("h")).select("bucket", F.col("h.key").alias("hub"))
+    pairs = members.join(hubs, "bucket").where(F.col("key") != F.col("hub")).select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()
+    side = lambda k: words.select(F.col("key").alias(k), F.col("words").alias(f"_w{k}"))
+    checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", similar("_wa", "_wb").alias("linked"))
+    roots = components(materialize(checked, "neardup-hubs").where("linked").select("a", "b"))
+    labelled = members.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+    several = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("bucket")
+    mixed = materialize(labelled.join(several, "bucket", "left_semi"), "neardup-mixed")
+    if not mixed.isEmpty():
+        linked = materialize(_blocked(mixed, words, threshold), "neardup-links")
+        if not linked.isEmpty():  # the new links join components: a graph over their roots
+            of = lambda c: F.coalesce(f"_r{c}", c).alias(c)
+            over = linked.join(roots.select(F.col("key").alias("a"), F.col("root").alias("_ra")), "a", "left").join(roots.select(F.col("key").alias("b"), F.col("root").alias("_rb")), "b", "left")
+            merged = components(over.select(of("a"), of("b"))).select(F.col("key").alias("root"), F.col("root").alias("_top"))
+            moved = roots.join(merged, "root", "left").select("key", F.coalesce("_top", "root").alias("root"))
+            roots = materialize(moved.unionAll(merged.select(F.col("root").alias("key"), F.col("_top").alias("root"))).distinct(), "neardup-roots")
     named = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
     classes = named.groupBy("root").agg(F.min("_least").alias("class_id"))
     class_of = named.join(classes, "root").select("key", "class_id")
@@ -257,10 +308,15 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The document with the least id of each class, with all its columns; of its repeated rows, one."""
+    """The document with the least id of each class, with all its columns; of its repeated rows, one.
+
+    Documents without an id stay, unless their class has one with an id or they are equal.
+    """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
-    gone = materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone")).distinct(), "neardup-gone")
-    twice = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("doc_id").count().where("count > 1")
+    own = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    gone = materialize(found.where(~own).select(F.col("doc_id").alias("_id"), F.col("key").alias("_of")).distinct(), "neardup-gone")
+    repeated = found.where(own).groupBy("doc_id", "key").count().where("count > 1")
+    keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     small = gone.count() <= BROADCAST_ROWS
-    kept = docs.join(F.broadcast(gone) if small else gone, docs[id_col].cast("long").eqNullSafe(F.col("_gone")), "left_anti")
-    return kept if twice.isEmpty() else kept.dropDuplicates([id_col])
+    kept = keyed.join(F.broadcast(gone) if small else gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of")), "left_anti")
+    return (kept if repeated.isEmpty() else kept.dropDuplicates([id_col, "_key"])).drop("_key")
