@@ -3,7 +3,8 @@
 Generators of high recall propose spans, which may overlap. Each has features of its format (digits,
 separators, check digits) and its context (characters beside it, words before it). Boosted trees,
 trained here on a bounded set of written examples, score them; a threshold per kind, set on held-out
-examples for PRECISION, selects redactions. Spans of the base patterns always stay.
+examples for PRECISION, selects redactions. Spans of the base patterns always stay, and what fails a
+base pattern's condition is reported only as another kind.
 
 Offsets come from splitting the text at the matches of a pattern: the lengths of what lies between
 and of the matches add up to code-point offsets. Everything happens within the row: no shuffle.
@@ -184,7 +185,7 @@ def detect(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.struct(rank(s).alias("rank"), *[s[c].alias(c) for c in ("start", "end", "kind", "value")], _is_base(s).alias("base"), score.alias("score"), (score >= limit(s)).alias("picked"))
 
     own = candidates(docs, text_col).withColumn("_scored", F.transform("_spans", scored)).drop("_spans")
-    own = own.withColumn("_picked", F.filter("_scored", lambda s: s["base"] | s["picked"])).drop("_scored")
+    own = own.withColumn("_picked", F.filter("_scored", lambda s: s["base"] | (s["picked"] & ~s["kind"].isin(*BASE)))).drop("_scored")
     # Of overlapping spans the base ones stay; of others the one of highest score, then of the first kind.
     better = lambda s: F.exists("_picked", lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]) & (
         o["base"] | (o["score"] > s["score"]) | ((o["score"] == s["score"]) & (o["rank"] < s["rank"]))))
