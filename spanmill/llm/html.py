@@ -20,9 +20,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from html import unescape
+from operator import add
 from zlib import crc32
 
 import pandas as pd
@@ -140,7 +141,8 @@ def stream(html: str) -> list[tuple[str, str]]:
     return out
 
 
-# A wrapper is a list of items [key, optional, body]: a tag's key is its symbol; a text's is "#" with body [path, literal or None, characters, pages];
+# A wrapper is a list of items [key, optional, body]: a tag's key is its symbol; a text's is "#" with body [path, literal or None, characters, pages],
+# where pages, on which it stands, is a lower bound once a group repeats within a page;
 # a repeated group's is "+" with the key of its first item, and its body is a list of items.
 
 
@@ -182,12 +184,12 @@ def _fold_end(out: list, longest: int = 24) -> None:
         body, first = out[k:], out[k][0]
         before = out[k - 1]
         if before[0] == "+" + first and _keys(before[2]) == _keys(body):
-            before[2] = merge(before[2], body)
+            before[2] = merge(before[2], body, max)
             del out[k:]
             return
         n = len(body)
         if k >= n and out[k - n][0] == first and _keys(out[k - n : k]) == _keys(body):
-            group = ["+" + first, False, merge(out[k - n : k], body)]
+            group = ["+" + first, False, merge(out[k - n : k], body, max)]
             del out[k - n :]
             out.append(group)
             return
@@ -201,12 +203,12 @@ def _same(a: list, b: list) -> bool:
     return a[0] == b[0] and (a[0] != "#" or a[2][0] == b[2][0])
 
 
-def _merge_item(a: list, b: list) -> list:
+def _merge_item(a: list, b: list, pages: Callable[[int, int], int]) -> list:
     optional = a[1] or b[1]
     if a[0] == "#":
         p, q = a[2], b[2]
-        return ["#", optional, [p[0], p[1] if p[1] == q[1] else None, p[2] + q[2], p[3] + q[3]]]
-    return [a[0], optional, merge(a[2], b[2]) if a[0][0] == "+" else None]
+        return ["#", optional, [p[0], p[1] if p[1] == q[1] else None, p[2] + q[2], pages(p[3], q[3])]]
+    return [a[0], optional, merge(a[2], b[2], pages) if a[0][0] == "+" else None]
 
 
 def _lifted(items: list, other: list) -> list:
@@ -223,7 +225,7 @@ def _lifted(items: list, other: list) -> list:
                 end += 1
             if found == keys:
                 if new and new[-1][0] == group[0]:
-                    new[-1] = [group[0], new[-1][1], merge(new[-1][2], out[k:end])]
+                    new[-1] = [group[0], new[-1][1], merge(new[-1][2], out[k:end], max)]
                 else:
                     new.append([group[0], False, out[k:end]])
                 k = end
@@ -234,10 +236,13 @@ def _lifted(items: list, other: list) -> list:
     return out
 
 
-def merge(a: list, b: list) -> list:
-    """The union-free expression that covers both: a longest common subsequence, the rest optional."""
+def merge(a: list, b: list, pages: Callable[[int, int], int] = add) -> list:
+    """The union-free expression that covers both: a longest common subsequence, the rest optional.
+
+    pages: add for streams of different pages, max for parts of the same ones.
+    """
     if len(a) == len(b) and all(map(_same, a, b)):
-        return [_merge_item(x, y) for x, y in zip(a, b)]
+        return [_merge_item(x, y, pages) for x, y in zip(a, b)]
     a, b = _lifted(a, b), _lifted(b, a)
     n, m = len(a), len(b)
     best = [[0] * (m + 1) for _ in range(n + 1)]
@@ -248,7 +253,7 @@ def merge(a: list, b: list) -> list:
     out, i, j = [], 0, 0
     while i < n or j < m:
         if i < n and j < m and _same(a[i], b[j]):
-            out.append(_merge_item(a[i], b[j]))
+            out.append(_merge_item(a[i], b[j], pages))
             i, j = i + 1, j + 1
         elif j >= m or i < n and best[i + 1][j] >= best[i][j + 1]:
             out.append([a[i][0], True, a[i][2]])
@@ -297,18 +302,18 @@ def _role(path: str) -> int:
     return role
 
 
-def content_of(items: list, pages: int) -> tuple[list[list[str]], list[int]]:
+def content_of(items: list, pages: int) -> tuple[list[list[str]], list[tuple[str, int]]]:
     """Paths whose texts are the article, best-marked regions first, and fixed texts that are not.
 
     A page's article stands in the first of these regions that holds text there. Only where no
-    element or name marks a region do fixed texts, equal on all of at least three pages, count as the
-    site's own.
+    element or name marks a region do fixed texts count as the site's own: those equal on nine of ten
+    pages, three at least, given as [path, checksum].
     """
     texts = list(_texts(items))
     roles = {t[0]: _role(t[0]) for t in texts}
     levels = [own for r in (3, 2, 1, 0) if (own := sorted(p for p, role in roles.items() if role >= r)) and r in roles.values()]
     plain = [t for t in texts if roles[t[0]] == 0]
-    fixed = sorted({t[1] for t in plain if t[1] is not None}) if pages >= 3 and any(t[1] is None for t in plain) else []
+    fixed = sorted({(t[0], t[1]) for t in plain if t[1] is not None and t[3] >= max(3, 0.9 * pages)}) if any(t[1] is None for t in plain) else []
     return levels, fixed
 
 
@@ -347,7 +352,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 @lru_cache(maxsize=20_000)
 def _loaded(content: str) -> tuple[list[frozenset], frozenset]:
     levels, fixed = json.loads(content)
-    return [frozenset(paths) for paths in levels], frozenset(fixed)
+    return [frozenset(paths) for paths in levels], frozenset(map(tuple, fixed))
 
 
 def main_text(html: str, content: str) -> str:
@@ -362,7 +367,7 @@ def main_text(html: str, content: str) -> str:
         else:
             path.append(kind[1:-1])
     for paths in levels:
-        out = [t for p, t in found if p in paths and not (fixed and _role(p) == 0 and crc32(t.encode()) in fixed)]
+        out = [t for p, t in found if p in paths and not (fixed and _role(p) == 0 and (p, crc32(t.encode())) in fixed)]
         if out:
             return "\n".join(out)
     return ""

@@ -59,6 +59,26 @@ def test_fixed_texts_are_not_the_article(spark):
         assert "Same words" not in r["text"] and "Always here" not in r["text"] and "head 0." in r["text"] and r["n_chars"] == len(r["text"])
 
 
+def test_what_one_page_alone_has_is_kept(spark):
+    rng = random.Random(3)
+    own = "<table><tr><td>cell</td></tr></table><h2>sub</h2><blockquote>quoted</blockquote><pre>code</pre>"
+    pages = [page(rng, 3) for _ in range(10)]
+    pages[4] = pages[4].replace("</div><div class=z>", own + "</div><div class=z>")
+    pages.append("<html><body><div class=x>Same words</div><center><h2>other layout</h2><dl><dt>term<dd>meaning</dl></center></body></html>")
+    rows = [(k, f"http://f.example/{k}", p) for k, p in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[4].endswith("cell\nsub\nquoted\ncode") and got[10] == "other layout\nterm\nmeaning"
+    assert not any("Same words" in t for t in got.values())
+
+
+def test_pages_of_repeated_texts():
+    pages = ["<body><ul><li>Go</li><li>Go</li><li>Go</li></ul><p>1</p></body>", *(f"<body><p>{k}</p></body>" for k in "234")]
+    wrapper = html.items_of(html.stream(pages[0]))
+    for p in pages[1:]:
+        wrapper = html.merge(wrapper, html.items_of(html.stream(p)))
+    assert html.content_of(wrapper, 4)[1] == []  # three times, but on one page
+
+
 def test_copies_of_one_page_keep_their_text(spark):
     own = f"<html><body>{LAYOUTS['article']}</body></html>"
     out = html.extract(spark.createDataFrame([(k, "http://b.example/", own) for k in range(5)], "page_id long, url string, html string"))
