@@ -285,36 +285,90 @@ def _texts(items: list) -> Iterator[list]:
             yield from _texts(i[2])
 
 
+#: Elements that are never the article, whatever they hold.
+_BESIDE = frozenset("head nav aside footer dialog menu label option".split())
+
+
 @lru_cache(maxsize=50_000)
-def _role(path: str) -> int:
-    """-1: beside the article; 3: in an article element; 2: in main; 1: in something named like content; 0: unknown."""
-    role = 0
+def _role(path: str, lifted: frozenset[str] = frozenset()) -> int:
+    """-1: beside the article; 4: in an article element; 3: in main; 2: in something named like content; 1: in an article or main that a name puts beside; 0: unknown.
+
+    lifted: paths of elements whose names don't count as a sign against them.
+    """
+    role, at, inner, beside = 0, "", False, False
     for step in path.split("/"):
+        at = f"{at}/{step}" if at else step
         name, *words = step.split(".")
         words = [w.lower() for x in words for w in _WORDS.findall(x)]
+        comment = "comment" in " ".join(words)
         main = any(_MAIN_WORDS.match(w) for w in words)
-        if name in NOT_MAIN or name == "header" and role < 2:
+        if name in _BESIDE or name == "header" and role < 2:
             return -1
-        if name not in ("html", "body", "article", "main") or "comment" in " ".join(words):
-            if any(_NOT_MAIN_WORDS.match(w) for w in words):
-                return -1
-        role = max(role, 3 if name == "article" else 2 if name == "main" or main and "main" in words else 1 if main and name != "body" else 0)
-    return role
+        if at not in lifted and (name in NOT_MAIN or (name not in ("html", "body", "article", "main") or comment) and any(_NOT_MAIN_WORDS.match(w) for w in words)):
+            beside = True
+        elif beside and name in ("article", "main") and not comment:
+            beside, inner = False, True
+        role = max(role, 4 if name == "article" else 3 if name == "main" or main and "main" in words else 2 if main and name != "body" else 0)
+    return -1 if beside else 1 if inner else role
 
 
-def content_of(items: list, pages: int) -> tuple[list[list[str]], list[tuple[str, int]]]:
-    """Paths whose texts are the article, best-marked regions first, and fixed texts that are not.
+@lru_cache(maxsize=50_000)
+def _named_beside(path: str, lifted: frozenset[str]) -> str | None:
+    """The outermost element whose name puts path beside the article; none if an element like nav does."""
+    steps = path.split("/")
+    found = ["/".join(steps[: k + 1]) for k in range(len(steps))]
+    if _role(path, lifted) >= 0 or _role(path, frozenset(found)) == -1:
+        return None
+    return next((x for x in found if x not in lifted and _role(x, lifted) == -1), None)
+
 
-    A page's article stands in the first of these regions that holds text there. Only where no
+def lifted_names(own: dict[str, int], lifted: frozenset[str] = frozenset()) -> frozenset[str]:
+    """Elements named like something beside the article that hold most of the text there is; own: characters by path.
+
+    A name counts only if enough text stands elsewhere: a fiftieth in an article or main element, or a
+    tenth. Comments keep their place while anything else is there.
+    """
+    while True:
+        roles = {p: _role(p, lifted) for p in own}
+        clean, least = sum(n for p, n in own.items() if roles[p] >= 0), 0.02 if max(roles.values(), default=0) >= 3 else 0.1
+        if clean >= least * sum(own.values()):
+            return lifted
+        held: dict[str, int] = {}
+        for p, n in own.items():
+            if n and (x := _named_beside(p, lifted)):
+                held[x] = held.get(x, 0) + n
+        if clean >= least * (clean + sum(held.values())):
+            return lifted
+        if clean:
+            held = {x: n for x, n in held.items() if "comment" not in x.rpartition("/")[2].lower()}
+        largest = max(held, key=lambda x: (held[x], x), default="")
+        if not held or held[largest] <= clean:
+            return lifted
+        lifted |= {largest}
+
+
+#: The share of a page's text that a region of each role must hold to be the article; else the next one is read.
+_LEAST = {4: 0.02, 3: 0.02, 2: 0.25, 1: 0.25, 0: 0.0}
+
+
+def content_of(items: list, pages: int) -> tuple[list[tuple[float, list[str]]], list[tuple[str, int]], list[str]]:
+    """Paths whose texts are the article, best-marked regions first, fixed texts that are not, and elements whose names don't count.
+
+    A page's article stands in the first of these regions that holds enough text there. Only where no
     element or name marks a region do fixed texts count as the site's own: those equal on nine of ten
     pages, three at least, given as [path, checksum].
     """
     texts = list(_texts(items))
-    roles = {t[0]: _role(t[0]) for t in texts}
-    levels = [own for r in (3, 2, 1, 0) if (own := sorted(p for p, role in roles.items() if role >= r)) and r in roles.values()]
-    plain = [t for t in texts if roles[t[0]] == 0]
-    fixed = sorted({(t[0], t[1]) for t in plain if t[1] is not None and t[3] >= max(3, 0.9 * pages)}) if any(t[1] is None for t in plain) else []
-    return levels, fixed
+    least = max(3, 0.9 * pages)
+    own: dict[str, int] = {}
+    for t in texts:
+        own[t[0]] = own.get(t[0], 0) + (t[2] if t[1] is None or t[3] < least else 0)
+    lifted = lifted_names(own)
+    roles = {p: _role(p, lifted) for p in own}
+    levels = [(_LEAST[r], sorted(p for p, role in roles.items() if role >= r)) for r in (4, 3, 2, 1, 0) if r in roles.values()]
+    plain = [t for t in texts if roles[t[0]] <= 0]
+    fixed = sorted({(t[0], t[1]) for t in plain if t[1] is not None and t[3] >= least}) if any(t[1] is None for t in plain) else []
+    return levels, fixed, sorted(lifted)
 
 
 def _host(url) -> str:
@@ -350,25 +404,35 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
 
 
 @lru_cache(maxsize=20_000)
-def _loaded(content: str) -> tuple[list[frozenset], frozenset]:
-    levels, fixed = json.loads(content)
-    return [frozenset(paths) for paths in levels], frozenset(map(tuple, fixed))
+def _loaded(content: str) -> tuple[list[tuple[float, frozenset]], frozenset, frozenset]:
+    levels, fixed, lifted = json.loads(content)
+    return [(least, frozenset(paths)) for least, paths in levels], frozenset(map(tuple, fixed)), frozenset(lifted)
 
 
 def main_text(html: str, content: str) -> str:
-    levels, fixed = _loaded(content)
+    levels, fixed, lifted = _loaded(content)
     path: list[str] = []
     found = []
     for kind, text in stream(html):
         if kind == "#":
-            found.append(("/".join(path), text))
+            at = "/".join(path)
+            if not (fixed and (at, crc32(text.encode())) in fixed):
+                found.append((at, text))
         elif kind == "</":
             path.pop()
         else:
             path.append(kind[1:-1])
-    for paths in levels:
-        out = [t for p, t in found if p in paths and not (fixed and _role(p) == 0 and (p, crc32(t.encode())) in fixed)]
-        if out:
+    own: dict[str, int] = {}
+    for p, t in found:
+        own[p] = own.get(p, 0) + len(t)
+    if more := lifted_names(own, lifted) - lifted:  # a layout of its own
+        lifted |= more
+        roles = {p: _role(p, lifted) for p in own}
+        levels = [(_LEAST[r], frozenset(p for p in own if roles[p] >= r)) for r in (4, 3, 2, 1, 0) if r in roles.values()]
+    whole = sum(n for p, n in own.items() if _role(p, lifted) >= 0)
+    for least, paths in levels:
+        out = [t for p, t in found if p in paths]
+        if out and sum(map(len, out)) >= least * whole:
             return "\n".join(out)
     return ""
 

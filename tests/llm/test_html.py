@@ -31,6 +31,29 @@ def test_layouts(name):
     assert read_alone(f"<!DOCTYPE html><html><head><title>t</title></head><body>{LAYOUTS[name]}</body></html>") == TEXT
 
 
+NAMED = {
+    "form": f"<form id='aspnetForm'><div class='sidebar'>links</div><div class='x'>{ARTICLE}</div></form>",
+    "nested": f"<form><div class='with-sidebar'>{ARTICLE}<div class='comments'>Nice!</div></div></form>",
+    "layout": f"<div class='layout with-sidebar'><article>{ARTICLE}</article><div class='sidebar'>links</div></div>",
+    "layout, neutral": f"<div class='layout with-sidebar'><div class='y'>{ARTICLE}</div><div class='sidebar'>links</div></div>",
+    "content": f"<nav>menu</nav><div id='content' class='has-sidebar'>{ARTICLE}</div>",
+    "story": f"<div class='social-story post'>{ARTICLE}</div><footer>end</footer>",
+    "headline": f"<header>Site</header><div class='post'>{ARTICLE.replace('<h1>', '<header><h1>').replace('</h1>', '</h1></header>')}</div>",
+}
+
+
+@pytest.mark.parametrize("name", sorted(NAMED))
+def test_a_name_alone_deletes_no_article(name):
+    assert read_alone(f"<html><body>{NAMED[name]}</body></html>") == TEXT
+
+
+def test_names_of_one_layout_among_others(spark):
+    rows = [(k, "http://g.example/", f"<html><body>{LAYOUTS['article'].replace('item', f'item {k}')}</body></html>") for k in range(12)]
+    rows += [(20 + k, "http://g.example/", f"<html><body>{NAMED[name]}</body></html>") for k, name in enumerate(sorted(NAMED))]
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {t for k, t in got.items() if k >= 20} == {TEXT} and all(got[k] == TEXT.replace("item", f"item {k}") for k in range(12))
+
+
 def page(rng, n):
     paragraphs = "".join(f"<p>text {rng.random()}</p>" for _ in range(n))
     extra = f"<div class=box>note {rng.random()}</div>" if rng.random() < 0.5 else ""
