@@ -277,12 +277,17 @@ def expression(items: list) -> str:
     return "".join(out)
 
 
-def _texts(items: list) -> Iterator[list]:
+def _texts(items: list, repeated: bool = False) -> Iterator[tuple[list, bool]]:
+    """The texts, and whether they stand in a repeated group of containers or list items."""
     for i in items:
         if i[0] == "#":
-            yield i[2]
+            yield i[2], repeated
         elif i[0][0] == "+":
-            yield from _texts(i[2])
+            yield from _texts(i[2], repeated or i[0][2:-1].partition(".")[0] in _CONTAINERS)
+
+
+#: Elements that may hold an article among others, or stand beside one.
+_CONTAINERS = frozenset("article section div center ul ol li dl dt dd td address details".split())
 
 
 #: Elements that are never the article, whatever they hold.
@@ -347,6 +352,47 @@ def lifted_names(own: dict[str, int], lifted: frozenset[str] = frozenset()) -> f
         lifted |= {largest}
 
 
+def _region(texts: list[list], repeated: dict[str, int], pages: int) -> list[str]:
+    """Paths of the region that holds most varying text, without what the wrapper shows to stand beside it.
+
+    From the root down goes the container with most text on all pages, as long as it holds half of it.
+    Of the others on the way go those that stand on at least three pages and have no h1, where they
+    hold less than half of it and are on fewer than nine of ten pages or consist of repeated containers,
+    or hold short texts that are together below a fifth of all.
+    """
+    held: dict[str, list] = {}  # of a container: characters, occurrences, of repeated containers, most pages, has an h1
+    for path, _, n, there in texts:
+        at = ""
+        for step in path.split("/"):
+            at = f"{at}/{step}" if at else step
+            x = held.setdefault(at, [0, 0, 0, 0, False])
+            x[0], x[1], x[3], x[4] = x[0] + n, x[1] + there, max(x[3], there), x[4] or "/h1" in path
+    for path, n in repeated.items():
+        at = ""
+        for step in path.split("/"):
+            at = f"{at}/{step}" if at else step
+            if at in held:
+                held[at][2] += n
+    inside: dict[str, list[str]] = {}
+    for at in held:
+        inside.setdefault(at.rpartition("/")[0], []).append(at)
+    name = lambda at: at.rpartition("/")[2].partition(".")[0]
+    beside: set[str] = set()
+    at, total = "", sum(t[2] for t in texts)
+    while True:
+        below = [x for x in inside.get(at, []) if name(x) in _CONTAINERS or name(x) in ("html", "body", "main")]
+        weight = {x: held[x][0] * min(1.0, held[x][3] / pages) for x in below}
+        best = max(below, key=lambda x: (weight[x], x), default="")
+        if not best or name(best) in ("ul", "ol", "dl", "li", "dt", "dd") or 2 * weight[best] < sum(weight.values()) or best not in inside:
+            break
+        for x in below:
+            n, times, again, there, headline = held[x]
+            if x != best and there >= 3 and not headline and (2 * n < held[best][0] and (there < 0.9 * pages or 2 * again > n) or 5 * n < total and n < 60 * times):
+                beside.add(x)
+        at = best
+    return sorted({t[0] for t in texts if not any(t[0] == x or t[0].startswith(x + "/") for x in beside)}) if beside else []
+
+
 #: The share of a page's text that a region of each role must hold to be the article; else the next one is read.
 _LEAST = {4: 0.02, 3: 0.02, 2: 0.25, 1: 0.25, 0: 0.0}
 
@@ -354,11 +400,17 @@ _LEAST = {4: 0.02, 3: 0.02, 2: 0.25, 1: 0.25, 0: 0.0}
 def content_of(items: list, pages: int) -> tuple[list[tuple[float, list[str]]], list[tuple[str, int]], list[str]]:
     """Paths whose texts are the article, best-marked regions first, fixed texts that are not, and elements whose names don't count.
 
+    Where no element or name marks a region, the wrapper's structure tells it (see _region). Elements and
+    names come first, since who wrote the page set them; structure decides which names count.
+
     A page's article stands in the first of these regions that holds enough text there. Only where no
     element or name marks a region do fixed texts count as the site's own: those equal on nine of ten
     pages, three at least, given as [path, checksum].
     """
-    texts = list(_texts(items))
+    texts, repeated = [], {}
+    for t, again in _texts(items):
+        texts.append(t)
+        repeated[t[0]] = repeated.get(t[0], 0) + (t[2] if again else 0)
     least = max(3, 0.9 * pages)
     own: dict[str, int] = {}
     for t in texts:
@@ -366,6 +418,9 @@ def content_of(items: list, pages: int) -> tuple[list[tuple[float, list[str]]],
     lifted = lifted_names(own)
     roles = {p: _role(p, lifted) for p in own}
     levels = [(_LEAST[r], sorted(p for p, role in roles.items() if role >= r)) for r in (4, 3, 2, 1, 0) if r in roles.values()]
+    if pages >= 3 and levels and levels[-1][0] == _LEAST[0]:
+        unmarked = [t for t in texts if roles[t[0]] >= 0 and not (t[1] is not None and t[3] >= least)]
+        levels[-1:-1] = [(_LEAST[2], region)] if (region := _region(unmarked, repeated, pages)) else []
     plain = [t for t in texts if roles[t[0]] <= 0]
     fixed = sorted({(t[0], t[1]) for t in plain if t[1] is not None and t[3] >= least}) if any(t[1] is None for t in plain) else []
     return levels, fixed, sorted(lifted)

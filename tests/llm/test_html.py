@@ -94,6 +94,23 @@ def test_what_one_page_alone_has_is_kept(spark):
     assert not any("Same words" in t for t in got.values())
 
 
+def test_structure_tells_the_article_without_names(spark):
+    rng = random.Random(4)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    rows, wanted = [], []
+    for k in range(12):
+        menu, ad = "".join(f"<li>menu{rng.randrange(10**6)}</li>" for _ in range(4)), f"<div class=q2>advert{rng.randrange(10**6)}</div>"
+        remarks = "".join(f"<div class=k><p>remark {words(40)}</p></div>" for _ in range(rng.randrange(4)))
+        own = [f"head {words(4)}", *(words(60) for _ in range(rng.randint(2, 5))), *(["cell"] if k == 5 else [])]
+        body = f"<h1>{own[0]}</h1>" + "".join("<table><tr><td>cell</table>" if t == "cell" else f"<p>{t}</p>" for t in own[1:])
+        lead = words(30)
+        rows.append((k, f"http://n.example/{k}", f"<body><div class=q1><ul>{menu}</ul></div>{ad}<div class=q6>{lead}</div><div class=q3>{body}</div>{f'<div class=q4>{remarks}</div>' if remarks else ''}<div class=q5><ul>{menu}</ul></div></body>"))
+        wanted.append("\n".join([lead, *own]))
+    rows.append((12, "http://n.example/12", f"<body><div class=q1><ul><li>menu1</li></ul></div><center><p>{words(50)}</p></center></body>"))
+    got = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(12)] == wanted and len(got[12].split()) >= 50
+
+
 def test_pages_of_repeated_texts():
     pages = ["<body><ul><li>Go</li><li>Go</li><li>Go</li></ul><p>1</p></body>", *(f"<body><p>{k}</p></body>" for k in "234")]
     wrapper = html.items_of(html.stream(pages[0]))
