@@ -7,9 +7,9 @@ A document is cut into scopes (paragraphs between blank lines). Within a scope t
 identifiers, widened by REACH code points, are joined with those of secrets, and the links found
 with endpoints; a weak part is reported only as part of a link of an identifier with a secret.
 
-The join is a sweep over intervals sorted by start; per document it costs the sort and a step for
-each link kept, since every secret links to its nearest identifier and every linked pair to its
-nearest endpoint.
+All identifiers join with all secrets in reach, and each such pair with all endpoints in reach. Since
+only the parts are reported, not the pairs, a part needs no more than the least start and the greatest
+end of what it joins with; per document that costs a sort and a binary search for each part.
 
 Cases: null text is empty and gives no span; repeated rows give repeated results; ids may be null;
 an empty table gives an empty result; extra columns are ignored; texts of any length are scanned whole.
@@ -20,9 +20,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -66,15 +67,19 @@ def opaque(text: str) -> bool:
     return kinds == 3 and -sum(c / n * math.log2(c / n) for c in Counter(text).values()) >= 3.5
 
 
-def nearest(spans: list[Span], starts: list[int], low: int, high: int, reach: int) -> Span | None:
-    """Of spans sorted by start, the nearest to [low, high) within reach; the earlier of two as near."""
-    k, best = bisect_left(starts, low), None
-    for j in (k - 1, k):
-        if 0 <= j < len(spans):
-            gap = max(0, spans[j][0] - high, low - spans[j][1])
-            if gap <= reach and (best is None or gap < best[0]):
-                best = (gap, spans[j])
-    return best and best[1]
+class Intervals:
+    """Spans by start, with the greatest end so far."""
+
+    def __init__(self, spans: Iterable[tuple]):
+        own = sorted(s[:2] for s in spans)
+        self.starts, self.ends = [s[0] for s in own], list(accumulate((s[1] for s in own), max))
+
+    def around(self, low: int, high: int, reach: int) -> tuple[int, int] | None:
+        """The least start and the greatest end of those at most reach away from [low, high)."""
+        k = bisect_right(self.starts, high + reach)
+        if not k or self.ends[k - 1] < low - reach:
+            return None
+        return self.starts[bisect_left(self.ends, low - reach)], self.ends[k - 1]
 
 
 def linked_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span]:
@@ -102,15 +107,16 @@ def linked_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span
         for s in sorted(spans):
             by_scope.setdefault(bisect_left(cuts, s[0]), ([], [], []))[part].append(s)
     for own_ids, own_secrets, own_ends in by_scope.values():
-        id_starts, end_starts = [s[0] for s in own_ids], [s[0] for s in own_ends]
+        by_id, by_secret = Intervals(own_ids), Intervals(own_secrets)
+        links = []
         for s in own_secrets:
-            mate = nearest(own_ids, id_starts, s[0], s[1], reach)
-            if mate is None:
-                continue
-            low, high = min(s[0], mate[0]), max(s[1], mate[1])
-            link = [s, mate, nearest(own_ends, end_starts, low, high, reach)]
-            found.update(x for x in link if x and x[2].startswith("part_"))
-    return sorted(found)
+            if mates := by_id.around(s[0], s[1], reach):
+                links.append((min(s[0], mates[0]), max(s[1], mates[1])))
+                found.add(s)
+        found.update(s for s in own_ids if by_secret.around(s[0], s[1], reach))
+        by_link = Intervals(links)
+        found.update(s for s in own_ends if by_link.around(s[0], s[1], reach))
+    return sorted(s for s in found if s[2].startswith("part_"))
 
 
 def scan(text: str) -> tuple[list[Span], list[Span]]:
