@@ -40,7 +40,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 _NAMES = ("passw", "secret", "token", "apikey", "api_key")
 
 IDENTIFIER = re.compile(r"(?:access_?key_?id|client_?id|app_?id|account_?id|user(?:_?name)?|login|key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9._@-]{4,})", re.ASCII | re.IGNORECASE)
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}(?![A-Za-z0-9+/_=-])")
 WEAK_ASSIGN = re.compile(r"(?:pwd|pass|pw|auth|credential|private_?key|signing_?key|key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=!@#%-]{6,})", re.ASCII | re.IGNORECASE)
 ENDPOINT = re.compile(r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?[A-Za-z0-9/_.-]*|(?:host|endpoint|server|region)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9.:-]{4,}", re.ASCII)
 _SCOPE_END = re.compile(r"\n[\x20\t\r]*\n")

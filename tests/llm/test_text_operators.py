@@ -167,6 +167,18 @@ def test_every_part_in_reach_is_linked():
     assert len(got) == 5 and {"account_id = 123456789012", "host = a.internal", "host = b.internal"} <= set(got)
 
 
+@pytest.mark.parametrize("n", [20, 128, 129, 180, 20000])
+def test_opaque_secrets_of_any_length(n):
+    rng = random.Random(n)
+    token = "aB3" + "".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(n - 3))
+    text = f"user = deploy-bot\n{token}==\nhost = db.internal"
+    assert [text[a:b] for a, b, k in secrets.linked_spans(text, [])] == ["user = deploy-bot", token + "==", "host = db.internal"]
+
+
+def test_opaque_scan_is_linear():
+    assert secrets.OPAQUE.findall("a" * 3_000_000 + "=" * 3) == []
+
+
 def test_links_against_brute_force():
     rng = random.Random(12)
     gap = lambda x, y: max(0, x[0] - y[1], y[0] - x[1])
