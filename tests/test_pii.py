@@ -28,6 +28,18 @@ def test_misses(text):
     assert pii.detect_text(text, STRICT) == []
 
 
+@pytest.mark.parametrize("text", ["Insurance Policy Number: BCBS-ALPHA", "Policy No. AB-CDEF-GH on file", "medical record # XY-ZZTOP"])
+def test_policy_numbers_without_digits(text):
+    assert {(d[0], d[4]) for d in pii.detect_text(text, STRICT)} == {("MEDICAL_RECORD_NUMBER", 0.90)}
+
+
+def test_policy_numbers_without_digits_are_audited(spark):
+    docs = spark.createDataFrame([(1, "Insurance Policy Number: BCBS-ALPHA, thanks"), (2, "plain words")], "doc_id long, text string")
+    done = pii.anonymize(docs)
+    assert [(r["document_id"], r["entity_type"]) for r in pii.audit_rows(done).collect()] == [(1, "MEDICAL_RECORD_NUMBER")]
+    assert {r["doc_id"]: r["deidentified_text"] for r in done.collect()} == {1: "[MEDICAL_RECORD_NUMBER], thanks", 2: "plain words"}
+
+
 def test_group_span():
     found = pii.detect_text("zip code: 94105", STRICT)
     assert [(d[0], d[3]) for d in found] == [("ZIP_CODE", "94105")]
