@@ -23,7 +23,7 @@ SMALL_LINKS = 500_000
 
 
 def components(links: DataFrame, most_rounds: int = 30) -> DataFrame:
-    """(key, root) for every key in a link (a, b); root is the least key of its component."""
+    """(key, root) for every key in a link (a, b); root is the least key of its component. An error if most_rounds don't suffice."""
     edges = materialize(links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     small, state = edges.count() <= SMALL_LINKS, None
     for _ in range(most_rounds):
@@ -36,4 +36,6 @@ def components(links: DataFrame, most_rounds: int = 30) -> DataFrame:
         if now == state:
             break
         state = now
+    else:
+        raise RuntimeError(f"components have not converged after {most_rounds} rounds")
     return edges.select(F.col("a").alias("key"), F.col("b").alias("root")).unionAll(edges.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct())

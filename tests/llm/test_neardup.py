@@ -145,3 +145,10 @@ def test_components(spark, links):
                 root[a] = root[b] = min(root[a], root[b])
     got = {r["key"]: r["root"] for r in components(spark.createDataFrame(links, "a int, b int")).collect()}
     assert got == root
+
+
+def test_components_that_have_not_converged_are_an_error(spark):
+    links = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(links, most_rounds=1)
+    assert {tuple(r) for r in components(links).collect()} == {(k, 0) for k in range(41)}
