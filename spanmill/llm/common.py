@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,26 +20,45 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from spark.checkpoint.dir.
 
-    Where it is unset (tests, local sessions) a temporary folder is set as the session's own.
+    Where it is unset, a temporary folder is set as the session's own, on a local master only: the
+    machines of a cluster would each write to another disk.
     """
     found = spark.conf.get("spark.checkpoint.dir", "")
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+def table_path(spark: SparkSession, label: str) -> str:
+    """A new path for a table in the shared folder."""
+    return f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back.
 
     It cuts the lineage, survives the loss of any executor, and keeps columns prunable.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    path = table_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def nested(docs: DataFrame, **columns: Column) -> DataFrame:
+    """The given columns beside _row, which holds all columns of docs: no name can clash. unnested() undoes it."""
+    return docs.select(F.struct("*").alias("_row"), *[c.alias(k) for k, c in columns.items()])
+
+
+def unnested(rows: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of _row, with new values for some."""
+    names = rows.schema["_row"].dataType.names
+    return rows.select(*[changed.get(c, F.col(f"_row.`{c}`")).alias(c) for c in names])
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))

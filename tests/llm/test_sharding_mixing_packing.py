@@ -96,7 +96,7 @@ def words(text):
 
 def test_mix(spark):
     rows = odd_rows()
-    plan = mixing.plan_mix(docs_of(spark, rows), block_words=64, bucket_rows=50).collect()
+    plan = mixing.plan_mix(docs_of(spark, rows), block_words=64, least_block=16, bucket_rows=50).collect()
     assert Counter(r["doc_id"] for r in plan) == Counter(r[0] for r in rows)
     size, taken, target = Counter(), Counter(), {}
     seen = set()
@@ -108,8 +108,11 @@ def test_mix(spark):
         target[r["source"]] = r["target"]
         for p in r["pieces"]:
             assert 0 <= p["start"] and p["start"] + p["length"] <= r["size"] and p["length"] > 0 and 0 <= p["shard"] < 8
-            seen.add((r["source"], p["block"], p["shard"]))
-    assert len({(s, b) for s, b, _ in seen}) == len(seen)  # a block lies in one shard
+            seen.add((r["source"], p["epoch"], p["block"], p["shard"]))
+    assert len({x[:3] for x in seen}) == len(seen)  # a block lies in one shard
+    for source in target:
+        held = Counter(h for s, _, _, h in seen if s == source)
+        assert max(held.values(), default=0) - min([held[k] for k in range(8)]) <= max(24, 0.6 * sum(held.values()))
     order = sorted((s for s in size if s is not None)) + [None]
     expected = mixing.targets([size[s] for s in order], [(1.0, 2.0, 3.0)[k % 3] for k in range(len(order))])
     for s, t in zip(order, expected):
@@ -124,6 +127,87 @@ def test_mix_repeats_and_handles_empty(spark):
     assert mixing.mix(docs_of(spark, rows)).columns[-1] == "shuffle_key"
 
 
+@given(st.integers(1, 4000), st.floats(0, 3), st.integers(1, 300), st.integers(0, 99))
+@settings(deadline=None)
+def test_draws_meet_the_target_to_the_word(size, share, block, seed):
+    words = int(share * size)
+    n = -(-size // block)
+    strides = [mixing._stride(n, seed, e) for e in range(3)]
+    got = mixing.draw(size, words, block, strides)
+    taken = 0
+    for e in range(3):
+        for k in range(n):
+            place = e * n + (strides[e][0] * k + strides[e][1]) % n
+            if place < got[1]:
+                full = min(block, size - k * block)
+                taken += min(full, got[2]) if place == got[1] - 1 else full
+    assert got[0] == n and taken == words
+
+
+def brute_mix(rows, n_shards, least, per_shard, buckets, seed=11):
+    """(source, words taken) of each shard by plain loops over the streams of words."""
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    frame = SparkSession.active().createDataFrame([(k, i, t) for k, (i, t, _) in enumerate(rows)], "k long, i long, t string")
+    order = {r["k"]: (r["o"] % buckets, r["o"]) for r in frame.select("k", F.xxhash64("i", "t", F.lit(seed)).alias("o")).collect()}
+    names = sorted({r[2] for r in rows if r[2] is not None}) + [None] * any(r[2] is None for r in rows)
+    streams = {s: sum(((t or "").split() for k, (_, t, _) in sorted(enumerate(rows), key=lambda x: order[x[0]]) if rows[k][2] == s), []) for s in names}
+    goal = mixing.targets([len(streams[s]) for s in names], [(1.0, 2.0, 3.0)[k % 3] for k in range(len(names))])
+    plans = []
+    for k, s in enumerate(names):
+        size = len(streams[s])
+        block = max(least, min(4096, size // (per_shard * n_shards)), 1)
+        strides = [mixing._stride(-(-size // block), seed + k, e) for e in range(3)]
+        plans.append((s, block, strides, *mixing.draw(size, min(3 * size, int(goal[k] + 0.5)), block, strides)))
+    shards = mixing.split_quotas([p[4] for p in plans], n_shards, seed)
+    out = Counter()
+    for (s, block, strides, n, quota, last), column in zip(plans, shards.T):
+        ends = np.cumsum(column)
+        for e in range(3):
+            for b in range(n):
+                place = e * n + (strides[e][0] * b + strides[e][1]) % n
+                if place < quota:
+                    part = streams[s][b * block : b * block + (last if place == quota - 1 else block)]
+                    out.update((s, int((ends <= place).sum()), w) for w in part)
+    return out
+
+
+def test_each_shard_holds_the_words_of_its_drawn_blocks(spark):
+    rng = random.Random(4)
+    rows = [(k, " ".join(f"d{k}w{j}" for j in range(rng.randint(0, 40))), rng.choice(["a", "a", "b", None])) for k in range(150)]
+    got = Counter()
+    for r in mixing.plan_mix(docs_of(spark, rows), n_shards=4, least_block=8, blocks_per_shard=16, bucket_rows=13).collect():
+        own = (dict((i, t) for i, t, _ in rows)[r["doc_id"]] or "").split()
+        for p in r["pieces"]:
+            got.update((r["source"], p["shard"], w) for w in own[p["start"] : p["start"] + p["length"]])
+    assert got == brute_mix(rows, 4, 8, 16, -(-150 // 13))
+
+
+def test_the_draw_decides_what_is_taken(spark, monkeypatch):
+    """With blocks in stream order instead of permuted, other words are taken; with other seeds too."""
+    docs = docs_of(spark, [(k, " ".join(f"w{j}" for j in range(30)), "ab"[k % 7 == 0]) for k in range(200)])
+    pick = lambda **o: {r["doc_id"]: [tuple(p) for p in r["pieces"]] for r in mixing.plan_mix(docs, least_block=16, **o).collect()}
+    taken = lambda plan: {i: sum(p[4] for p in own) for i, own in plan.items()}
+    drawn = pick()
+    assert taken(drawn) != taken(pick(seed=12))
+    monkeypatch.setattr(mixing, "_stride", lambda n, seed, epoch: (1, 0))
+    assert taken(drawn) != taken(pick())
+    monkeypatch.setattr(mixing, "split_quotas", lambda quotas, n, seed: np.array([quotas] + [[0] * len(quotas)] * (n - 1)))
+    assert {p[0] for own in pick().values() for p in own} == {0} != {p[0] for own in drawn.values() for p in own}
+
+
+def test_shards_are_written_in_shuffled_order(spark, tmp_path):
+    docs = docs_of(spark, [(k, " ".join(f"w{j}" for j in range(30)), "ab"[k % 2]) for k in range(300)])
+    mixed = mixing.mix(docs, n_shards=4)
+    mixing.write_mix(mixed, str(tmp_path / "mix"), files_per_shard=2)
+    back = spark.read.parquet(str(tmp_path / "mix"))
+    assert sorted(map(tuple, back.select(mixed.columns).collect())) == sorted(map(tuple, mixed.collect()))
+    ids = [r["doc_id"] for r in mixing.mixed_documents(docs).coalesce(1).collect()]
+    runs = sum(b < a for a, b in zip(ids, ids[1:]))
+    assert runs > 0.3 * len(ids)
+
+
 def test_mixed_documents_hold_the_words_taken(spark):
     rows = [r for r in odd_rows(80) if r[0] is not None]
     out = mixing.mixed_documents(docs_of(spark, rows))
@@ -138,6 +222,14 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert got == +plan
 
 
+@pytest.mark.parametrize("name", ["size", "target", "source_size", "pieces", "_row", "_id", "_source", "_order", "_sid", "_bucket", "_p", "_text", "_len", "_at", "a.b", "Shard"])
+def test_mixed_documents_keep_columns_of_any_name(spark, name):
+    docs = spark.createDataFrame([(k, "a b  c\nd", "s", 8, f"x{k}") for k in range(20)], "doc_id long, text string, source string, n_chars long, extra string").withColumnRenamed("extra", name)
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns and {(r[0], r[4]) for r in out.collect()} == {(k, f"x{k}") for k in range(20)}
+    assert "".join(sorted({r[1] for r in out.collect()})) == "a b  c\nd"
+
+
 def brute_best_fit(lengths, window):
     free, out = [], {}
     for k in sorted(range(len(lengths)), key=lambda k: -lengths[k]):

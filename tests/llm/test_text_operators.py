@@ -4,8 +4,10 @@ import hashlib
 import random
 import re
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from spanmill.llm import boosting, pii, quality, secrets, topk
@@ -225,6 +227,39 @@ def test_top_k(spark, block):
     assert got == brute_top_k(rows, 10, 5)
 
 
+def test_cutoffs_spare_most_scores():
+    """Entries are complete, and few pairs have a score looked up; without cutoffs all would."""
+    rng = np.random.default_rng(1)
+    q, x = (np.floor(32 * rng.normal(size=(n, 64))).astype(np.int64) for n in (60, 8000))
+    own, full = np.zeros((60, 8000), bool), q @ x.T
+    cutoffs = np.sort(full, axis=1)[:, -5].astype(float)
+    lists = topk.Lists(q, x, 2)
+    qs, rs, scores = topk.entries(lists, own, cutoffs)
+    assert set(zip(qs, rs)) == set(zip(*np.nonzero(full >= cutoffs[:, None]))) and (scores == full[qs, rs]).all()
+    assert lists.looked_up < 0.05 * full.size
+    free = topk.Lists(q, x, 2)
+    assert len(topk.entries(free, own, np.full(60, topk._NONE))[0]) == full.size
+
+
+def test_results_come_through_the_cutoffs():
+    x = np.floor(256 * np.random.default_rng(2).normal(size=(200, 8))).astype(np.int64)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(x.tolist())], names=["vec_id", "v"])
+    rows = lambda cut: sum(b.num_rows for b in topk._phase(SimpleNamespace(value=(np.arange(4), x[:4], np.full(4, cut))), 2, 5)(iter([batch])))
+    assert rows(topk._NONE) == 20 and rows(10.0**9) == 0
+
+
+@pytest.mark.parametrize("size", [10.0, 1e6, 1e8])
+def test_scores_of_any_size_are_exact(size):
+    rng = np.random.default_rng(3)
+    q, x = ((size * rng.normal(size=(n, 16))).astype(np.int64) for n in (5, 300))
+    lists, full = topk.Lists(q, x, 3), q.astype(object) @ x.astype(object).T
+    qs, rs = map(np.ravel, np.indices(full.shape))
+    assert lists.totals(qs, rs).tolist() == [int(v) for v in full.ravel()]
+    cutoffs = np.sort(full.astype(float), axis=1)[:, -3]
+    got = topk.entries(lists, np.zeros(full.shape, bool), cutoffs)
+    assert all((got[0] == k).sum() >= 3 for k in range(5))
+
+
 def test_top_k_of_few(spark):
     few = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(few).collect()] == [(0, 1, 1, 256 * 512)]
