@@ -1,24 +1,29 @@
-"""Near-duplicates by order MinHash over word shingles, verified by banded alignment.
+"""Near-duplicates by order MinHash over word shingles, verified by banded alignment of words.
 
-Equal texts become one key (their MD5). A text is the sequence of its shingles, SHINGLE words each,
-labelled by occurrence. An order-MinHash value takes the L least labels under one hash and keeps
-them in text order, so that it is sensitive to edits and to moved text; ROWS values make a band, and
-keys that share one of BANDS bands are candidates.
+Equal texts become one key (their MD5). A text's k-mers are its shingles of SHINGLE words, labelled by
+occurrence. An order-MinHash value takes the L least labels under one hash and keeps them in text
+order, so that it is sensitive to edits and to moved text; ROWS values make a band, and keys that
+share one of BANDS bands are candidates. Texts of up to SHORT words, in which one edit can change
+most shingles, have as many further bands over runs of SHORT_SHINGLE words.
 
 Candidates are not expanded into pairs. In each bucket the key that shares most with others is the
-hub; all members are verified against it, and links grow into components. Buckets that still hold
-several components are cut into blocks of bounded size, in which the members across components are
-aligned, so no candidate pair is left between components unverified.
+hub; all members are verified against it, in chunks that hold the hub's words once, and links grow
+into components. Buckets that still hold several components are cut into blocks of bounded size, in
+which the members across components are aligned, so no candidate pair is left between components
+unverified. In a block the words that two texts share in any order, counted in 256 hash buckets, bound
+their alignment from above, and rule most pairs out before it.
 
-The similarity of two texts is LCS / (n + m - LCS) over their shingle sequences, at least THRESHOLD;
-the alignment runs bit-parallel in the band that the threshold allows. It equals the Jaccard
-similarity of shingles where no shingle repeats and none moves.
+The similarity of two texts is LCS / (n + m - LCS) over their words, at least THRESHOLD: one word in
+nine may be replaced. The alignment runs bit-parallel in the band that the threshold allows. Over
+shingles instead, an edit would count five times: where words are replaced here and there, 0.8 here
+is about 0.4 there, so that what reaches 0.8 there does so here too.
 
-Chance of a candidate for shingle similarity s: 1 - (1 - s**(L * ROWS)) ** BANDS, 0.9999 at 0.8.
+Chance of a candidate for shingle similarity s: 1 - (1 - s**(L * ROWS)) ** BANDS, 0.99 at 0.39.
 
 Cases: null text is empty; empty texts are copies of each other; a text of fewer than SHINGLE words
 is one shingle; repeated rows share a class; a class is named by its least id, null if it has none;
-an empty table gives an empty result; extra columns are ignored, or kept by drop_near_duplicates.
+an empty table gives an empty result; extra columns of any name are ignored, or kept by
+drop_near_duplicates.
 """
 
 from __future__ import annotations
@@ -27,17 +32,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import materialize, read
+from .common import materialize, nested, read, unnested
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
-L, ROWS, BANDS = 2, 3, 32
-#: Members in a chunk of a bucket, and the bound for broadcasting keys or ids.
-BLOCK_ROWS, BROADCAST_ROWS = 500, 1_000_000
+L, ROWS, BANDS = 2, 1, 32
+SHORT, SHORT_SHINGLE = 100, 2
+#: Members and words in a chunk of a bucket, and the bound for broadcasting keys or ids.
+BLOCK_ROWS, BLOCK_WORDS, BROADCAST_ROWS = 500, 2_000_000, 200_000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 2**64))
@@ -92,7 +98,8 @@ def _labelled(s: np.ndarray) -> np.ndarray:
         return s
     occurrence = np.arange(len(s)) - np.maximum.accumulate(np.where(new, np.arange(len(s)), 0))
     out = s.copy()
-    out[order] = _mixed(ranked + occurrence.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    again = occurrence > 0  # the first occurrence keeps its hash, as in a text where nothing repeats
+    out[order[again]] = _mixed(ranked[again] + occurrence[again].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return out
 
 
@@ -128,6 +135,12 @@ class Sketch:
         return out
 
 
+def _shared(a: np.ndarray, b: np.ndarray, buckets: int = 1024) -> int:
+    """Words that two sequences share in any order, at most: counted by hash bucket. No alignment is longer."""
+    count = lambda x: np.bincount((x & (buckets - 1)).astype(np.int64), minlength=buckets)
+    return int(np.minimum(count(a), count(b)).sum())
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float:
     """LCS / (n + m - LCS) if it reaches the threshold, else 0."""
     n, m = len(a), len(b)
@@ -145,7 +158,7 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
     x, y = a[head : n - tail], b[head : m - tail]
     lcs = head + tail
     if len(x) and len(y):
-        if lcs + min(int(np.isin(x, y).sum()), int(np.isin(y, x).sum())) < need:
+        if lcs + _shared(x, y) < need:
             return 0.0
         places: dict[int, int] = {}
         for j, v in enumerate(y.tolist()):
@@ -165,127 +178,177 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
 
 def _signatures(bands: int, rows: int, take: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch, seen = Sketch(bands, rows, take), {}
+        sketch, short, seen = Sketch(bands, rows, take), Sketch(bands, rows, take, seed=6), set()
         for frame in batches:
             out = []
             for key, text in zip(frame["key"].array, frame["text"].array):
-                own = seen.get(key)
-                if own is None:
-                    s = shingles(word_hashes(text))
-                    own = sketch.of(s).view(np.int64) if len(s) else np.zeros(0, np.int64)
-                    if len(seen) < 20_000:
-                        seen[key] = own
-                out.append(own)
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "key": frame["key"], "bands": out})
+                if key in seen:
+                    out.append((None, None))
+                    continue
+                if len(seen) < 1_000_000:
+                    seen.add(key)
+                w = word_hashes(text)
+                own = [sketch.of(shingles(w))] if len(w) else []
+                if 0 < len(w) <= SHORT:
+                    own.append(short.of(shingles(w, SHORT_SHINGLE)))
+                out.append(((w >> np.uint64(32)).astype("<u4").tobytes(), np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)))
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "key": frame["key"], "words": [w for w, _ in out], "bands": [b for _, b in out]})
 
     return run
 
 
-def _word_bytes(bands: int, rows: int, take: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketch = Sketch(bands, rows, take)
-        for frame in batches:
-            own = [word_hashes(t) for t in frame["text"].array]
-            found = [sketch.of(s).view(np.int64) if len(s := shingles(w)) else np.zeros(0, np.int64) for w in own]
-            yield pd.DataFrame({"key": frame["key"], "words": [(w >> np.uint64(32)).astype("<u4").tobytes() for w in own], "bands": found})
+def _sequence(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u4")
 
-    return run
 
+def _groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Runs of rows with equal values of names, over batches sorted by them. One run is held at a time."""
+    held, last = [], None
+    for batch in batches:
+        keys = list(zip(*(batch.column(n).to_pylist() for n in names)))
+        starts = [k for k in range(len(keys)) if k == 0 or keys[k] != keys[k - 1]]
+        for a, b in zip(starts, [*starts[1:], len(keys)]):
+            if held and keys[a] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = keys[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield last, pa.Table.from_batches(held)
 
-def _sequence(raw: bytes) -> np.ndarray:
-    return shingles(np.frombuffer(raw, "<u4").astype(np.uint64))
+
+def _linked(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    own = [(max(p), min(p)) for p in pairs]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in own], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
-def _similar(threshold: float):
-    @F.pandas_udf(T.BooleanType())
-    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([aligned(_sequence(x), _sequence(y), threshold) > 0 for x, y in zip(a, b)], dtype=bool)
+def _with_hubs(threshold: float):
+    """Links of chunks of members with their hub, whose row is marked."""
 
-    return similar
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (hub, _), table in _groups(batches, ["hub", "chunk"]):
+            rows = list(zip(table["is_hub"].to_pylist(), table["key"].to_pylist(), table["words"].to_pylist()))
+            central = next((_sequence(w) for is_hub, _, w in rows if is_hub), None)
+            if central is not None and (found := [(hub, k) for is_hub, k, w in rows if not is_hub and aligned(central, _sequence(w), threshold) > 0]):
+                yield _linked(found)
+
+    return run
 
 
-def _block(threshold: float):
-    """Links across components within one block of a bucket.
+def across(texts: list[np.ndarray], roots: np.ndarray, first: np.ndarray, second: np.ndarray, fair, threshold: float) -> list[tuple[int, int]]:
+    """Links of members marked first with members marked second in another component, each pair once.
+
+    fair(x, others) tells which pairs belong here. Members that links found here connect aren't aligned.
+    """
+    sizes, roots = np.array([len(t) for t in texts]), roots.copy()
+    counts = np.stack([np.bincount((t & 255).astype(np.int64), minlength=256) for t in texts]).astype(np.int32)
+    same, out, at = bool((first & second).any()), [], np.arange(len(texts))
+    for x in np.flatnonzero(first):
+        small, large = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
+        others = np.flatnonzero(second & (roots != roots[x]) & (small >= threshold * large - 1e-9) & ((at > x) | (not same)))
+        if len(others):
+            need = np.ceil(threshold * (sizes[others] + sizes[x]) / (1 + threshold) - 1e-9)
+            others = others[np.minimum(counts[others], counts[x]).sum(axis=1) >= need]
+        if len(others):
+            for y in others[fair(x, others)]:
+                if roots[x] != roots[y] and aligned(texts[x], texts[y], threshold) > 0:
+                    out.append((int(x), int(y)))
+                    roots[roots == roots[y]] = roots[x]
+    return out
+
+
+def _in_blocks(threshold: float):
+    """Links across components within blocks of buckets.
 
     A block holds a chunk of the bucket's largest component and a chunk of its other members, or two
     chunks of other members. A pair is aligned in the first band it shares, so once in all.
     """
 
-    def run(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        bucket, kind, i, j = key
-        bands = np.stack(frame["bands"].to_numpy())
-        roots = frame["root"].astype("category").cat.codes.to_numpy()
-        chunks, major = frame["chunk"].to_numpy(), frame["major"].to_numpy()
-        texts = [_sequence(w) for w in frame["words"]]
-        sizes = np.array([len(t) for t in texts])
-        out, keys, at = [], frame["key"].to_numpy(), np.arange(len(frame))
-        for x in at:
-            if kind == "large":
-                if not major[x]:
-                    continue
-                other = ~major
-            else:
-                other = at > x if i == j else chunks == j
-                if i != j and chunks[x] != i:
-                    continue
-            small, large = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
-            others = np.flatnonzero(other & (roots != roots[x]) & (small >= threshold * large - 1e-9))
-            if not len(others):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, large, i, j), table in _groups(batches, ["bucket", "large", "i", "j"]):
+            if table.num_rows < 2:
                 continue
-            same = bands[others] == bands[x]
-            first = same.argmax(axis=1)
-            for y in others[bands[x][first] == bucket]:
-                if aligned(texts[x], texts[y], threshold) > 0:
-                    out.append((max(keys[x], keys[y]), min(keys[x], keys[y])))
-        return pd.DataFrame(out, columns=["a", "b"])
+            codes: dict[bytes, int] = {}
+            roots = np.array([codes.setdefault(r, len(codes)) for r in table["root"].to_pylist()])
+            if len(codes) < 2:
+                continue
+            own = table["bands"].combine_chunks()
+            own = own.chunk(0) if isinstance(own, pa.ChunkedArray) else own
+            lengths = np.diff(own.offsets.to_numpy())
+            bands = np.zeros((len(roots), lengths.max()), np.int64)
+            bands[np.arange(bands.shape[1]) < lengths[:, None]] = own.flatten().to_numpy()
+            chunks, major = table["chunk"].to_numpy(), np.array(table["major"].to_pylist())
+
+            def fair(x: int, others: np.ndarray, bands=bands, bucket=bucket) -> np.ndarray:
+                first = ((bands[others] == bands[x]) & (bands[x] != 0)).argmax(axis=1)
+                return bands[x][first] == bucket
+
+            sides = (major, ~major) if large else (chunks == i, chunks == j)
+            keys = table["key"].to_pylist()
+            found = across([_sequence(w) for w in table["words"].to_pylist()], roots, *sides, fair, threshold)
+            if found:
+                yield _linked([(keys[x], keys[y]) for x, y in found])
 
     return run
 
 
+def _chunks(rows, words):
+    """Chunks for so many members with so many words."""
+    return F.greatest(F.lit(1), F.ceil(rows / BLOCK_ROWS), F.ceil(words / BLOCK_WORDS)).cast("int")
+
+
+def _starred(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) among pairs (hub, key). A hub's words go once to each chunk of its members."""
+    sized = pairs.join(words.select("key", F.col("n").alias("_n")), "key")
+    per = sized.groupBy("hub").agg(_chunks(F.count("*"), F.sum("_n")).alias("_c"))
+    placed = pairs.join(per, "hub").select("hub", "key", F.pmod(F.xxhash64("key"), F.col("_c")).cast("int").alias("chunk"))
+    members = placed.join(words.select("key", "words"), "key").select("hub", "chunk", "key", "words", F.lit(False).alias("is_hub"))
+    hubs = per.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_c") - 1))).join(words.select(F.col("key").alias("hub"), "words"), "hub")
+    both = members.unionByName(hubs.select("hub", "chunk", F.col("hub").alias("key"), "words", F.lit(True).alias("is_hub")))
+    return both.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk").mapInArrow(_with_hubs(threshold), "a binary, b binary")
+
+
 def _blocked(members: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between members (bucket, key, root) of one bucket in different components.
 
     No pairs are dealt out: a member goes to the blocks it takes part in, at most one for each
-    BLOCK_ROWS members of its bucket, and no two chunks of the largest component ever meet.
+    chunk of its bucket, and no two chunks of the largest component ever meet.
     """
-    each = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    per = each.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("_top"), F.sum("n").alias("_all"))
-    chunks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK_ROWS)).cast("int")
+    sized = members.join(words.select("key", "n"), "key")
+    each = sized.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("n").alias("w"))
+    per = each.groupBy("bucket").agg(F.max(F.struct("n", "w", "root")).alias("_top"), F.sum("n").alias("_all"), F.sum("w").alias("_words"))
     placed = members.select("bucket", "key", "root").join(per, "bucket").select(
-        "bucket", "key", "root", (F.col("root") == F.col("_top.root")).alias("major"), chunks(F.col("_top.n")).alias("_a"), chunks(F.col("_all") - F.col("_top.n")).alias("_b")
+        "bucket", "key", "root", (F.col("root") == F.col("_top.root")).alias("major"), _chunks(F.col("_top.n"), F.col("_top.w")).alias("_a"), _chunks(F.col("_all") - F.col("_top.n"), F.col("_words") - F.col("_top.w")).alias("_b")
     ).withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(F.col("major"), F.col("_a")).otherwise(F.col("_b"))).cast("int"))
     met = placed.join(words, "key").withColumn("_block", F.explode(F.expr("""
-        if(major, transform(sequence(0, _b - 1), j -> named_struct('kind', 'large', 'i', chunk, 'j', j)),
-           concat(transform(sequence(0, _a - 1), i -> named_struct('kind', 'large', 'i', i, 'j', chunk)),
-                  transform(sequence(0, _b - 1), j -> named_struct('kind', 'small', 'i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
+        if(major, transform(sequence(0, _b - 1), j -> named_struct('large', true, 'i', chunk, 'j', j)),
+           concat(transform(sequence(0, _a - 1), i -> named_struct('large', true, 'i', i, 'j', chunk)),
+                  transform(sequence(0, _b - 1), j -> named_struct('large', false, 'i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
     own = met.select("bucket", "_block.*", "key", "root", "major", "chunk", "words", "bands")
-    return own.groupBy("bucket", "kind", "i", "j").applyInPandas(_block(threshold), "a binary, b binary").distinct()
+    by = ["bucket", "large", "i", "j"]
+    return own.repartition(*by).sortWithinPartitions(*by).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, take: int = L) -> DataFrame:
     """doc_id, key, class_id: one row per row of docs; class_id is the least doc_id of its class."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    signed = materialize(texts.mapInPandas(_signatures(bands, rows, take), "doc_id long, key binary, bands array<long>"), "neardup-signatures")
-    one = signed.groupBy("key").agg(F.first("bands").alias("bands"))
-    placed = one.select("key", F.explode("bands").alias("bucket"))
+    signed = materialize(texts.mapInPandas(_signatures(bands, rows, take), "doc_id long, key binary, words binary, bands array<long>"), "neardup-signatures")
+    fresh = signed.where("bands is not null")  # a task gives them once for each text
+    placed = fresh.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("bucket"))
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(placed.join(crowded, "bucket"), "neardup-members")
     central = members.groupBy("key").agg(F.sum("n").alias("score"))
     members = materialize(members.join(central, "key").select("bucket", "key", "score"), "neardup-scored")
     keys = members.select("key").distinct()
     few = keys.count() <= BROADCAST_ROWS
-    wanted = texts.join(F.broadcast(keys) if few else keys, "key", "left_semi")
+    wanted = fresh.join(F.broadcast(keys) if few else keys, "key", "left_semi")
+    words = materialize(wanted.groupBy("key").agg(F.first("words").alias("words"), F.first("bands").alias("bands")).withColumn("n", (F.octet_length("words") / 4).cast("long")), "neardup-words")
     least = signed.groupBy("key").agg(F.min("doc_id").alias("_least"))
-    wanted = wanted.join(least, "key").where(F.col("doc_id").eqNullSafe(F.col("_least"))) if not few else wanted
-    words = materialize(wanted.mapInPandas(_word_bytes(bands, rows, take), "key binary, words binary, bands array<long>").groupBy("key").agg(F.first("words").alias("words"), F.first("bands").alias("bands")), "neardup-words")
-    similar = _similar(threshold)
 
     hubs = members.groupBy("bucket").agg(F.max(F.struct("score", "key")).alias("h")).select("bucket", F.col("h.key").alias("hub"))
-    pairs = members.join(hubs, "bucket").where(F.col("key") != F.col("hub")).select(F.greatest("key", "hub").alias("a"), F.least("key", "hub").alias("b")).distinct()
-    side = lambda k: words.select(F.col("key").alias(k), F.col("words").alias(f"_w{k}"))
-    checked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", similar("_wa", "_wb").alias("linked"))
-    roots = components(materialize(checked, "neardup-hubs").where("linked").select("a", "b"))
+    pairs = materialize(members.join(hubs, "bucket").where(F.col("key") != F.col("hub")).select("hub", "key").distinct(), "neardup-stars")
+    roots = components(materialize(_starred(pairs, words, threshold), "neardup-hubs"))
     labelled = members.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     several = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("bucket")
     mixed = materialize(labelled.join(several, "bucket", "left_semi"), "neardup-mixed")
@@ -314,9 +377,9 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     """
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     own = F.col("doc_id").eqNullSafe(F.col("class_id"))
-    gone = materialize(found.where(~own).select(F.col("doc_id").alias("_id"), F.col("key").alias("_of")).distinct(), "neardup-gone")
+    gone = materialize(found.where(~own).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_of")).distinct(), "neardup-gone")
     repeated = found.where(own).groupBy("doc_id", "key").count().where("count > 1")
-    keyed = docs.withColumn("_key", F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
+    keyed = nested(docs, _id=F.col(f"`{id_col}`").cast("long"), _key=F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))))
     small = gone.count() <= BROADCAST_ROWS
-    kept = keyed.join(F.broadcast(gone) if small else gone, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_of")), "left_anti")
-    return (kept if repeated.isEmpty() else kept.dropDuplicates([id_col, "_key"])).drop("_key")
+    kept = keyed.join(F.broadcast(gone) if small else gone, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_key") == F.col("_of")), "left_anti")
+    return unnested(kept if repeated.isEmpty() else kept.dropDuplicates(["_id", "_key"]))
