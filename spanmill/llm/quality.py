@@ -1,33 +1,38 @@
 """Quality rules by weak supervision, in DataFrame functions only.
 
 Each rule votes good, bad or abstains on a document. The table of vote patterns and their counts
-(at most 3 to the number of rules, whatever the input) feeds expectation-maximisation: for both
-classes and every rule it estimates how often the rule votes each way, and so the rule's accuracy.
-A document is kept if its posterior probability of good quality reaches min_posterior. Base rules
-reject before that.
+(at most 3 to the number of rules, whatever the input, so the driver holds it) feeds
+expectation-maximisation: for both classes and every rule it estimates how often a vote of the rule is
+good, and so the rule's accuracy. An abstention is a missing value and moves nothing. The posterior
+probability of good quality, a column expression over the votes, replaces all-must-pass filtering: a
+document is kept if it reaches min_posterior. Base rules reject before that.
+
+The estimation is plain: each step uses the very posterior that its estimates give. Estimates are
+means of Beta(2, 1) or Beta(1, 2) counts, so that no rule is held to be certain.
 
 Cases: null or empty text has no words, and is rejected; ties at the threshold are kept; repeated
-rows are judged alike; an empty table gives an empty result; extra columns are kept by filter_quality
-and ignored by judge, unless they are named in carry; words and lines are those of the whole text. Equality of three-word windows is
-that of their 64-bit hashes.
+rows are judged alike; an empty table gives an empty result; extra columns of any name are kept by
+filter_quality and ignored by judge; words and lines are those of the whole text. Equality of
+three-word windows is that of their 64-bit hashes.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD, materialize, read
+from .common import WORD, materialize, nested, read, unnested
 
 GOOD, BAD, NONE = 1, -1, 0
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and what the rules need besides."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    with_words = docs.withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    """_row (docs' columns), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and what the rules need besides."""
+    text = F.coalesce(F.col(f"_row.`{text_col}`"), F.lit(""))
+    with_words = nested(docs).withColumn("_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
     with_hashes = with_words.withColumn("n_words", F.size("_words").cast("long")).withColumn(
         "_h",
         F.expr("if(size(_words) < 3, cast(array() as array<bigint>), transform(sequence(0, size(_words) - 3), i -> xxhash64(_words[i], _words[i + 1], _words[i + 2])))"),
@@ -39,7 +44,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     )
     joined = F.col("_joined")
     return sort.select(
-        *docs.columns, "n_words",
+        "_row", "n_words",
         F.length(joined).cast("long").alias("word_chars"),
         F.regexp_count(joined, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
@@ -71,61 +76,63 @@ def rules() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: DataFrame, names: list[str], rounds: int = 30, tolerance: float = 1e-4) -> tuple[float, dict[tuple[str, int, int], float]]:
-    """Expectation-maximisation over a table of vote patterns and counts n.
+def estimate(patterns: DataFrame, names: list[str], rounds: int = 200, tolerance: float = 1e-6) -> tuple[float, dict[tuple[str, int], float]]:
+    """Expectation-maximisation over a table of vote patterns and counts n, which is collected.
 
-    Returns the share of good documents, and P(vote | class) for each (rule, class 0 or 1, vote).
-    It starts from the belief that a document with a bad vote is bad with probability 0.95.
+    Returns the share of good documents, and P(a vote is good | rule, class 0 or 1). It starts from the
+    belief that a document with a bad vote is bad with probability 0.95.
     """
-    good = F.when(F.least(*names) < 0, 0.05).otherwise(0.95)
-    prior, table, before = 0.5, {}, 0.0
+    rows = patterns.select(*names, "n").collect()
+    votes = np.array([[r[c] for c in names] for r in rows], dtype=np.int8).reshape(-1, len(names))
+    n = np.array([r["n"] for r in rows], dtype=np.float64)
+    good, prior, table = np.where((votes == BAD).any(axis=1), 0.05, 0.95), 0.5, np.tile([[1 / 3], [2 / 3]], len(names))
     for _ in range(rounds):
-        stats = [F.sum(F.col("n") * good).alias("w1"), F.sum(F.col("n") * (1 - good)).alias("w0")]
-        for r in names:
-            for v in (GOOD, BAD, NONE):
-                hit = F.when(F.col(r) == v, F.col("n")).otherwise(0)
-                stats += [F.sum(hit * good).alias(f"{r}:1:{v}"), F.sum(hit * (1 - good)).alias(f"{r}:0:{v}")]
-        found = patterns.agg(*stats).first().asDict()
-        weight = {1: found["w1"] or 0.0, 0: found["w0"] or 0.0}
-        prior = (weight[1] + 1) / (weight[0] + weight[1] + 2)
-        table = {(r, y, v): ((found[f"{r}:{y}:{v}"] or 0.0) + 0.5) / (weight[y] + 1.5) for r in names for y in (0, 1) for v in (GOOD, BAD, NONE)}
-        good = posterior(prior, table, names)
+        before, weight = prior, np.stack([n * (1 - good), n * good])
+        prior = (weight[1].sum() + 1) / (n.sum() + 2)
+        voted_good, voted = weight @ (votes == GOOD), weight @ (votes != NONE)
+        table = (voted_good + [[1], [2]]) / (voted + 3)
+        odds = math.log(prior / (1 - prior)) + (votes == GOOD) @ np.log(table[1] / table[0]) + (votes == BAD) @ np.log((1 - table[1]) / (1 - table[0]))
+        good = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
         if abs(prior - before) < tolerance:
             break
-        before = prior
-    return prior, table
-
+    return float(prior), {(r, y): float(table[y, k]) for k, r in enumerate(names) for y in (0, 1)}
 
-def posterior(prior: float, table: dict[tuple[str, int, int], float], names: list[str]) -> Column:
-    """P(good | votes): the prior odds times each vote's likelihood ratio.
 
-    A good vote never speaks against a document, nor a bad one for it.
-    """
+def posterior(prior: float, table: dict[tuple[str, int], float], names: list[str]) -> Column:
+    """P(good | votes): the prior odds times each vote's likelihood ratio."""
     odds = F.lit(math.log(prior / (1 - prior)))
     for r in names:
-        ratio = {v: math.log(table[r, 1, v] / table[r, 0, v]) for v in (GOOD, BAD)}
-        odds = odds + F.when(F.col(r) == GOOD, max(0.0, ratio[GOOD])).when(F.col(r) == BAD, min(0.0, ratio[BAD])).otherwise(0.0)
+        of_good, of_bad = math.log(table[r, 1] / table[r, 0]), math.log((1 - table[r, 1]) / (1 - table[r, 0]))
+        odds = odds + F.when(F.col(r) == GOOD, of_good).when(F.col(r) == BAD, of_bad).otherwise(0.0)
     return 1 / (1 + F.exp(-odds))
 
 
-def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_posterior: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
-    """id_col, the carry columns, the base figures, base_failed, p_good, kept."""
+BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def _judged(docs: DataFrame, text_col: str, min_posterior: float, keep: list[str]) -> DataFrame:
+    """_row (the columns keep of docs), the base figures, base_failed, p_good, kept."""
     own = rules()
     names = list(own)
-    measured = measure(docs.select(id_col, *carry, *([text_col] if text_col not in carry else [])), text_col)
-    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    voted = materialize(measured.select(id_col, *carry, *base, failed.alias("base_failed"), *[c.alias(r) for r, c in own.items()]), "quality-votes")
-    patterns = materialize(voted.groupBy(*names).agg(F.count("*").alias("n")).coalesce(1), "quality-patterns")
-    prior, table = estimate(patterns, names)
+    measured = measure(docs, text_col)
+    row = F.struct(*[F.col(f"_row.`{c}`") for c in keep]) if keep != docs.columns else F.col("_row")
+    voted = materialize(measured.select(row.alias("_row"), *BASE, failed.alias("base_failed"), *[c.alias(r) for r, c in own.items()]), "quality-votes")
+    prior, table = estimate(voted.groupBy(*names).agg(F.count("*").alias("n")), names)
     p = posterior(prior, table, names)
-    return voted.select(id_col, *carry, *base, "base_failed", p.alias("p_good"), (~F.col("base_failed") & (p >= min_posterior)).alias("kept"))
+    return voted.select("_row", *BASE, "base_failed", p.alias("p_good"), (~F.col("base_failed") & (p >= min_posterior)).alias("kept"))
 
 
-def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read(spark, sf_dir, "documents"))
+def judge(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_posterior: float = 0.5) -> DataFrame:
+    """id_col, the base figures, base_failed, p_good, kept."""
+    own = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    return _judged(own, text_col, min_posterior, [id_col]).select(F.col(f"_row.`{id_col}`").alias(id_col), *BASE, "base_failed", "p_good", "kept")
 
 
-def filter_quality(docs: DataFrame, **options) -> DataFrame:
+def filter_quality(docs: DataFrame, *, text_col: str = "text", min_posterior: float = 0.5) -> DataFrame:
     """The documents that judge() keeps, with all their columns."""
-    return judge(docs, carry=tuple(c for c in docs.columns if c != options.get("id_col", "doc_id")), **options).where("kept").select(*docs.columns)
+    return unnested(_judged(docs, text_col, min_posterior, docs.columns).where("kept"))
+
+
+def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read(spark, sf_dir, "documents"))
