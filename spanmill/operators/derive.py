@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spanmill.functions import patterns as P
 from spanmill.functions.predicates import predicate
 from spanmill.operators.pii import analyze
-from spanmill.plans.registry import LENSES, SPAN_TYPES
+from spanmill.plans.registry import INTERMEDIATES, LENSES, SPAN_TYPES
 from spanmill.sources.pricing import RATES
 
 #: What an emission scope blanks of the path. The endpoint is never blanked.
@@ -102,7 +102,8 @@ def derive(spans: DataFrame, lens: str, pricing: DataFrame | None = None, policy
     kinds = SPAN_TYPES[lens]
     own = spans.where(F.col("span_type").isin(*kinds)) if kinds else spans
     own = own.withColumn(P.META, P.parsed_metadata())
-    own = _performance(own) if lens == "performance" else _cost(own, pricing) if lens == "cost" else _safety(own, policy)
+    built_in = {"performance": lambda s: _performance(s), "cost": lambda s: _cost(s, pricing), "safety": lambda s: _safety(s, policy)}
+    own = built_in[lens](own) if lens in built_in else INTERMEDIATES[lens](own, pricing, policy) if lens in INTERMEDIATES else own
     specs = [m for m in LENSES[lens] if m.per_span and (metrics is None or m.name in metrics)]
     none = F.lit(None).cast("string")
     wide = own.select(

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,33 +33,29 @@ def gold_spans(docs: DataFrame) -> DataFrame:
     return docs.withColumn("gold", done)
 
 
-def overlaps(pred: tuple, gold: tuple, min_iou: float) -> bool:
-    shared = min(pred[1], gold[1]) - max(pred[0], gold[0])
-    union = max(pred[1], gold[1]) - min(pred[0], gold[0])
-    return pred[2] == gold[2] and union > 0 and max(0, shared) / union >= min_iou
+def _overlap(p, g):
+    """The share of two spans' common stretch that both cover; 0 for spans of different types."""
+    both = F.least(p["end"], g["end"]) - F.greatest(p["start"], g["start"])
+    whole = F.greatest(p["end"], g["end"]) - F.least(p["start"], g["start"])
+    return F.when((p["entity_type"] == g["entity_type"]) & (both > 0), both / whole).otherwise(0.0)
 
 
 def match_counts(docs: DataFrame, min_iou: float = 0.5) -> DataFrame:
     """(entity_type, tp, fp, fn) from docs (predicted, gold), each an array<(start, end, entity_type)>.
 
-    Greedy: a prediction, in order, takes the first gold span that it matches and that is free.
+    Greedy: a prediction, in order, takes the first gold span that it overlaps enough and that is free.
+    A fold over the predictions within the row: its state is the places of the gold spans taken, -1 for none.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            rows = []
-            for predicted, gold in zip(frame["predicted"], frame["gold"]):
-                gold = [(g["start"], g["end"], g["entity_type"]) for g in gold]
-                free = set(range(len(gold)))
-                for p in ((p["start"], p["end"], p["entity_type"]) for p in predicted):
-                    hit = next((i for i in sorted(free) if overlaps(p, gold[i], min_iou)), None)
-                    free.discard(hit)
-                    rows.append((p[2], int(hit is not None), int(hit is None), 0))
-                rows += [(gold[i][2], 0, 0, 1) for i in sorted(free)]
-            yield pd.DataFrame(rows, columns=["entity_type", "tp", "fp", "fn"])
-
-    found = docs.select("predicted", "gold").mapInPandas(run, "entity_type string, tp long, fp long, fn long")
-    return found.groupBy("entity_type").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    spans = lambda c: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity_type"].alias("entity_type")))
+    own = docs.select(spans("predicted").alias("_p"), spans("gold").alias("_g"))
+    fits = F.transform("_p", lambda p: F.filter(F.transform("_g", lambda g, k: F.when(_overlap(p, g) >= min_iou, k).otherwise(-1)), lambda k: k >= 0))
+    first = lambda taken, places: F.coalesce(F.get(F.filter(places, lambda k: ~F.array_contains(taken, k)), F.lit(0)), F.lit(-1))
+    taken = F.aggregate("_fits", F.expr("cast(array() as array<int>)"), lambda acc, places: F.array_append(acc, first(acc, places)))
+    done = own.withColumn("_fits", fits).withColumn("_taken", taken)
+    hits = F.zip_with("_p", "_taken", lambda p, k: F.struct(p["entity_type"].alias("entity_type"), (k >= 0).cast("long").alias("tp"), (k < 0).cast("long").alias("fp"), F.lit(0).cast("long").alias("fn")))
+    free = F.filter("_g", lambda g, k: ~F.array_contains("_taken", k))
+    missed = F.transform(free, lambda g: F.struct(g["entity_type"].alias("entity_type"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), F.lit(1).cast("long").alias("fn")))
+    return done.select(F.explode(F.concat(hits, missed)).alias("_m")).groupBy("_m.entity_type").agg(*[F.sum(f"_m.{c}").alias(c) for c in ("tp", "fp", "fn")])
 
 
 def scores(counts: DataFrame) -> DataFrame:
@@ -72,3 +65,9 @@ def scores(counts: DataFrame) -> DataFrame:
     share = lambda n, d: F.when(d > 0, n / d).otherwise(0.0)
     p, r = share(F.col("tp"), F.col("tp") + F.col("fp")), share(F.col("tp"), F.col("tp") + F.col("fn"))
     return rows.select("entity_type", "tp", "fp", "fn", F.round(p, 6).alias("precision"), F.round(r, 6).alias("recall"), F.round(share(2 * p * r, p + r), 6).alias("f1"))
+
+
+def latency_stats(runs: DataFrame, column: str = "latency_ms", *by: str) -> DataFrame:
+    """Count, mean, deviation, extremes and quantiles of how long runs took, per key."""
+    own = [F.count(column).alias("n"), F.round(F.avg(column), 4).alias("mean"), F.round(F.stddev_pop(column), 4).alias("deviation"), F.min(column).alias("least"), F.max(column).alias("most")]
+    return runs.groupBy(*by).agg(*own, *[F.round(F.percentile(column, F.lit(q)), 4).alias(f"p{round(100 * q)}") for q in (0.5, 0.95, 0.99)])

@@ -1,14 +1,17 @@
 """Detection and de-identification of personal data in text by scored patterns, with a policy.
 
 Detections are (entity_type, start, end, text, score, source), offsets in code points. Patterns with a
-group report the group. resolve() settles overlaps: the longest span wins, then the highest score, then
+group report the group. A bare pattern of CONTEXT's types scores low by itself; a word of its type among
+the WINDOW words before it lifts the score by BOOST, to LEAST at least. resolve() settles overlaps: the longest span wins, then the highest score, then
 the first start; analyze() settles them among detections of one type only, so that a text counts
 once per type. Named-entity recognition plugs in as a function; none is supplied.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -41,6 +44,9 @@ PATTERNS: list[tuple[str, str, float]] = [
     (r"(?:age[d]?|years?\s+old)[:\s]+\d{1,3}\b|\b\d{1,3}\s*(?:years?|yrs?)[\s\-]+old\b", "AGE", 0.80),
     (r"(?:NPI|National\s+Provider\s+Identifier)[:\s#]+\d{10}\b", "MEDICAL_LICENSE", 0.88),
     (r"(?:account|acct|bank\s+acct?)(?:\s+(?:no\.?|number|#))?[:\s]+\d{8,17}\b", "US_BANK_NUMBER", 0.80),
+]
+# The patterns whose score a word before them lifts.
+SCORED: list[tuple[str, str, float]] = [
     (r"(?:DOB|Date\s+of\s+Birth|Born|Birth\s+Date|Birthdate)[:\s]+\d{1,2}[/\-]\d{1,2}[/\-]\d{2,4}", "DATE_OF_BIRTH", 0.95),
     (r"(?:DOB|Date\s+of\s+Birth|Born|Birth\s+Date|Birthdate)[:\s]+\d{4}-\d{2}-\d{2}", "DATE_OF_BIRTH", 0.95),
     (r"\b\d{1,2}[/\-]\d{1,2}[/\-]\d{2,4}\b", "DATE_OF_BIRTH", 0.40),
@@ -64,6 +70,27 @@ PATTERNS: list[tuple[str, str, float]] = [
     (r"\bwww\.[a-zA-Z0-9][a-zA-Z0-9\-\.]+\.[a-zA-Z]{2,}(?:[/?#][^\s]*)?\b", "URL", 0.85),
     (r"\b[a-zA-Z0-9][a-zA-Z0-9\-]+\.(?:com|net|org|io|co|me|info|edu|gov|mil)\b", "URL", 0.50),
 ]
+# Parts of words that speak for a type when they stand shortly before it, and what they add to the score.
+CONTEXT: dict[str, tuple[str, ...]] = {
+    "DATE_OF_BIRTH": ("dob", "born", "birthdate", "birthday", "birth"),
+    "MEDICAL_RECORD_NUMBER": ("mrn", "chart", "encounter", "registration", "emr", "ehr", "policy", "identification", "hospital", "record", "medical"),
+    "AGE": ("age", "aged", "yrs", "yr", "pediatric", "geriatric", "neonatal", "adolescent", "child", "adult", "elderly", "infant"),
+    "ZIP_CODE": ("zip", "zipcode", "postal", "city", "state", "address"),
+    "MEDICAL_LICENSE": ("npi",),
+    "US_BANK_NUMBER": ("account", "acct", "routing", "checking", "savings", "aba", "transit"),
+    "MEDICARE_ID": ("medicare", "beneficiary", "mbi", "cms"),
+    "URL": ("website", "blog", "site", "portfolio", "online", "visit", "www", "web", "url", "link", "page", "profile", "personal"),
+}
+BOOST, LEAST, WINDOW = 0.35, 0.4, 5
+# Labels of common named-entity models, and the entity types they stand for.
+MODEL_LABELS = {
+    "PER": "PERSON", "PERSON": "PERSON", "NAME": "PERSON", "PATIENT": "PERSON", "DOCTOR": "PERSON", "STAFF": "PERSON", "HONORIFIC": "PERSON", "TITLE": "PERSON",
+    "LOC": "LOCATION", "LOCATION": "LOCATION", "GPE": "LOCATION", "CITY": "LOCATION", "STATE": "LOCATION", "COUNTRY": "LOCATION", "STREET": "LOCATION", "HOSPITAL": "LOCATION", "HOSP": "LOCATION", "COORDINATE": "LOCATION",
+    "DATE": "DATE_TIME", "TIME": "DATE_TIME", "DATE_TIME": "DATE_TIME", "PHONE": "PHONE_NUMBER", "PHONE_NUMBER": "PHONE_NUMBER", "FAX": "PHONE_NUMBER", "EMAIL": "EMAIL_ADDRESS", "EMAIL_ADDRESS": "EMAIL_ADDRESS", "URL": "URL",
+    "ID": "MEDICAL_RECORD_NUMBER", "MEDICALRECORD": "MEDICAL_RECORD_NUMBER", "SSN": "US_SSN", "US_SSN": "US_SSN", "ZIP": "ZIP_CODE", "AGE": "AGE", "US_PASSPORT": "US_PASSPORT", "US_DRIVER_LICENSE": "US_DRIVER_LICENSE",
+    "US_BANK_NUMBER": "US_BANK_NUMBER", "CREDIT_CARD": "CREDIT_CARD", "IBAN_CODE": "IBAN_CODE", "IP_ADDRESS": "IP_ADDRESS", "ORG": "ORG", "ORGANIZATION": "ORG", "PATORG": "ORG", "FINANCIAL": "ORG",
+    "OTHERPHI": "NRP", "USERNAME": "NRP", "NRP": "NRP", "PROFESSION": "NRP", "MISC": "NRP", "MAC_ADDRESS": "NRP", "IMEI": "NRP", "PASSWORD": "NRP", "US_ITIN": "US_SSN", "US_LICENSE_PLATE": "NRP",
+}
 # The entity types, and the default policy's strategies that aren't redact.
 ENTITY_TYPES = [
     "PERSON", "EMAIL_ADDRESS", "PHONE_NUMBER", "US_SSN", "CREDIT_CARD", "DATE_TIME", "DATE_OF_BIRTH", "LOCATION", "US_DRIVER_LICENSE", "US_PASSPORT", "IP_ADDRESS",
@@ -72,7 +99,7 @@ ENTITY_TYPES = [
 DEFAULT_STRATEGIES = {
     "PERSON": "replace", "CREDIT_CARD": "mask", "DATE_TIME": "replace", "LOCATION": "replace", "AGE": "replace", "ZIP_CODE": "mask", "NRP": "replace", "ORG": "replace",
 }
-STRATEGIES = ("redact", "mask", "replace")
+STRATEGIES = ("redact", "mask", "replace", "stand_in")
 
 DETECTION = "entity_type string, start int, end int, text string, score double, source string"
 #: A recognizer of named entities: texts to lists of (entity_type, start, end, score).
@@ -120,23 +147,58 @@ STRICT, LENIENT = Policy(), Policy(score_threshold=0.35)
 
 
 @lru_cache(maxsize=1)
-def _compiled() -> list[tuple[re.Pattern, str, float, bool]]:
-    """Pattern, type, score, and whether a match holds a digit: all do but addresses, links and policy numbers."""
-    return [(re.compile(p, re.IGNORECASE), e, s, e not in ("EMAIL_ADDRESS", "URL") and "Insurance" not in p) for p, e, s in PATTERNS]
+def _compiled() -> list[tuple[re.Pattern, str, float, bool, tuple[str, ...]]]:
+    """Pattern, type, score, whether a match holds a digit (all do but addresses, links and policy numbers), and context words."""
+    return [
+        (re.compile(p, re.IGNORECASE), e, s, e not in ("EMAIL_ADDRESS", "URL") and "Insurance" not in p, CONTEXT.get(e, ()) if lifted else ())
+        for lifted, own in ((False, PATTERNS), (True, SCORED)) for p, e, s in own
+    ]
+
+
+def lifted(score: float) -> float:
+    """A score with a word of context before it."""
+    return round(min(1.0, max(score + BOOST, LEAST)), 2)
+
+
+class _Words:
+    """The words of a text, in lower case, by where they end. Found when first asked for."""
+
+    def __init__(self, text: str):
+        self.text, self.ends, self.words = text, None, []
+
+    def before(self, start: int) -> list[str]:
+        if self.ends is None:
+            found = [(m.end(), m[0].lower()) for m in re.finditer(r"[A-Za-z0-9_]+", self.text)]
+            self.ends, self.words = [e for e, _ in found], [w for _, w in found]
+        k = bisect_right(self.ends, start)
+        return self.words[max(0, k - WINDOW) : k]
 
 
 def detect_text(text: str, policy: Policy) -> list[tuple]:
     """Every detection that the policy allows, in order of patterns, unresolved."""
-    out, has_digit = [], re.search(r"\d", text) is not None
-    for pattern, entity, score, needs_digit in _compiled():
-        if needs_digit and not has_digit or not policy.allows(entity, score):
+    out, has_digit, words = [], re.search(r"\d", text) is not None, _Words(text)
+    for pattern, entity, score, needs_digit, context in _compiled():
+        if needs_digit and not has_digit or not policy.allows(entity, lifted(score) if context else score):
             continue
         for m in pattern.finditer(text):
-            g = 1 if m.lastindex else 0
-            out.append((entity, m.start(g), m.end(g), m[g], score, "regex"))
+            near = bool(context) and any(c in w for w in words.before(m.start()) for c in context)
+            own, g = lifted(score) if near else score, 1 if m.lastindex else 0
+            if policy.allows(entity, own):
+                out.append((entity, m.start(g), m.end(g), m[g], own, "regex"))
     return out
 
 
+def mapped(recognizer: Recognizer, labels: dict[str, str] | None = None) -> Recognizer:
+    """A recognizer whose model has labels of its own, in this module's entity types. Other labels are left out, and prefixes like B- cut."""
+    own = MODEL_LABELS if labels is None else labels
+    plain = lambda x: x.split("-", 1)[1] if x[:2] in ("B-", "I-", "L-", "U-", "E-", "S-") else x
+
+    def run(texts: list[str]) -> list[list[tuple[str, int, int, float]]]:
+        return [[(own[plain(e)], a, b, s) for e, a, b, s in found if plain(e) in own] for found in recognizer(texts)]
+
+    return run
+
+
 def resolve(found: Iterable[tuple], within_type: bool = False) -> list[tuple]:
     """Detections without overlaps, by start. within_type looks only at detections of the same type."""
     kept: list[tuple] = []
@@ -182,8 +244,20 @@ def analyze(text: Column, policy: Policy | None = None, recognizer: Recognizer |
     return run(text)
 
 
+def stand_in(text: str, salt: str = "") -> str:
+    """A value of the same shape: other digits for digits, other letters for letters of their case, all else as it is.
+
+    Equal texts get equal values under one salt, so that records still match.
+    """
+    draws = hashlib.shake_256(f"{salt}\x00{text}".encode("utf-8", "surrogatepass")).digest(len(text) or 1)
+    pick = lambda c, d: chr(48 + d % 10) if c.isdigit() else chr(65 + d % 26) if c.isupper() else chr(97 + d % 26) if c.isalpha() else c
+    return "".join(map(pick, text, draws))
+
+
 def replacement(entity_type: str, text: str, strategy: str) -> str:
-    """What stands for a detection: [TYPE], asterisks over up to 500 characters, or <TYPE>."""
+    """What stands for a detection: [TYPE], asterisks over up to 500 characters, <TYPE>, or a value of its shape."""
+    if strategy == "stand_in":
+        return stand_in(text)
     if strategy == "mask":
         return "*" * min(len(text), 500) + text[500:]
     return f"<{entity_type}>" if strategy == "replace" else f"[{entity_type}]"
@@ -218,9 +292,16 @@ def anonymize(docs: DataFrame, text_col: str = "text", policy: Policy | None = N
     return docs.withColumn("_done", run(F.col(text_col))).select(*docs.columns, "_done.*")
 
 
-def audit_rows(anonymized: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One row per entry of the audit, never with the text."""
-    return anonymized.select(F.col(id_col).alias("document_id"), F.explode("audit").alias("_e")).select("document_id", "_e.*")
+def audit_rows(anonymized: DataFrame, id_col: str = "doc_id", at: Column | None = None) -> DataFrame:
+    """One row per entry of the audit, never with the text; timestamp is at, or the time of the query."""
+    when = (F.current_timestamp() if at is None else at).alias("timestamp")
+    return anonymized.select(F.col(id_col).alias("document_id"), F.explode("audit").alias("_e")).select("document_id", "_e.*", when)
+
+
+def audit_records(anonymized: DataFrame, id_col: str = "doc_id", at: Column | None = None) -> DataFrame:
+    """One row per document: document_id, entities_found, entities_processed, timestamp, entries."""
+    when = (F.current_timestamp() if at is None else at).alias("timestamp")
+    return anonymized.select(F.col(id_col).alias("document_id"), F.size("audit").alias("entities_found"), F.size("audit").alias("entities_processed"), when, F.col("audit").alias("entries"))
 
 
 def count_matches(text: Column, entity_type: str) -> Column:

@@ -59,8 +59,8 @@ def gauge(samples: DataFrame, window: str = "5m", by: tuple[str, ...] = ("soluti
 
 def allocated(costs: DataFrame, shares: DataFrame, by: tuple[str, ...] = ("solution_id",)) -> DataFrame:
     """Infrastructure cost (amount, in one row or more) dealt out by shares (by, share)."""
-    total, amount = shares.agg(F.sum("share")).first()[0], costs.agg(F.sum("amount")).first()[0]
-    return shares.select(*by, (F.col("share") * F.lit(amount) / F.lit(total)).alias("value"))
+    whole = shares.agg(F.sum("share").alias("_shares")).crossJoin(costs.agg(F.sum("amount").alias("_amount")))  # one row
+    return shares.crossJoin(F.broadcast(whole)).select(*by, (F.col("share") * F.col("_amount") / F.col("_shares")).alias("value"))
 
 
 def budget_utilization(rows: DataFrame, budgets: DataFrame, by: tuple[str, ...] = ("solution_id",)) -> DataFrame:

@@ -138,7 +138,29 @@ def scope_fanout_counts(spark, sf_dir):
     return _perf(spark, sf_dir, {"latency"}).groupBy("scope", "endpoint", "workflow_id", "agent_id", "component_id").agg(F.count("*").alias("n"))
 
 
-_SPEC_VALUES = ", ".join(f"('{m.lens}', '{m.name}', '{m.unit}', '{m.window}', {str(m.threshold).lower()}, {str(m.per_span).lower()})" for m in every_metric())
+# The metrics, stated apart from the registry that they are held against.
+_SPEC_VALUES = """
+  ('performance', 'latency', 'ms', '5m', true, true), ('performance', 'error_rate', 'ratio', '5m', true, true),
+  ('performance', 'timeout_count', 'count', '5m', false, true), ('performance', 'time_to_first_token', 'ms', '5m', true, true),
+  ('performance', 'inter_token_latency', 'ms', '5m', false, true), ('performance', 'queue_wait_time', 'ms', '5m', false, true),
+  ('performance', 'scheduling_delay', 'ms', '5m', false, true), ('performance', 'retry_count', 'count', '15m', true, true),
+  ('performance', 'retry_delay', 'ms', '15m', false, true), ('performance', 'rate_limit_hit', 'ratio', '5m', false, true),
+  ('performance', 'rate_limit_wait', 'ms', '5m', false, true), ('performance', 'records_processed', 'count', '5m', false, true),
+  ('performance', 'batch_size', 'count', '5m', false, true), ('performance', 'token_throughput', 'tok/sec', '5m', false, true),
+  ('performance', 'throughput', 'ops/sec', '5m', true, false), ('performance', 'concurrency', 'gauge', '5m', false, false),
+  ('performance', 'messages_in_flight', 'gauge', '5m', false, false), ('cost', 'input_tokens', 'count', '1h', false, true),
+  ('cost', 'output_tokens', 'count', '1h', false, true), ('cost', 'total_tokens', 'count', '1h', true, true),
+  ('cost', 'cached_tokens', 'count', '1h', false, true), ('cost', 'reasoning_tokens', 'count', '1h', false, true),
+  ('cost', 'embedding_tokens', 'count', '1h', false, true), ('cost', 'search_units', 'count', '1h', false, true),
+  ('cost', 'cost', 'USD', '1d', true, true), ('cost', 'input_cost', 'USD', '1d', false, true),
+  ('cost', 'output_cost', 'USD', '1d', false, true), ('cost', 'tool_api_cost', 'USD', '1d', false, true),
+  ('cost', 'embedding_cost', 'USD', '1d', false, true), ('cost', 'infrastructure_cost', 'USD', '1d', false, false),
+  ('cost', 'cost_per_outcome', 'USD', '1d', true, false), ('cost', 'wasted_cost', 'USD', '1d', false, true),
+  ('cost', 'retry_cost', 'USD', '1d', false, true), ('cost', 'cost_per_token', 'USD/token', '1h', false, true),
+  ('cost', 'cache_savings', 'USD', '1d', false, true), ('cost', 'cost_per_record', 'USD', '1d', false, false),
+  ('cost', 'budget_utilization', '0-1', '1h', true, false), ('cost', 'burn_rate', 'USD/hr', '1h', true, false),
+  ('cost', 'projected_cost', 'USD', '1d', false, false), ('safety', 'pii_count', 'count', '1h', true, true),
+  ('safety', 'pii_detected', 'ratio', '1h', true, true), ('safety', 'pii_distinct_types', 'count', '1h', false, true)"""
 
 
 @query("spec_catalogue", f"SELECT * FROM (VALUES {_SPEC_VALUES}) AS t(lens, metric, unit, \"window\", threshold, per_span)")
@@ -162,15 +184,14 @@ _DUCK_BUCKET = {"1m": "date_trunc('minute', ts)", "5m": "time_bucket(INTERVAL 5
 def _rolled(name: str, window: str) -> None:
     keys = "scope, solution_id, endpoint, component_id, environment, metric"
     sql = f"""{_PERF} SELECT {keys}, CAST(epoch({_DUCK_BUCKET[window]}) AS BIGINT) AS bucket_s, count(*) AS count, round(sum(value), 4) AS sum_value,
-      min(value) AS min_value, max(value) AS max_value, round(sum(value) / count(*), 4) AS avg_value FROM rows WHERE metric IN ('latency', 'error_rate') GROUP BY ALL"""
+      min(value) AS min_value, max(value) AS max_value, floor(round(sum(value), 4) / count(*) * 1e4 + 0.5) / 1e4 AS avg_value FROM rows GROUP BY ALL"""
 
     def run(spark, sf_dir):
-        base = rollup.base_rollup(_perf(spark, sf_dir, {"latency", "error_rate"}), "1m", sketch=False)
-        out = base if window == "1m" else rollup.merge(base, window)
-        out = rollup.merge(out, by=["scope", "solution_id", "endpoint", "component_id", "environment", "metric"])
+        base = rollup.base_rollup(_perf(spark, sf_dir), "1m", sketch=False)
+        out = rollup.merge(base, window, by=["scope", "solution_id", "endpoint", "component_id", "environment", "metric"])
         return out.select(
             "scope", "solution_id", "endpoint", "component_id", "environment", "metric", F.unix_seconds("bucket").alias("bucket_s"), "count", F.round("sum_value", 4).alias("sum_value"),
-            "min_value", "max_value", F.round(rollup.average(), 4).alias("avg_value"),
+            "min_value", "max_value", (F.floor(F.round("sum_value", 4) / F.col("count") * 1e4 + 0.5) / 1e4).alias("avg_value"),
         )
 
     query(name, sql)(run)
@@ -254,18 +275,18 @@ _RULES = [("performance", "error_rate", "solution", "1d", "gt", 0.02, 0.05), ("p
 
 
 @query("threshold_signals", f"""{_PERF}, v AS (
-    SELECT metric, solution_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS bucket_s, avg(value) AS value FROM rows WHERE metric IN ('error_rate', 'latency') AND scope = 'solution' GROUP BY ALL
+    SELECT metric, solution_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS bucket_s, if(metric = 'latency', quantile_cont(value, 0.95), avg(value)) AS value FROM rows WHERE metric IN ('error_rate', 'latency') AND scope = 'solution' GROUP BY 1, 2, 3
     UNION ALL SELECT 'throughput', solution_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT), count(*) / 86400.0::DOUBLE FROM rows WHERE metric = 'latency' AND scope = 'solution' GROUP BY ALL
   ), t(metric, operator, warning, critical) AS (VALUES {', '.join(f"('{m}', '{o}', {w}::DOUBLE, {c}::DOUBLE)" for _, m, _, _, o, w, c in _RULES)})
   SELECT metric, solution_id, bucket_s, round(value, 6) AS value, CASE
     WHEN operator = 'gt' AND value > critical OR operator = 'lt' AND value < critical THEN 'critical'
     WHEN operator = 'gt' AND value > warning OR operator = 'lt' AND value < warning THEN 'warning' ELSE 'ok' END AS status FROM v JOIN t USING (metric)""")
 def threshold_signals(spark, sf_dir):
-    states = rollup.merge(rollup.base_rollup(_perf(spark, sf_dir, {"error_rate", "latency"}), sketch=False), "1d", by=["scope", "solution_id", "metric"]).where("scope = 'solution'")
-    own = states.select("metric", "solution_id", "bucket", rollup.average().alias("value"))
-    rate = states.where("metric = 'latency'").select(F.lit("throughput").alias("metric"), "solution_id", "bucket", (F.col("count") / 86400.0).alias("value"))
+    rows = _perf(spark, sf_dir, {"error_rate", "latency"}).where("scope = 'solution'")
+    own = thresholds.reduced(rows, "1d", ["solution_id"])
+    rate = own.where("metric = 'latency'").select(F.lit("throughput").alias("metric"), "solution_id", "bucket", (F.col("count") / 86400.0).alias("value"), "count")
     none = [F.lit("").alias(c) for c in thresholds.PATH if c != "solution_id"]
-    values = own.unionAll(rate).select("*", F.lit("solution").alias("scope"), F.lit("1d").alias("time_window"), *none)
+    values = own.unionByName(rate).drop("count").select("*", F.lit("solution").alias("scope"), F.lit("1d").alias("time_window"), *none)
     out = thresholds.judged(values, config.thresholds_by_rule(spark, _RULES, config.SOLUTIONS))
     return out.select("metric", "solution_id", F.unix_seconds("bucket").alias("bucket_s"), F.round("value", 6).alias("value"), "status")
 
@@ -318,15 +339,38 @@ def pii_redact(spark, sf_dir):
 
 
 @query("pii_mask", f"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{_duck('IP_ADDRESS')}')) AS x FROM documents)
-  SELECT doc_id, left(x, 2) || repeat('*', CAST(len(x) - 4 AS INTEGER)) || right(x, 2) AS masked, count(*) AS n FROM m WHERE len(x) >= 8 GROUP BY ALL""")
+  SELECT doc_id, if(len(x) < 8, left(x, 1) || repeat('*', CAST(len(x) - 2 AS INTEGER)) || right(x, 1), left(x, 2) || repeat('*', CAST(len(x) - 4 AS INTEGER)) || right(x, 2)) AS masked, count(*) AS n FROM m GROUP BY ALL""")
 def pii_mask(spark, sf_dir):
     found = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("(?i)" + next(p for p, e, _ in pii.PATTERNS if e == "IP_ADDRESS")), F.lit(0))).alias("x"))
-    return found.where(F.length("x") >= 8).groupBy("doc_id", pii.partly_masked(F.col("x")).alias("masked")).agg(F.count("*").alias("n"))
+    return found.groupBy("doc_id", pii.partly_masked(F.col("x")).alias("masked")).agg(F.count("*").alias("n"))
 
 
 @query("pii_audit_entries")
 def pii_audit_entries(spark, sf_dir):
-    return pii.audit_rows(pii.anonymize(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return pii.audit_rows(pii.anonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))).drop("timestamp")
+
+
+_LIFTED = {"US_BANK_NUMBER": r"\d{8,17}", "MEDICAL_RECORD_NUMBER": r"\d{6,10}", "ZIP_CODE": r"\d{5}"}
+
+
+def _after_context(entity: str) -> str:
+    """RE2: a bare number of a type with a word of its context among the five words before it."""
+    return rf"(?i)\b[A-Z0-9_]*(?:{'|'.join(pii.CONTEXT[entity])})[A-Z0-9_]*[^A-Z0-9_]+(?:[A-Z0-9_]+[^A-Z0-9_]+){{0,4}}\b{_LIFTED[entity]}\b"
+
+
+@query("pii_context", "SELECT doc_id, " + ", ".join(f"coalesce(regexp_matches(text, '{_after_context(e)}'), false) AS {e.lower()}" for e in _LIFTED) + " FROM documents")
+def pii_context(spark, sf_dir):
+    own = pii.Policy(score_threshold=0.75, disabled=frozenset(pii.ENTITY_TYPES) - set(_LIFTED))
+    found = pii.detect(F.col("text"), own, resolved=False)
+    bare = lambda e: F.exists("found", lambda d: (d["entity_type"] == e) & d["text"].rlike(rf"^{_LIFTED[e]}$"))
+    return table(spark, sf_dir, "documents").select("doc_id", found.alias("found")).select("doc_id", *[bare(e).alias(e.lower()) for e in _LIFTED])
+
+
+@query("pii_latency_stats", """SELECT solution_id, count(*) AS n, round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS deviation, min(value) AS least, max(value) AS most, round(quantile_cont(value, 0.5), 4) AS p50,
+  round(quantile_cont(value, 0.95), 4) AS p95, round(quantile_cont(value, 0.99), 4) AS p99 FROM (SELECT value, if(event_type = 'error', 'failed', 'done') AS solution_id FROM events WHERE value IS NOT NULL) GROUP BY solution_id""")
+def pii_latency_stats(spark, sf_dir):
+    own = table(spark, sf_dir, "events").where("value is not null").select("value", F.when(F.col("event_type") == "error", "failed").otherwise("done").alias("solution_id"))
+    return evaluate.latency_stats(own, "value", "solution_id")
 
 
 _ANNOTATED = [
@@ -352,10 +396,8 @@ def parity_tolerance(spark, sf_dir):
     return parity.within_tolerance(produced, expected, {"latency": 1.5, "error_rate": 0.0})
 
 
-_PRODUCED = ("latency", "error_rate", "timeout_count", "time_to_first_token", "queue_wait_time", "retry_count", "rate_limit_hit", "token_throughput")
-
-
-@query("missing_metrics", "SELECT * FROM (VALUES " + ", ".join(f"('{m.name}')" for m in LENSES["performance"] if m.name not in _PRODUCED) + ") AS t(metric)")
+@query("missing_metrics", """SELECT * FROM (VALUES ('inter_token_latency'), ('scheduling_delay'), ('retry_delay'), 
+  ('rate_limit_wait'), ('records_processed'), ('batch_size'), ('throughput'), ('concurrency'), ('messages_in_flight')) AS t(metric)""")
 def missing_metrics(spark, sf_dir):
     return parity.missing_metrics(catalogue(spark).where("lens = 'performance'"), _perf(spark, sf_dir))
 

@@ -122,6 +122,30 @@ SCORED = {
 }
 
 
+#: Lenses of the caller's own: what adds a lens's intermediate columns to spans, of (spans, pricing, policy).
+INTERMEDIATES: dict[str, Callable] = {}
+
+
+def register_lens(lens: str, metrics: list[Metric], span_types: tuple[str, ...] | None = None, intermediates: Callable[[DataFrame, DataFrame | None, object], DataFrame] | None = None) -> None:
+    """A lens with metrics of its own. intermediates adds the columns that its values read, once per batch of
+    spans, so it may run a UDF over them; without one, values read the span and its metadata alone."""
+    if lens in LENSES:
+        raise ValueError(f"lens exists: {lens}")
+    for m in metrics:
+        if m.lens != lens:
+            raise ValueError(f"{m.name} belongs to lens {m.lens}")
+    LENSES[lens], SPAN_TYPES[lens] = list(metrics), span_types
+    if intermediates is not None:
+        INTERMEDIATES[lens] = intermediates
+
+
+def register_metric(metric: Metric) -> None:
+    """A further metric of a lens that exists; a name that the lens has is an error."""
+    if metric.name in owned(metric.lens):
+        raise ValueError(f"metric exists: {metric.name}")
+    LENSES[metric.lens].append(metric)
+
+
 def every_metric() -> list[Metric]:
     return [m for specs in LENSES.values() for m in specs]
 

@@ -51,7 +51,10 @@ def next_batch(spans: DataFrame, since: str, limit: int, span_types: tuple[str,
 
 
 class Cursors:
-    """A cursor per lens for batch jobs, as a small table in a folder that all jobs share."""
+    """A cursor per lens for batch jobs, as a small table in a folder that all jobs share.
+
+    recorded_at is text of one form (ISO, UTC), so that the greatest line is the last cursor.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -59,12 +62,12 @@ class Cursors:
     def load(self, lens: str) -> tuple[str, str]:
         """(recorded_at, span_id) of the last span done."""
         try:
-            found = self.spark.read.schema("body string").text(f"{self.path}/{lens}").collect()
+            found = self.spark.read.schema("body string").text(f"{self.path}/{lens}").agg(F.max("body")).where("`max(body)` is not null").collect()
         except Exception as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
             found = []
-        return max((tuple(json.loads(r[0])) for r in found), default=(EPOCH, ""))
+        return tuple(json.loads(found[0][0])) if found else (EPOCH, "")
 
     def save(self, lens: str, recorded_at: str, span_id: str) -> None:
         """Appended, never rewritten: a lost write leaves the cursor where it was."""

@@ -56,6 +56,26 @@ def states_of(spark: SparkSession, out: str) -> DataFrame:
     return merge(spark.read.parquet(f"{out.rstrip('/')}/states").drop("lens", "batch"))
 
 
+def compact(spark: SparkSession, out: str, lens: str, before_batch: int, window: str | None = None) -> None:
+    """Merge a lens's states of batches below before_batch into one table, at a coarser window if given.
+
+    The merged table takes the place of its parts only when it is written in full, and by one rename of
+    each; batches that may still be replayed must not be below before_batch.
+    """
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    root = f"{out.rstrip('/')}/states/lens={lens}"
+    fs = fs_path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    batches = [s.getPath().getName() for s in fs.listStatus(fs_path(root)) if s.getPath().getName().startswith("batch=")]
+    old = [b for b in batches if int(b.removeprefix("batch=")) < before_batch]
+    if len(old) < 2 and not (old and window):
+        return
+    merged = merge(spark.read.option("basePath", f"{out.rstrip('/')}/states").parquet(*[f"{root}/{b}" for b in old]).drop("lens", "batch"), window)
+    merged.write.mode("overwrite").parquet(f"{root}/_merged")
+    for b in old:
+        fs.delete(fs_path(f"{root}/{b}"), True)
+    fs.rename(fs_path(f"{root}/_merged"), fs_path(f"{root}/{max(old, key=lambda b: int(b.removeprefix('batch=')))}"))
+
+
 def start_all(spans: DataFrame, workers: list[Worker], once: bool = False) -> list[StreamingQuery]:
     return [w.start(spans, once=once) for w in workers]
 
