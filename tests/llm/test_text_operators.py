@@ -3,12 +3,14 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from spanmill.llm import boosting, pii, quality, secrets, topk
 from spanmill.llm.common import read
@@ -54,7 +56,7 @@ def test_estimates_find_accuracies(spark):
     prior, table = quality.estimate(patterns, names)
     assert prior == pytest.approx(0.7, abs=0.05)
     for r in names:
-        assert table[r, 1, 1] / (table[r, 1, 1] + table[r, 1, -1]) == pytest.approx(right[r], abs=0.05)
+        assert table[r, 1] == pytest.approx(right[r], abs=0.05) and table[r, 0] == pytest.approx(1 - right[r], abs=0.05)
 
 
 def test_quality_agrees_with_labels(spark):
@@ -66,10 +68,34 @@ def test_quality_agrees_with_labels(spark):
     assert sum(not k for y, k in fair if y == 0) >= 0.8 * sum(y == 0 for y, _ in fair)
 
 
+def test_posteriors_equal_plain_bayes(spark):
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    own = quality.rules()
+    voted = quality.measure(docs).select(F.col("_row.doc_id").alias("doc_id"), *[c.alias(r) for r, c in own.items()]).collect()
+    n = Counter(tuple(r[1:]) for r in voted)
+    good = {v: 0.05 if -1 in v else 0.95 for v in n}
+    for _ in range(300):
+        weight = {y: sum(c * (good[v] if y else 1 - good[v]) for v, c in n.items()) for y in (0, 1)}
+        prior = (weight[1] + 1) / (weight[0] + weight[1] + 2)
+        share = {}
+        for k in range(len(own)):
+            for y in (0, 1):
+                of = lambda want: sum(c * (good[v] if y else 1 - good[v]) for v, c in n.items() if v[k] in want)  # noqa: E731, B023
+                share[k, y] = (of((1,)) + (2 if y else 1)) / (of((1, -1)) + 3)
+        for v in n:
+            p = {y: (prior if y else 1 - prior) * np.prod([share[k, y] if x == 1 else 1 - share[k, y] if x == -1 else 1.0 for k, x in enumerate(v)]) for y in (0, 1)}
+            good[v] = p[1] / (p[0] + p[1])
+    votes = {r["doc_id"]: tuple(r[1:]) for r in voted}
+    for r in quality.judge(docs).collect():
+        assert r["p_good"] == pytest.approx(good[votes[r["doc_id"]]], abs=1e-3) and r["kept"] == (not r["base_failed"] and r["p_good"] >= 0.5)
+
+
 def test_quality_keeps_columns(spark):
-    docs = spark.createDataFrame([(1, "many different words " + " ".join(f"w{k}" for k in range(200)) + ".", 5), (2, "x", 6)], "doc_id long, text string, n_words int")
-    out = quality.filter_quality(docs.withColumnRenamed("n_words", "lang"))
-    assert out.columns == ["doc_id", "text", "lang"] and quality.judge(frame(spark, []).limit(0)).count() == 0
+    names = ["n_words", "calm", "kept", "p_good", "_row", "_words", "_h", "_s", "_p", "_joined", "_lines", "n", "a.b", "base_failed"]
+    docs = spark.createDataFrame([(1, "many different words " + " ".join(f"w{k}" for k in range(200)) + ".", *range(len(names))), (2, "x", *range(len(names)))], ["doc_id", "text", *names])
+    out = quality.filter_quality(docs)
+    assert out.columns == docs.columns and [tuple(r)[2:] for r in out.collect()] == [tuple(range(len(names)))]
+    assert quality.judge(frame(spark, []).limit(0)).count() == 0 and quality.judge(docs).count() == 2
 
 
 def luhn(s):
@@ -126,6 +152,43 @@ def test_redaction(spark):
     assert got == {1: ("mail [EMAIL], ip [IP].", 22), 2: (None, None), 3: ("é [EMAIL]😀", 10), 4: ("none", 4)}
 
 
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["detections", "_row", "_text", "_spans", "_scored", "_new", "kind", "a.b"]
+    docs = spark.createDataFrame([(1, "mail a@b.cc", *"abcdefgh"), (2, None, *"abcdefgh")], ["doc_id", "text", *names])
+    out = pii.redact(docs)
+    assert out.columns == docs.columns and sorted(tuple(r) for r in out.collect()) == [(1, "mail [EMAIL]", *"abcdefgh"), (2, None, *"abcdefgh")]
+
+
+def test_texts_full_of_matches(spark):
+    """Many matches in one text: equal to brute force, whole texts rebuilt, and time about in proportion."""
+    many = lambda n: " ".join(f"u{k}@x.yz é" for k in range(n))
+    took = {}
+    for n in (15_000, 30_000):
+        texts = [many(n), "+1 " * n, "1.2.3.4 " * n]
+        start = time.time()
+        rows = pii.scan_pii(frame(spark, texts)).collect()
+        took[n] = time.time() - start
+        for r in rows:
+            assert tuple(r)[1:6] == pii_base(texts[r["doc_id"]])[0]
+    assert took[30_000] < 60 and took[30_000] < 3 * took[15_000] + 5
+    out = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, [many(20_000), "1.2.3.4 " * 20_000])).collect()}
+    assert out == {0: "[EMAIL] é " * 19_999 + "[EMAIL] é", 1: "[IP] " * 20_000}
+
+
+def test_overlaps_are_settled_like_all_pairs(spark):
+    rng = random.Random(8)
+    parts = ["SSN 123-45-6789", "phone (415) 555-2671", "+49 30 1234567", "4111 1111 1111 1111", "call 415-555-2671", "account 1234567890", "DE12 1234 1234 1234 1234 12", "a@b.cc", "1.2.3.4", "-", " ", "+", "x at y dot com", "12"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "-"]) for _ in range(rng.randint(1, 12))) for _ in range(200)]
+    trees, limits = pii.model(spark)
+    order = list(pii.GENERATORS)
+    base = {r["doc_id"]: r["spans"] for r in pii.scan_pii(frame(spark, texts)).collect()}
+    for r in pii.candidates(frame(spark, texts)).select("_row.doc_id", "_spans", *[F.transform("_spans", lambda s: pii._is_base(s)).alias("base")]).collect():
+        own = [(order.index(s["kind"]), s["start"], s["end"], s["kind"], b, float(trees.scores(np.array([[s[f] for f in pii.FEATURES]]))[0])) for s, b in zip(r["_spans"], r["base"])]
+        own = [s for s in own if s[4] or s[3] not in pii.BASE and s[5] >= limits[s[3]] - 1e-9]
+        kept = [s for s in own if s[4] or not any(o[1] < s[2] and s[1] < o[2] and (o[4] or (-o[5], o[0]) < (-s[5], s[0])) for o in own if o is not s)]
+        assert base[r["doc_id"]] == ",".join(f"{s[3]}:{s[1]}:{s[2]}" for s in sorted(kept)), texts[r["doc_id"]]
+
+
 def test_boosting():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(800, 4))
