@@ -6,9 +6,15 @@ what both have stays, what one lacks becomes optional, a group that repeats in o
 group, and texts that differ become slots. The wrapper tells which slots, by their path, hold the
 article; each page is read through the wrapper of its host.
 
-Alignment starts in the task that reads the pages, which keeps one wrapper per host, and ends with
-one row per host and task; a host with a third of all pages sends no more than that. Wrappers are
-broadcast only if their summed size is below BROADCAST_BYTES, else pages are joined by host with salt.
+Alignment starts in the task that reads the pages, which keeps one wrapper per host for up to HOSTS
+hosts at a time, and goes on in rounds that merge up to GROUP of a host's wrappers in one task, until
+each host has one: a host with a third of all pages sends a row per task, and no task gets more than
+GROUP of them. Wrappers are broadcast only if their summed size is below BROADCAST_BYTES, else pages
+are joined by host with salt.
+
+Two limits bear on which repetitions a wrapper shows, never on which text is read: a repeated group has
+at most FOLD_ITEMS items a time and FOLD_ELEMENTS elements. Texts count as a site's own from FEW pages
+on, and a host of fewer pages is read by elements and names.
 
 Cases: null html is empty and gives an empty text; a null or odd URL counts as a host without a
 name; unclosed and truncated markup is closed where its parent ends; repeated rows give repeated
@@ -34,6 +40,8 @@ from .common import materialize, read
 
 BROADCAST_BYTES = 32 << 20
 SALTS = 64
+HOSTS, GROUP = 1000, 64
+FOLD_ITEMS, FOLD_ELEMENTS, FEW = 48, 3, 3
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>script|style|noscript|template|svg|iframe|object|textarea|select|button|title|canvas|math|video|audio)\b(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>(?:(?<=/>)|.*?(?:</(?P=raw)\s*>|\Z))"
@@ -167,12 +175,12 @@ def _keys(items: list) -> list[str]:
     return [i[0] for i in items if i[0] != "#"]
 
 
-def _fold_end(out: list, longest: int = 24) -> None:
+def _fold_end(out: list, longest: int = FOLD_ITEMS) -> None:
     """Fold the end of out if it repeats what stands before it, either a repeated group or its equal."""
     if out[-1][0] != "</":
         return
-    depth, k = 0, len(out) - 1  # the element that ends here, and up to 3 elements together
-    for _ in range(3):
+    depth, k = 0, len(out) - 1  # the element that ends here, and up to FOLD_ELEMENTS together
+    for _ in range(FOLD_ELEMENTS):
         while k >= 0:
             key = out[k][0]
             depth += (key == "</") - (key[0] == "<" and key != "</")
@@ -387,7 +395,7 @@ def _region(texts: list[list], repeated: dict[str, int], pages: int) -> list[str
             break
         for x in below:
             n, times, again, there, headline = held[x]
-            if x != best and there >= 3 and not headline and (2 * n < held[best][0] and (there < 0.9 * pages or 2 * again > n) or 5 * n < total and n < 60 * times):
+            if x != best and there >= FEW and not headline and (2 * n < held[best][0] and (there < 0.9 * pages or 2 * again > n) or 5 * n < total and n < 60 * times):
                 beside.add(x)
         at = best
     return sorted({t[0] for t in texts if not any(t[0] == x or t[0].startswith(x + "/") for x in beside)}) if beside else []
@@ -411,14 +419,14 @@ def content_of(items: list, pages: int) -> tuple[list[tuple[float, list[str]]],
     for t, again in _texts(items):
         texts.append(t)
         repeated[t[0]] = repeated.get(t[0], 0) + (t[2] if again else 0)
-    least = max(3, 0.9 * pages)
+    least = max(FEW, 0.9 * pages)
     own: dict[str, int] = {}
     for t in texts:
         own[t[0]] = own.get(t[0], 0) + (t[2] if t[1] is None or t[3] < least else 0)
     lifted = lifted_names(own)
     roles = {p: _role(p, lifted) for p in own}
     levels = [(_LEAST[r], sorted(p for p, role in roles.items() if role >= r)) for r in (4, 3, 2, 1, 0) if r in roles.values()]
-    if pages >= 3 and levels and levels[-1][0] == _LEAST[0]:
+    if pages >= FEW and levels and levels[-1][0] == _LEAST[0]:
         unmarked = [t for t in texts if roles[t[0]] >= 0 and not (t[1] is not None and t[3] >= least)]
         levels[-1:-1] = [(_LEAST[2], region)] if (region := _region(unmarked, repeated, pages)) else []
     plain = [t for t in texts if roles[t[0]] <= 0]
@@ -431,31 +439,54 @@ def _host(url) -> str:
     return m[1].lower() if m else ""
 
 
+_PARTS = "host string, wrapper string, pages long"
+
+
+def _rows(own: dict[str, list]) -> pd.DataFrame:
+    return pd.DataFrame([(h, json.dumps(w), n) for h, (w, n) in own.items()], columns=["host", "wrapper", "pages"])
+
+
 def _infer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     own: dict[str, list] = {}
     for frame in batches:
         for url, html in zip(frame["url"].array, frame["html"].array):
             host, items = _host(url), items_of(stream(html or ""))
-            if host in own:
-                own[host] = [merge(own[host][0], items), own[host][1] + 1]
-            else:
-                own[host] = [items, 1]
+            if host not in own and len(own) >= HOSTS:
+                yield _rows(own)
+                own = {}
+            own[host] = [merge(own[host][0], items), own[host][1] + 1] if host in own else [items, 1]
     if own:
-        yield pd.DataFrame([(h, json.dumps(w), n) for h, (w, n) in own.items()], columns=["host", "wrapper", "pages"])
+        yield _rows(own)
 
 
-def _combine(frame: pd.DataFrame) -> pd.DataFrame:
+def _merged(frame: pd.DataFrame) -> tuple[list, int]:
     wrapper, pages = None, 0
     for text, n in sorted(zip(frame["wrapper"], frame["pages"])):
         items = json.loads(text)
-        wrapper, pages = items if wrapper is None else merge(wrapper, items), pages + n
-    return pd.DataFrame([(frame["host"].iloc[0], expression(wrapper), int(pages), json.dumps(content_of(wrapper, pages)))], columns=["host", "wrapper", "pages", "content"])
+        wrapper, pages = items if wrapper is None else merge(wrapper, items), pages + int(n)
+    return wrapper, pages
+
+
+def _joined(frame: pd.DataFrame) -> pd.DataFrame:
+    return _rows({frame["host"].iloc[0]: list(_merged(frame))})
+
+
+def _combine(frame: pd.DataFrame) -> pd.DataFrame:
+    wrapper, pages = _merged(frame)
+    return pd.DataFrame([(frame["host"].iloc[0], expression(wrapper), pages, json.dumps(content_of(wrapper, pages)))], columns=["host", "wrapper", "pages", "content"])
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """host, wrapper (as an expression), pages, content: one row per host."""
-    partial = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInPandas(_infer, "host string, wrapper string, pages long")
-    return partial.groupBy("host").applyInPandas(_combine, "host string, wrapper string, pages long, content string")
+    parts = materialize(pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInPandas(_infer, _PARTS), "wrapper-parts")
+    while True:
+        per = parts.groupBy("host").agg(F.count("*").alias("_n"))
+        if (per.agg(F.max("_n")).first()[0] or 0) <= GROUP:
+            break
+        numbered = parts.withColumn("_id", F.monotonically_increasing_id())  # of stored rows, so equal ones part too
+        dealt = numbered.join(per, "host").withColumn("_salt", F.pmod(F.xxhash64("_id"), F.ceil(2 * F.col("_n") / GROUP))).drop("_id")
+        parts = materialize(dealt.groupBy("host", "_salt").applyInPandas(_joined, _PARTS), "wrapper-parts")
+    return parts.groupBy("host").applyInPandas(_combine, "host string, wrapper string, pages long, content string")
 
 
 @lru_cache(maxsize=20_000)

@@ -111,6 +111,24 @@ def test_structure_tells_the_article_without_names(spark):
     assert [got[k] for k in range(12)] == wanted and len(got[12].split()) >= 50
 
 
+def test_merging_in_rounds_reads_alike(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(k, f"http://{'ab'[k % 5 == 0]}.example/{k}", page(rng, rng.randint(1, 6))) for k in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(30)
+    read = lambda: {r["page_id"]: r["text"] for r in html.extract(pages).collect()}
+    whole = read()
+    monkeypatch.setattr(html, "GROUP", 4)
+    assert read() == whole and html.infer_wrappers(pages).groupBy("host").count().where("count > 1").isEmpty()
+
+
+def test_each_page_alone_reads_differently(spark):
+    """Without the host's wrapper the texts that all its pages share stay, and boxes beside the article too."""
+    rng = random.Random(6)
+    rows = [(k, f"http://a.example/{k}", page(rng, 4)) for k in range(12)]
+    together = {r["page_id"]: r["text"] for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all("Same words" in read_alone(p) and "Same words" not in together[k] for k, _, p in rows)
+
+
 def test_pages_of_repeated_texts():
     pages = ["<body><ul><li>Go</li><li>Go</li><li>Go</li></ul><p>1</p></body>", *(f"<body><p>{k}</p></body>" for k in "234")]
     wrapper = html.items_of(html.stream(pages[0]))
