@@ -416,7 +416,10 @@ def stream_rollup(spark, sf_dir):
 
     from spanmill.streaming.worker import Worker, read_stream, states_of
 
-    shared = spark.conf.get("spark.checkpoint.dir", "") or f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    shared = shared or f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
     own = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
     event_spans(spark, sf_dir).write.parquet(f"{own}/spans")
     Worker("performance", f"{own}/out", f"{own}/checkpoint").start(read_stream(spark, f"{own}/spans", 2), once=True).awaitTermination()

@@ -12,6 +12,7 @@ from spanmill.operators.derive import derive
 from spanmill.operators.pii import STRICT, Policy
 from spanmill.plans import registry
 from spanmill.plans.registry import Metric
+from spanmill.sources import config
 from spanmill.sources import spans as io
 from spanmill.streaming import worker
 from spanmill.testbed import event_spans
@@ -148,6 +149,27 @@ def test_stop(spark, sf_dir, tmp_path):
     assert not running[0].isActive
 
 
+def test_scripts_of_inserts_as_sources(spark, tmp_path):
+    (tmp_path / "seed.sql").write_text("""BEGIN; -- a (comment), with 'quotes'
+INSERT INTO solutions (id, solution_id, note) VALUES ('s1', 'sol_a', 'it''s (one); of two'), ('s2', 'sol_b', NULL);
+INSERT INTO endpoints (id, endpoint_id, solution_id, spec) VALUES ('e1', 'ep_a', 's1', '{"a":1}'::jsonb);
+INSERT INTO bindings (id, solution_id, endpoint_id, workflow_id, agent_id, component_id) VALUES
+ -- [1] a path
+ ('b1', 's1', 'e1', NULL, NULL, 'c1'), ('b2', 's2', 'e1', NULL, NULL, NULL);
+INSERT INTO components (id, component_id) VALUES ('c1', 'model_x');
+INSERT INTO thresholds (category, metric_name, scope, time_window, operator, warning_value, critical_value, solution_id) VALUES ('cost','cost','solution','1h','gt',0.5,-2,'s1');
+INSERT INTO thresholds (metric_name, category, scope, time_window, operator, warning_value, critical_value, solution_id) VALUES ('latency','performance','solution','5m','gt',1,2,'s2');
+COMMIT;""")
+    tables = config.read_inserts(spark, str(tmp_path / "seed.sql"))
+    assert [tuple(r) for r in tables["solutions"].orderBy("id").collect()] == [("s1", "sol_a", "it's (one); of two"), ("s2", "sol_b", None)]
+    empty = {level: spark.createDataFrame([], f"id string, {level}_id string") for level in ("workflow", "agent")}
+    registry_ = {"solution": tables["solutions"], "endpoint": tables["endpoints"], "component": tables["components"], **empty}
+    paths = thresholds.with_business_keys(tables["bindings"], registry_).withColumn("level", thresholds.deepest())
+    assert {(r["solution_id"], r["endpoint_id"], r["component_id"], r["level"]) for r in paths.collect()} == {("sol_a", "ep_a", "model_x", "component"), ("sol_b", "ep_a", None, "endpoint")}
+    own = config.thresholds_of(tables)
+    assert {(r["category"], r["metric_name"], r["warning_value"], r["critical_value"], r["solution_id"], r["agent_id"]) for r in own.collect()} == {("cost", "cost", 0.5, -2.0, "s1", None), ("performance", "latency", 1.0, 2.0, "s2", None)}
+
+
 def test_cursors_collect_one_row(spark, tmp_path):
     own = io.Cursors(spark, str(tmp_path))
     assert own.load("cost") == (io.EPOCH, "")
