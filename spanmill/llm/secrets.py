@@ -74,6 +74,11 @@ class Intervals:
         own = sorted(s[:2] for s in spans)
         self.starts, self.ends = [s[0] for s in own], list(accumulate((s[1] for s in own), max))
 
+    def overlap(self, low: int, high: int) -> bool:
+        """Whether any of them shares a code point with [low, high)."""
+        k = bisect_left(self.starts, high)
+        return k > 0 and self.ends[k - 1] > low
+
     def around(self, low: int, high: int, reach: int) -> tuple[int, int] | None:
         """The least start and the greatest end of those at most reach away from [low, high)."""
         k = bisect_right(self.starts, high + reach)
@@ -89,16 +94,10 @@ def linked_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span
     ids = [s for s in strong if s[2] == "access"] + [(*m.span(), "part_id") for m in IDENTIFIER.finditer(text)]
     if not ids:
         return []
-    covered = sorted((s[0], s[1]) for s in strong)
-    firsts = [s[0] for s in covered]
-
-    def free(a: int, b: int) -> bool:
-        k = bisect_left(firsts, b)
-        return not any(covered[j][1] > a for j in range(max(0, k - 3), k))
-
+    covered = Intervals(strong)
     secrets = [s for s in strong if s[2] != "access"]
-    secrets += [(*m.span(), "part_secret") for m in OPAQUE.finditer(text) if free(*m.span()) and opaque(m[0])]
-    secrets += [(*m.span(), "part_secret") for m in WEAK_ASSIGN.finditer(text) if free(*m.span())]
+    secrets += [(*m.span(), "part_secret") for m in OPAQUE.finditer(text) if not covered.overlap(*m.span()) and opaque(m[0])]
+    secrets += [(*m.span(), "part_secret") for m in WEAK_ASSIGN.finditer(text) if not covered.overlap(*m.span())]
     ends = [(*m.span(), "part_endpoint") for m in ENDPOINT.finditer(text)]
     cuts = [m.start() for m in _SCOPE_END.finditer(text)]
     found: set[Span] = set()
