@@ -297,11 +297,17 @@ def _chunks(rows, words):
     return F.greatest(F.lit(1), F.ceil(rows / BLOCK_ROWS), F.ceil(words / BLOCK_WORDS)).cast("int")
 
 
+def _where_large(counts: DataFrame) -> DataFrame:
+    """counts, broadcast if there are few: what is joined with its members is only the keys with many of them."""
+    return F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts
+
+
 def _starred(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) among pairs (hub, key). A hub's words go once to each chunk of its members."""
     sized = pairs.join(words.select("key", F.col("n").alias("_n")), "key")
-    per = sized.groupBy("hub").agg(_chunks(F.count("*"), F.sum("_n")).alias("_c"))
-    placed = pairs.join(per, "hub").select("hub", "key", F.pmod(F.xxhash64("key"), F.col("_c")).cast("int").alias("chunk"))
+    per = materialize(sized.groupBy("hub").agg(_chunks(F.count("*"), F.sum("_n")).alias("_c")), "neardup-chunks")
+    large = _where_large(per.where("_c > 1"))  # all members of others are in chunk 0, without a join by a hot hub
+    placed = pairs.join(large, "hub", "left").select("hub", "key", F.pmod(F.xxhash64("key"), F.coalesce("_c", F.lit(1))).cast("int").alias("chunk"))
     members = placed.join(words.select("key", "words"), "key").select("hub", "chunk", "key", "words", F.lit(False).alias("is_hub"))
     hubs = per.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_c") - 1))).join(words.select(F.col("key").alias("hub"), "words"), "hub")
     both = members.unionByName(hubs.select("hub", "chunk", F.col("hub").alias("key"), "words", F.lit(True).alias("is_hub")))
