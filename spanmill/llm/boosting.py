@@ -1,4 +1,9 @@
-"""Gradient-boosted trees of depth two for small feature tables, and their form as a column."""
+"""Gradient-boosted trees of depth two for small feature tables, and their form as a column.
+
+Cases: features are finite numbers; one class only, or features that don't tell classes apart, give a
+constant score; repeated rows weigh as often as they occur; equal gains go to the first feature and cut,
+so that a fit repeats; as a column, a null feature takes the upper branch.
+"""
 
 from __future__ import annotations
 

@@ -33,9 +33,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Tables that this process has written in the shared folder, in order.
+_written: list[str] = []
+
+
 def table_path(spark: SparkSession, label: str) -> str:
     """A new path for a table in the shared folder."""
-    return f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    _written.append(f"{shared_dir(spark)}/tables/{label}-{uuid.uuid4().hex}")
+    return _written[-1]
+
+
+def drop_tables(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
+    """Delete the tables written in the shared folder since a count of them, but for those that keep reads.
+
+    For when nothing that reads them is left to be computed. Returns nothing; absent tables are passed over.
+    """
+    kept = [p.rstrip("/") for f in (keep.inputFiles() if keep is not None else []) for p in [f.rpartition("/")[0]]]
+    for path in _written[since:]:
+        if not any(k.endswith(path.rpartition("/")[2]) for k in kept):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+            _written.remove(path)
+
+
+def tables_written() -> int:
+    return len(_written)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,4 +1,9 @@
-"""Connected components of links between keys, by alternating large-star and small-star rounds."""
+"""Connected components of links between keys, by alternating large-star and small-star rounds.
+
+Cases: links with a null end link nothing and are left out; a key linked to itself only is left out;
+repeated links count once; keys may be of any type that can be ordered; an empty table of links gives
+an empty result; extra columns are ignored. Rounds that don't suffice are an error.
+"""
 
 from __future__ import annotations
 

@@ -1,7 +1,7 @@
 """Token ids by a public byte-level BPE file.
 
 tiktoken encodes, with the file's own vocabulary as ranks, if the file's merges stand in the order of
-their ids; else, and for texts that hold the file's special tokens, the tokenizers library does. Ids
+their ids and it has no other normalizer, pre-tokenizer or option than plain byte-level files; else, and for texts that hold the file's special tokens, the tokenizers library does. Ids
 always equal those of the tokenizers library.
 """
 
@@ -34,7 +34,10 @@ def _fast(path: str):
     import tiktoken
 
     with open(path, encoding="utf-8") as file:
-        model = json.load(file)["model"]
+        whole = json.load(file)
+    if not plain_byte_level(whole):
+        return None
+    model = whole["model"]
     vocab, byte_of = model["vocab"], _byte_of()
     merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
     order = [vocab["".join(m)] for m in merges]
@@ -44,6 +47,15 @@ def _fast(path: str):
     return tiktoken.Encoding("own", pat_str=PRE_TOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
+def plain_byte_level(file: dict) -> bool:
+    """Whether a tokenizer file is byte-level BPE with the one pre-token rule that PRE_TOKEN states, and nothing besides."""
+    steps, model = file.get("pre_tokenizer") or {}, file["model"]
+    parts = steps.get("pretokenizers", [steps])
+    rule = len(parts) == 1 and parts[0].get("type") == "ByteLevel" and not parts[0].get("add_prefix_space", True) and parts[0].get("use_regex", True)
+    odd = model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix") or model.get("byte_fallback") or model.get("ignore_merges")
+    return bool(rule) and file.get("normalizer") is None and model.get("type", "BPE") == "BPE" and not odd
+
+
 class Encoder:
     """encode(text) gives the ids, little-endian unsigned 32 bits each."""
 

@@ -293,6 +293,23 @@ def test_ids_equal_the_library():
         assert np.frombuffer(own.encode(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_other_tokenizer_files_go_to_the_library(tmp_path):
+    import json
+
+    from spanmill.llm import tokens
+
+    with open(default_tokenizer(), encoding="utf-8") as file:
+        whole = json.load(file)
+    assert tokens.plain_byte_level(whole) and encoder(default_tokenizer()).fast is not None
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps({**whole, **change}))
+        own = tokens.Encoder(str(path))
+        assert own.fast is None
+        for text in ("Hello World", " x", "", "It's 42"):
+            assert np.frombuffer(own.encode(text), "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 

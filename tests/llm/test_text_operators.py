@@ -262,6 +262,14 @@ def test_links_against_brute_force():
         assert secrets.linked_spans(text, strong, 40) == sorted(x for x in wanted if x[2].startswith("part_")), text
 
 
+def test_parts_within_a_strong_span_are_not_reported_again():
+    inner = "-".join(["0123456789abcdef01234567"] * 5)
+    text = f"user = deploy-bot token={inner}.key=abcdefgh"
+    strong = secrets.base_spans(text)
+    assert [k for _, _, k in strong] == ["assign"] + ["hex"] * 5 and strong[0][1] == len(text)
+    assert [text[a:b] for a, b, _ in secrets.linked_spans(text, strong)] == ["user = deploy-bot"]
+
+
 def test_long_identifier_lists_stay_cheap():
     text = " ".join(f"user = name{k} pw = Abcdef{k}gh" for k in range(3000))
     assert len(secrets.linked_spans(text, [])) == 6000
