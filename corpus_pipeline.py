@@ -1,14 +1,19 @@
 """A corpus from raw documents to packed training windows, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; its result is
-written as Parquet and read again as the next one's docs. All but the last return the columns of docs.
+written as Parquet and read again as the next one's docs, and the tables that it needed in between are
+deleted. All but the last return the columns of docs.
+
+Cases: null and empty texts have no words, so the first stage rejects them; a later stage that is run
+by itself takes them as empty; null ids, repeated rows, empty tables and extra columns of any name are
+as in each stage's operator: rows stay rows, columns stay columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanmill.llm.common import materialize, read
+from spanmill.llm.common import drop_tables, materialize, read, tables_written
 from spanmill.llm.mixing import mixed_documents
 from spanmill.llm.neardup import drop_near_duplicates
 from spanmill.llm.packing import pack_documents
@@ -49,12 +54,13 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL can't express order MinHash, boosted trees or a tokenizer; tests check the stages against brute force.
+#: SQL can't express order MinHash, boosted trees or a tokenizer; tests/llm/test_queries_and_pipeline.py checks the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), tables_written()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        drop_tables(spark, before, keep=docs)
     return STAGES[-1][1](spark, docs, sf_dir)
