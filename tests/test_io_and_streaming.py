@@ -2,9 +2,10 @@
 
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
-from spanmill.operators import rollup
+from spanmill.operators import pii, rollup
 from spanmill.operators.derive import derive
 from spanmill.sources import spans as io
 from spanmill.sources.pricing import static_pricing
@@ -77,3 +78,36 @@ def test_lenses_run_apart(spark, sf_dir, tmp_path):
         q.awaitTermination()
     expected = totals(rollup.base_rollup(derive(own, "performance"))) | totals(rollup.base_rollup(derive(own, "cost", static_pricing(spark))))
     assert totals(states_of(spark, str(tmp_path / "out"))) == expected
+
+
+def test_rows_append_in_daily_partitions(spark, sf_dir, tmp_path):
+    rows = derive(event_spans(spark, sf_dir).limit(30), "performance")
+    for _ in range(2):
+        io.append_rows(rows, str(tmp_path / "rows"))
+    back = spark.read.parquet(str(tmp_path / "rows"))
+    assert back.count() == 2 * rows.count() and {r[0] for r in back.select("day").distinct().collect()} == {int(r[0]) for r in rows.select(F.date_format("ts", "yyyyMMdd")).distinct().collect()}
+
+
+def test_audits_append_without_texts(spark, tmp_path):
+    done = pii.anonymize(spark.createDataFrame([(1, "ip 10.20.30.40")], "doc_id long, text string"))
+    for _ in range(2):
+        io.append_audit(pii.audit_rows(done), str(tmp_path / "audit"))
+    back = spark.read.json(str(tmp_path / "audit"))
+    assert back.count() == 2 and "text" not in back.columns and {r["entity_type"] for r in back.collect()} == {"IP_ADDRESS"}
+
+
+def test_policies_from_files(tmp_path):
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "p.yaml").write_text(yaml.safe_dump({"default_strategy": "mask", "score_threshold": 0.5, "entities": {"AGE": {"enabled": False}, "URL": {"strategy": "replace", "score_threshold": 0.9}}}))
+    own = pii.Policy.from_yaml(str(tmp_path / "p.yaml"))
+    assert own.strategy("EMAIL_ADDRESS") == "mask" and own.strategy("URL") == "replace" and not own.allows("AGE", 1.0) and not own.allows("URL", 0.85) and own.allows("ZIP_CODE", 0.5)
+
+
+def test_spans_load_and_roll_up_once(spark, sf_dir, tmp_path):
+    """A bulk load, its rows and their stored hourly states, from which days merge."""
+    spans = event_spans(spark, sf_dir)
+    io.write_spans(spans, str(tmp_path / "spans"))
+    rows = derive(spark.read.parquet(str(tmp_path / "spans")).drop("month"), "performance")
+    rollup.base_rollup(rows, "1h").write.parquet(str(tmp_path / "hours"))
+    days = rollup.merge(spark.read.parquet(str(tmp_path / "hours")), "1d", by=["metric"]).groupBy("metric").agg(F.sum("count").alias("n"))
+    assert {r["metric"]: r["n"] for r in days.collect()} == {r["metric"]: r["n"] for r in rows.groupBy("metric").agg(F.count("*").alias("n")).collect()}
