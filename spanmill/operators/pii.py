@@ -146,11 +146,20 @@ class Policy:
 STRICT, LENIENT = Policy(), Policy(score_threshold=0.35)
 
 
+#: What every match holds, as a plain pattern over the text in lower case: found fast, and mostly absent. All other patterns need a digit.
+_NEEDED = {"EMAIL_ADDRESS": "@", "https?": "://", "www": r"www\.", "(?:com|net": r"\.(?:com|net|org|io|co|me|info|edu|gov|mil)", "Insurance": "mrn|medical|patient|policy"}
+
+
+def needed(pattern: str, entity: str) -> str:
+    """A pattern that is found in every text, in lower case, that the given pattern is found in."""
+    return next((need for sign, need in _NEEDED.items() if sign == entity or sign in pattern), r"\d")
+
+
 @lru_cache(maxsize=1)
-def _compiled() -> list[tuple[re.Pattern, str, float, bool, tuple[str, ...]]]:
-    """Pattern, type, score, whether a match holds a digit (all do but addresses, links and policy numbers), and context words."""
+def _compiled() -> list[tuple[re.Pattern, str, float, str, tuple[str, ...]]]:
+    """Pattern, type, score, what a match needs, and context words."""
     return [
-        (re.compile(p, re.IGNORECASE), e, s, e not in ("EMAIL_ADDRESS", "URL") and "Insurance" not in p, CONTEXT.get(e, ()) if lifted else ())
+        (re.compile(p, re.IGNORECASE), e, s, needed(p, e), CONTEXT.get(e, ()) if lifted else ())
         for lifted, own in ((False, PATTERNS), (True, SCORED)) for p, e, s in own
     ]
 
@@ -176,9 +185,13 @@ class _Words:
 
 def detect_text(text: str, policy: Policy) -> list[tuple]:
     """Every detection that the policy allows, in order of patterns, unresolved."""
-    out, has_digit, words = [], re.search(r"\d", text) is not None, _Words(text)
-    for pattern, entity, score, needs_digit, context in _compiled():
-        if needs_digit and not has_digit or not policy.allows(entity, lifted(score) if context else score):
+    out, low, held, words = [], text.lower(), {}, _Words(text)
+    for pattern, entity, score, need, context in _compiled():
+        if not policy.allows(entity, lifted(score) if context else score):
+            continue
+        if need not in held:
+            held[need] = re.search(need, low) is not None
+        if not held[need]:
             continue
         for m in pattern.finditer(text):
             near = bool(context) and any(c in w for w in words.before(m.start()) for c in context)
@@ -307,4 +320,6 @@ def audit_records(anonymized: DataFrame, id_col: str = "doc_id", at: Column | No
 def count_matches(text: Column, entity_type: str) -> Column:
     """Matches of a type's first pattern, within whole-stage code and without offsets."""
     pattern = next(p for p, e, _ in PATTERNS if e == entity_type)
-    return F.regexp_count(text, F.lit(f"(?i){pattern}"))
+    need = needed(pattern, entity_type)
+    held = text.contains(need) if re.fullmatch("[^\\\\\\[|(]+", need) else text.rlike("(?i)" + need)
+    return F.when(text.isNull(), F.lit(None).cast("int")).when(held, F.regexp_count(text, F.lit(f"(?i){pattern}"))).otherwise(0)

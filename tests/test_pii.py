@@ -1,5 +1,8 @@
 """Patterns, policies, overlaps and replacements."""
 
+import random
+import re
+
 import pytest
 
 from spanmill.operators import pii
@@ -17,6 +20,19 @@ def test_patterns_are_complete():
     assert len(pii.PATTERNS) == 20 and len(pii.SCORED) == 22 and {e for _, e, _ in pii.PATTERNS + pii.SCORED} <= set(pii.ENTITY_TYPES) and len(pii.ENTITY_TYPES) == 21
 
 
+def test_what_matches_need_is_in_every_match():
+    """Texts that the patterns match hold what they are said to need, in any case of letters."""
+    rng = random.Random(3)
+    parts = [*HITS.values(), "Insurance Policy Number: BCBS-ALPHA", "my site johndoe.com", "WWW.Example.Org/x", "HTTPS://A.B/c", "A@B.CO", "K", "\u212a", "\u0131", " ", "-", ".", "@"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 3)))
+        text = rng.choice([text, text.upper(), text.lower(), text.swapcase()])
+        for own in (pii.PATTERNS, pii.SCORED):
+            for p, e, _ in own:
+                if re.search(p, text, re.IGNORECASE):
+                    assert re.search(pii.needed(p, e), text.lower()), (p, text)
+
+
 @pytest.mark.parametrize("entity", sorted(HITS))
 def test_hits(entity):
     policy = Policy(score_threshold=0.3)
