@@ -43,21 +43,23 @@ def table_path(spark: SparkSession, label: str) -> str:
     return _written[-1]
 
 
-def drop_tables(spark: SparkSession, since: int = 0, keep: DataFrame | None = None) -> None:
-    """Delete the tables written in the shared folder since a count of them, but for those that keep reads.
+def tables_since(count: int = 0) -> list[str]:
+    """The tables written in the shared folder after the first count of them."""
+    return _written[count:]
 
-    For when nothing that reads them is left to be computed. Returns nothing; absent tables are passed over.
+
+def drop_tables(spark: SparkSession, paths: list[str], keep: DataFrame | None = None) -> None:
+    """Delete tables of the shared folder, but for those that keep reads.
+
+    For when nothing else that reads them is left to be computed. Absent tables are passed over.
     """
-    kept = [p.rstrip("/") for f in (keep.inputFiles() if keep is not None else []) for p in [f.rpartition("/")[0]]]
-    for path in _written[since:]:
-        if not any(k.endswith(path.rpartition("/")[2]) for k in kept):
+    kept = {f.rpartition("/")[0].rpartition("/")[2] for f in keep.inputFiles()} if keep is not None and paths else set()
+    for path in paths:
+        if path.rpartition("/")[2] not in kept:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-            _written.remove(path)
-
-
-def tables_written() -> int:
-    return len(_written)
+            if path in _written:
+                _written.remove(path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, nested, read, unnested
+from .common import drop_tables, materialize, nested, read, tables_since, unnested
 from .graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -185,7 +185,7 @@ def _signatures(bands: int, rows: int, take: int):
                 if key in seen:
                     out.append((None, None))
                     continue
-                if len(seen) < 1_000_000:
+                if len(seen) < 200_000:
                     seen.add(key)
                 w = word_hashes(text)
                 own = [sketch.of(shingles(w))] if len(w) else []
@@ -379,13 +379,16 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The document with the least id of each class, with all its columns; of its repeated rows, one.
 
-    Documents without an id stay, unless their class has one with an id or they are equal.
+    Documents without an id stay, unless their class has one with an id or they are equal. The tables
+    needed to find the classes are dropped as soon as the ids to leave out are written.
     """
+    before = len(tables_since())
     found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
     own = F.col("doc_id").eqNullSafe(F.col("class_id"))
     gone = materialize(found.where(~own).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_of")).distinct(), "neardup-gone")
     repeated = found.where(own).groupBy("doc_id", "key").count().where("count > 1")
     keyed = nested(docs, _id=F.col(f"`{id_col}`").cast("long"), _key=F.unhex(F.md5(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary"))))
-    small = gone.count() <= BROADCAST_ROWS
+    small, single = gone.count() <= BROADCAST_ROWS, repeated.isEmpty()
+    drop_tables(docs.sparkSession, tables_since(before), keep=gone)
     kept = keyed.join(F.broadcast(gone) if small else gone, F.col("_id").eqNullSafe(F.col("_gone")) & (F.col("_key") == F.col("_of")), "left_anti")
-    return unnested(kept if repeated.isEmpty() else kept.dropDuplicates(["_id", "_key"]))
+    return unnested(kept if single else kept.dropDuplicates(["_id", "_key"]))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 import corpus_pipeline
 from spanmill.llm import html, mixing, pii, quality, secrets
-from spanmill.llm.common import drop_tables, materialize, read, tables_written
+from spanmill.llm.common import drop_tables, materialize, read, tables_since
 from spanmill.llm.tokens import default_tokenizer, encoder
 
 from .test_neardup import classes_of
@@ -36,14 +36,14 @@ def words(text):
 
 
 def test_tables_are_dropped(spark):
-    since = tables_written()
+    since = len(tables_since())
     first, second = materialize(spark.range(5), "first"), materialize(spark.range(7), "second")
-    drop_tables(spark, since, keep=second)
-    assert second.count() == 7 and tables_written() == since + 1
+    drop_tables(spark, tables_since(since), keep=second.where("id > 2").withColumn("k", F.lit(1)))
+    assert second.count() == 7 and len(tables_since(since)) == 1
     with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
         first.count()
-    drop_tables(spark, since)
-    assert tables_written() == since
+    drop_tables(spark, tables_since(since))
+    assert tables_since(since) == []
 
 
 def test_op1(run, docs):
@@ -173,7 +173,7 @@ def test_pipeline(spark, docs):
     packed = stages["packing"](spark, before, SF)
     total = sum(len(encoder(default_tokenizer()).slow(r["text"])) + 1 for r in tables["mixing"])
     assert packed.agg(F.sum("length")).first()[0] == total
-    written = tables_written()
+    written = len(tables_since())
     whole = corpus_pipeline.run(spark, SF)
-    assert tables_written() == written + 1  # the last stage's input alone is left
+    assert len(tables_since(written)) == 1  # the last stage's input alone is left
     assert whole.columns == packed.columns and whole.agg(F.sum("length")).first()[0] == total
