@@ -10,8 +10,10 @@ Candidates are not expanded into pairs. In each bucket the key that shares most
 hub; all members are verified against it, in chunks that hold the hub's words once, and links grow
 into components. Buckets that still hold several components are cut into blocks of bounded size, in
 which the members across components are aligned, so no candidate pair is left between components
-unverified. In a block the words that two texts share in any order, counted in 256 hash buckets, bound
-their alignment from above, and rule most pairs out before it.
+unverified. The words that two texts share in any order bound their alignment from above. Counted in 64
+hash buckets, they are 64 bytes a text: by them pairs with a hub, and members without any possible
+partner in a block, are ruled out before words are dealt out. Counted in 256 in a block, they rule out most
+of the rest before it is aligned.
 
 The similarity of two texts is LCS / (n + m - LCS) over their words, at least THRESHOLD: one word in
 nine may be replaced. The alignment runs bit-parallel in the band that the threshold allows. Over
@@ -44,6 +46,8 @@ L, ROWS, BANDS = 2, 1, 32
 SHORT, SHORT_SHINGLE = 100, 2
 #: Members and words in a chunk of a bucket, and the bound for broadcasting keys or ids.
 BLOCK_ROWS, BLOCK_WORDS, BROADCAST_ROWS = 500, 2_000_000, 200_000
+#: Hash buckets in which a text's words are counted, a byte each. A count of 255 stands for that or any more.
+BAG = 64
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 2**64))
@@ -176,6 +180,23 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> float
     return lcs / (n + m - lcs) if lcs >= need else 0.0
 
 
+def bag(words: np.ndarray) -> bytes:
+    """The words' counts by hash bucket."""
+    return np.minimum(np.bincount((words & (BAG - 1)).astype(np.int64), minlength=BAG), 255).astype(np.uint8).tobytes()
+
+
+def _bags(raw: list[bytes]) -> np.ndarray:
+    """The counts, a row for each; a full byte is more than any text has."""
+    counts = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, BAG).astype(np.int64)
+    return np.where(counts == 255, 2**40, counts)
+
+
+def _possible(n: np.ndarray, m: np.ndarray, a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Where texts of n and m words with counts a and b could reach the threshold; never false where they do."""
+    need = np.ceil(threshold * (n + m) / (1 + threshold) - 1e-9)
+    return (np.minimum(n, m) >= need) & (np.minimum(a, b).sum(axis=-1) >= need)
+
+
 def _signatures(bands: int, rows: int, take: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch, short, seen = Sketch(bands, rows, take), Sketch(bands, rows, take, seed=6), set()
@@ -183,7 +204,7 @@ def _signatures(bands: int, rows: int, take: int):
             out = []
             for key, text in zip(frame["key"].array, frame["text"].array):
                 if key in seen:
-                    out.append((None, None))
+                    out.append((None, None, None, None))
                     continue
                 if len(seen) < 200_000:
                     seen.add(key)
@@ -191,8 +212,10 @@ def _signatures(bands: int, rows: int, take: int):
                 own = [sketch.of(shingles(w))] if len(w) else []
                 if 0 < len(w) <= SHORT:
                     own.append(short.of(shingles(w, SHORT_SHINGLE)))
-                out.append(((w >> np.uint64(32)).astype("<u4").tobytes(), np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64)))
-            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "key": frame["key"], "words": [w for w, _ in out], "bands": [b for _, b in out]})
+                w = (w >> np.uint64(32)).astype("<u4")
+                out.append((w.tobytes(), np.concatenate(own).view(np.int64) if own else np.zeros(0, np.int64), len(w), bag(w)))
+            words, found, n, bags = zip(*out) if out else [()] * 4
+            yield pd.DataFrame({"doc_id": frame["doc_id"].astype("Int64").array, "key": frame["key"], "words": list(words), "bands": list(found), "n": pd.array(list(n), "Int64"), "bag": list(bags)})
 
     return run
 
@@ -222,6 +245,51 @@ def _linked(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[k] for p in own], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
+def _stars_possible(threshold: float):
+    """Pairs (hub, key) that could be links, with the words of key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                n, m, a, b = (batch.column(c) for c in ("n", "_n", "bag", "_bag"))
+                fit = _possible(n.to_numpy(), m.to_numpy(), _bags(a.to_pylist()), _bags(b.to_pylist()), threshold)
+                yield batch.select(["hub", "key", "n"]).filter(pa.array(fit))
+
+    return run
+
+
+def _blocks_possible(threshold: float):
+    """Members (bucket, key) of blocks that could have a link to a member of another component there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (bucket, large, i, j), table in _groups(batches, ["bucket", "large", "i", "j"]):
+            codes: dict[bytes, int] = {}
+            roots = np.array([codes.setdefault(r, len(codes)) for r in table["root"].to_pylist()])
+            if len(codes) < 2:
+                continue
+            first, second = _sides(table, large, i, j)
+            n, bags, found = table["n"].to_numpy(), _bags(table["bag"].to_pylist()), np.zeros(len(roots), bool)
+            for x in np.flatnonzero(first):
+                others = np.flatnonzero(second & (roots != roots[x]))
+                if found[x]:  # what is left to tell is which others could
+                    others = others[~found[others]]
+                others = others[_possible(n[others], n[x], bags[others], bags[x], threshold)]
+                found[others] = True
+                found[x] |= len(others) > 0
+            if found.any():
+                keys = table["key"].to_pylist()
+                own = [keys[x] for x in np.flatnonzero(found)]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(own), pa.int64()), pa.array(own, pa.binary())], names=["bucket", "key"])
+
+    return run
+
+
+def _sides(table: pa.Table, large: bool, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which members of a block are to be held against which."""
+    chunks, major = table["chunk"].to_numpy(), np.array(table["major"].to_pylist())
+    return (major, ~major) if large else (chunks == i, chunks == j)
+
+
 def _with_hubs(threshold: float):
     """Links of chunks of members with their hub, whose row is marked."""
 
@@ -277,15 +345,13 @@ def _in_blocks(threshold: float):
             lengths = np.diff(own.offsets.to_numpy())
             bands = np.zeros((len(roots), lengths.max()), np.int64)
             bands[np.arange(bands.shape[1]) < lengths[:, None]] = own.flatten().to_numpy()
-            chunks, major = table["chunk"].to_numpy(), np.array(table["major"].to_pylist())
 
             def fair(x: int, others: np.ndarray, bands=bands, bucket=bucket) -> np.ndarray:
                 first = ((bands[others] == bands[x]) & (bands[x] != 0)).argmax(axis=1)
                 return bands[x][first] == bucket
 
-            sides = (major, ~major) if large else (chunks == i, chunks == j)
             keys = table["key"].to_pylist()
-            found = across([_sequence(w) for w in table["words"].to_pylist()], roots, *sides, fair, threshold)
+            found = across([_sequence(w) for w in table["words"].to_pylist()], roots, *_sides(table, large, i, j), fair, threshold)
             if found:
                 yield _linked([(keys[x], keys[y]) for x, y in found])
 
@@ -297,69 +363,85 @@ def _chunks(rows, words):
     return F.greatest(F.lit(1), F.ceil(rows / BLOCK_ROWS), F.ceil(words / BLOCK_WORDS)).cast("int")
 
 
-def _where_large(counts: DataFrame) -> DataFrame:
-    """counts, broadcast if there are few: what is joined with its members is only the keys with many of them."""
-    return F.broadcast(counts) if counts.count() <= BROADCAST_ROWS else counts
+def _if_few(keys: DataFrame) -> DataFrame:
+    """keys, broadcast if there are few."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def _starred(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
+def _texts(fresh: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """key and columns of the texts with these distinct keys, once each and dealt by key, so that a join by key deals none of it again."""
+    return fresh.select("key", *columns).join(_if_few(keys), "key", "left_semi").groupBy("key").agg(*[F.first(c).alias(c) for c in columns])
+
+
+def _starred(pairs: DataFrame, sizes: DataFrame, fresh: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) among pairs (hub, key). A hub's words go once to each chunk of its members."""
-    sized = pairs.join(words.select("key", F.col("n").alias("_n")), "key")
-    per = materialize(sized.groupBy("hub").agg(_chunks(F.count("*"), F.sum("_n")).alias("_c")), "neardup-chunks")
-    large = _where_large(per.where("_c > 1"))  # all members of others are in chunk 0, without a join by a hot hub
-    placed = pairs.join(large, "hub", "left").select("hub", "key", F.pmod(F.xxhash64("key"), F.coalesce("_c", F.lit(1))).cast("int").alias("chunk"))
-    members = placed.join(words.select("key", "words"), "key").select("hub", "chunk", "key", "words", F.lit(False).alias("is_hub"))
-    hubs = per.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("_c") - 1))).join(words.select(F.col("key").alias("hub"), "words"), "hub")
-    both = members.unionByName(hubs.select("hub", "chunk", F.col("hub").alias("key"), "words", F.lit(True).alias("is_hub")))
-    return both.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk").mapInArrow(_with_hubs(threshold), "a binary, b binary")
+    of_hubs = sizes.select(F.col("key").alias("hub"), F.col("n").alias("_n"), F.col("bag").alias("_bag"))
+    both = pairs.join(sizes, "key").join(of_hubs, "hub")
+    pairs = materialize(both.mapInArrow(_stars_possible(threshold), "hub binary, key binary, n long"), "neardup-possible")
+    per = materialize(pairs.groupBy("hub").agg(_chunks(F.count("*"), F.sum("n")).alias("_c")), "neardup-chunks")
+    large = _if_few(per.where("_c > 1"))  # all members of others are in chunk 0, without a join by a hot hub
+    members = pairs.join(large, "hub", "left").select("hub", F.pmod(F.xxhash64("key"), F.coalesce("_c", F.lit(1))).cast("int").alias("chunk"), "key", F.lit(False).alias("is_hub"))
+    hubs = per.select("hub", F.explode(F.sequence(F.lit(0), F.col("_c") - 1)).alias("chunk"), F.col("hub").alias("key"), F.lit(True).alias("is_hub"))
+    keys = materialize(pairs.select("key").unionAll(per.select("hub")).distinct(), "neardup-starred")
+    own = members.unionAll(hubs).join(_texts(fresh, keys, "words"), "key").select("hub", "chunk", "key", "words", "is_hub")
+    return own.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk").mapInArrow(_with_hubs(threshold), "a binary, b binary")
 
 
-def _blocked(members: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between members (bucket, key, root) of one bucket in different components.
+def _dealt(members: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Members (bucket, key, root) with the columns of texts, sorted by the blocks (bucket, large, i, j) that they take part in.
 
     No pairs are dealt out: a member goes to the blocks it takes part in, at most one for each
     chunk of its bucket, and no two chunks of the largest component ever meet.
     """
-    sized = members.join(words.select("key", "n"), "key")
+    sized = members.join(sizes.select("key", "n"), "key")
     each = sized.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("n").alias("w"))
     per = each.groupBy("bucket").agg(F.max(F.struct("n", "w", "root")).alias("_top"), F.sum("n").alias("_all"), F.sum("w").alias("_words"))
     placed = members.select("bucket", "key", "root").join(per, "bucket").select(
         "bucket", "key", "root", (F.col("root") == F.col("_top.root")).alias("major"), _chunks(F.col("_top.n"), F.col("_top.w")).alias("_a"), _chunks(F.col("_all") - F.col("_top.n"), F.col("_words") - F.col("_top.w")).alias("_b")
     ).withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(F.col("major"), F.col("_a")).otherwise(F.col("_b"))).cast("int"))
-    met = placed.join(words, "key").withColumn("_block", F.explode(F.expr("""
+    met = placed.join(texts, "key").withColumn("_block", F.explode(F.expr("""
         if(major, transform(sequence(0, _b - 1), j -> named_struct('large', true, 'i', chunk, 'j', j)),
            concat(transform(sequence(0, _a - 1), i -> named_struct('large', true, 'i', i, 'j', chunk)),
                   transform(sequence(0, _b - 1), j -> named_struct('large', false, 'i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
-    own = met.select("bucket", "_block.*", "key", "root", "major", "chunk", "words", "bands")
+    own = met.select("bucket", "_block.*", "key", "root", "major", "chunk", *[c for c in texts.columns if c != "key"])
     by = ["bucket", "large", "i", "j"]
-    return own.repartition(*by).sortWithinPartitions(*by).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()
+    return own.repartition(*by).sortWithinPartitions(*by)
+
+
+def _blocked(members: DataFrame, sizes: DataFrame, fresh: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members (bucket, key, root) of one bucket in different components.
+
+    The blocks are met twice: first by counts of words, which tell the members that could have a link
+    there, then by the words of those.
+    """
+    possible = _dealt(members, sizes, sizes).mapInArrow(_blocks_possible(threshold), "bucket long, key binary")
+    members = materialize(members.join(possible.distinct(), ["bucket", "key"], "left_semi"), "neardup-possible")
+    keys = materialize(members.select("key").distinct(), "neardup-blocked")
+    return _dealt(members, sizes, _texts(fresh, keys, "words", "bands")).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, take: int = L) -> DataFrame:
     """doc_id, key, class_id: one row per row of docs; class_id is the least doc_id of its class."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
-    signed = materialize(texts.mapInPandas(_signatures(bands, rows, take), "doc_id long, key binary, words binary, bands array<long>"), "neardup-signatures")
+    signed = materialize(texts.mapInPandas(_signatures(bands, rows, take), "doc_id long, key binary, words binary, bands array<long>, n long, bag binary"), "neardup-signatures")
     fresh = signed.where("bands is not null")  # a task gives them once for each text
     placed = fresh.groupBy("key").agg(F.first("bands").alias("bands")).select("key", F.explode("bands").alias("bucket"))
     crowded = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = materialize(placed.join(crowded, "bucket"), "neardup-members")
     central = members.groupBy("key").agg(F.sum("n").alias("score"))
     members = materialize(members.join(central, "key").select("bucket", "key", "score"), "neardup-scored")
-    keys = members.select("key").distinct()
-    few = keys.count() <= BROADCAST_ROWS
-    wanted = fresh.join(F.broadcast(keys) if few else keys, "key", "left_semi")
-    words = materialize(wanted.groupBy("key").agg(F.first("words").alias("words"), F.first("bands").alias("bands")).withColumn("n", (F.octet_length("words") / 4).cast("long")), "neardup-words")
+    sizes = materialize(_texts(fresh, members.select("key").distinct(), "n", "bag"), "neardup-sizes")
     least = signed.groupBy("key").agg(F.min("doc_id").alias("_least"))
 
     hubs = members.groupBy("bucket").agg(F.max(F.struct("score", "key")).alias("h")).select("bucket", F.col("h.key").alias("hub"))
     pairs = materialize(members.join(hubs, "bucket").where(F.col("key") != F.col("hub")).select("hub", "key").distinct(), "neardup-stars")
-    roots = components(materialize(_starred(pairs, words, threshold), "neardup-hubs"))
+    roots = components(materialize(_starred(pairs, sizes, fresh, threshold), "neardup-hubs"))
     labelled = members.join(roots, "key", "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
     several = labelled.groupBy("bucket").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where(F.col("_low") != F.col("_high")).select("bucket")
     mixed = materialize(labelled.join(several, "bucket", "left_semi"), "neardup-mixed")
     if not mixed.isEmpty():
-        linked = materialize(_blocked(mixed, words, threshold), "neardup-links")
+        linked = materialize(_blocked(mixed, sizes, fresh, threshold), "neardup-links")
         if not linked.isEmpty():  # the new links join components: a graph over their roots
             of = lambda c: F.coalesce(f"_r{c}", c).alias(c)
             over = linked.join(roots.select(F.col("key").alias("a"), F.col("root").alias("_ra")), "a", "left").join(roots.select(F.col("key").alias("b"), F.col("root").alias("_rb")), "b", "left")

@@ -182,3 +182,27 @@ def test_components_that_have_not_converged_are_an_error(spark):
     with pytest.raises(RuntimeError):
         components(links, most_rounds=1)
     assert {tuple(r) for r in components(links).collect()} == {(k, 0) for k in range(41)}
+
+
+@given(st.lists(st.integers(0, 200), min_size=1, max_size=60), st.integers(1, 9), st.data())
+@settings(deadline=None, max_examples=200)
+def test_counts_of_words_never_rule_out_a_link(a, times, data):
+    """Also where a count is full."""
+    a = np.array(a * times ** 3, "<u4")
+    b = np.delete(a, data.draw(st.lists(st.integers(0, len(a) - 1), max_size=max(1, len(a) // 6))))
+    n, m, x, y = len(a), len(b), *neardup._bags([neardup.bag(a), neardup.bag(b)])
+    assert len(b) == 0 or not neardup.aligned(a, b) > 0 or neardup._possible(np.array([n]), np.array([m]), x[None], y[None], 0.8)[0]
+
+
+def test_words_are_dealt_only_where_a_link_is_possible(spark, monkeypatch):
+    """Texts that share a passage and nothing else make buckets, but their words needn't be dealt by bucket."""
+    rng, dealt = random.Random(3), []
+    plain = neardup._texts
+    monkeypatch.setattr(neardup, "_texts", lambda fresh, keys, *columns: dealt.append((columns, keys.count())) or plain(fresh, keys, *columns))
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = [" ".join(f"x{rng.randint(0, 10**6)}" for _ in range(200)) + " " + passage for _ in range(40)]
+    base = [f"f{k}" for k in range(200)]
+    texts += [" ".join(base[:k] + ["new"] + base[k + 1 :]) for k in range(0, 200, 50)]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], SCHEMA)).collect()}
+    assert [got[k] for k in range(44)] == classes_of(texts)
+    assert dict(dealt)["n", "bag"] > 20 and dict(dealt)["words",] == 4 and dict(dealt).get(("words", "bands"), 0) == 0
