@@ -259,10 +259,10 @@ def _stars_possible(threshold: float):
 
 
 def _blocks_possible(threshold: float):
-    """Members (bucket, key) of blocks that could have a link to a member of another component there."""
+    """Members (place, large, key) of blocks that could have a link to a member of another component there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, large, i, j), table in _groups(batches, ["bucket", "large", "i", "j"]):
+        for (place, large, i, j), table in _groups(batches, ["place", "large", "i", "j"]):
             codes: dict[bytes, int] = {}
             roots = np.array([codes.setdefault(r, len(codes)) for r in table["root"].to_pylist()])
             if len(codes) < 2:
@@ -279,7 +279,7 @@ def _blocks_possible(threshold: float):
             if found.any():
                 keys = table["key"].to_pylist()
                 own = [keys[x] for x in np.flatnonzero(found)]
-                yield pa.RecordBatch.from_arrays([pa.array([bucket] * len(own), pa.int64()), pa.array(own, pa.binary())], names=["bucket", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array([place] * len(own), pa.binary()), pa.array([large] * len(own)), pa.array(own, pa.binary())], names=["place", "large", "key"])
 
     return run
 
@@ -326,14 +326,14 @@ def across(texts: list[np.ndarray], roots: np.ndarray, first: np.ndarray, second
 
 
 def _in_blocks(threshold: float):
-    """Links across components within blocks of buckets.
+    """Links across components within blocks of places.
 
-    A block holds a chunk of the bucket's largest component and a chunk of its other members, or two
-    chunks of other members. A pair is aligned in the first band it shares, so once in all.
+    A block holds a chunk of a largest component and a chunk of the members it meets, or two chunks of
+    other members of a bucket. A pair is aligned where the first band it shares belongs, so once in all.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (bucket, large, i, j), table in _groups(batches, ["bucket", "large", "i", "j"]):
+        for (_, large, i, j), table in _groups(batches, ["place", "large", "i", "j"]):
             if table.num_rows < 2:
                 continue
             codes: dict[bytes, int] = {}
@@ -346,9 +346,9 @@ def _in_blocks(threshold: float):
             bands = np.zeros((len(roots), lengths.max()), np.int64)
             bands[np.arange(bands.shape[1]) < lengths[:, None]] = own.flatten().to_numpy()
 
-            def fair(x: int, others: np.ndarray, bands=bands, bucket=bucket) -> np.ndarray:
-                first = ((bands[others] == bands[x]) & (bands[x] != 0)).argmax(axis=1)
-                return bands[x][first] == bucket
+            def fair(x: int, others: np.ndarray, bands=bands, here=table["buckets"].to_pylist()) -> np.ndarray:
+                shared = (bands[others] == bands[x]) & (bands[x] != 0)
+                return shared.any(axis=1) & np.isin(bands[x][shared.argmax(axis=1)], here[x])
 
             keys = table["key"].to_pylist()
             found = across([_sequence(w) for w in table["words"].to_pylist()], roots, *_sides(table, large, i, j), fair, threshold)
@@ -363,6 +363,11 @@ def _chunks(rows, words):
     return F.greatest(F.lit(1), F.ceil(rows / BLOCK_ROWS), F.ceil(words / BLOCK_WORDS)).cast("int")
 
 
+def _rows(a, wa, b, wb):
+    """Rows dealt for a members with wa words to meet b members with wb words."""
+    return a * _chunks(b, wb) + b * _chunks(a, wa)
+
+
 def _if_few(keys: DataFrame) -> DataFrame:
     """keys, broadcast if there are few."""
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
@@ -387,24 +392,49 @@ def _starred(pairs: DataFrame, sizes: DataFrame, fresh: DataFrame, threshold: fl
     return own.repartition("hub", "chunk").sortWithinPartitions("hub", "chunk").mapInArrow(_with_hubs(threshold), "a binary, b binary")
 
 
-def _dealt(members: DataFrame, sizes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Members (bucket, key, root) with the columns of texts, sorted by the blocks (bucket, large, i, j) that they take part in.
+def _places(members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Where members (bucket, key, root) meet: place, large, key, root, major, n, and its buckets that belong there.
 
-    No pairs are dealt out: a member goes to the blocks it takes part in, at most one for each
-    chunk of its bucket, and no two chunks of the largest component ever meet.
+    A bucket's largest component meets the other members in a large place. Members of a component
+    share most of their buckets, so that one place for all buckets in which it is the largest, with
+    each member once, mostly deals far fewer rows than a place for each bucket; where it deals more,
+    there is one for each. The other members meet in the bucket, if they are of several components.
     """
     sized = members.join(sizes.select("key", "n"), "key")
-    each = sized.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.sum("n").alias("w"))
-    per = each.groupBy("bucket").agg(F.max(F.struct("n", "w", "root")).alias("_top"), F.sum("n").alias("_all"), F.sum("w").alias("_words"))
-    placed = members.select("bucket", "key", "root").join(per, "bucket").select(
-        "bucket", "key", "root", (F.col("root") == F.col("_top.root")).alias("major"), _chunks(F.col("_top.n"), F.col("_top.w")).alias("_a"), _chunks(F.col("_all") - F.col("_top.n"), F.col("_words") - F.col("_top.w")).alias("_b")
-    ).withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(F.col("major"), F.col("_a")).otherwise(F.col("_b"))).cast("int"))
-    met = placed.join(texts, "key").withColumn("_block", F.explode(F.expr("""
-        if(major, transform(sequence(0, _b - 1), j -> named_struct('large', true, 'i', chunk, 'j', j)),
-           concat(transform(sequence(0, _a - 1), i -> named_struct('large', true, 'i', i, 'j', chunk)),
-                  transform(sequence(0, _b - 1), j -> named_struct('large', false, 'i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
-    own = met.select("bucket", "_block.*", "key", "root", "major", "chunk", *[c for c in texts.columns if c != "key"])
-    by = ["bucket", "large", "i", "j"]
+    each = sized.groupBy("bucket", "root").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    per = each.groupBy("bucket").agg(F.max(F.struct("c", "w", "root")).alias("_top"), F.sum("c").alias("_all"), F.sum("w").alias("_words"), F.count("*").alias("_roots"))
+    per = materialize(per.select("bucket", F.col("_top.root").alias("_of"), "_roots", _rows(F.col("_top.c"), F.col("_top.w"), F.col("_all") - F.col("_top.c"), F.col("_words") - F.col("_top.w")).alias("_apart")), "neardup-largest")
+    met = materialize(sized.join(_if_few(per.drop("_apart")), "bucket").withColumn("major", F.col("root") == F.col("_of")), "neardup-met")
+    once = met.groupBy("_of", "key").agg(F.first("major").alias("major"), F.first("n").alias("n")).groupBy("_of").agg(
+        *[f.alias(c) for c, f in (("_a", F.count_if("major")), ("_wa", F.sum(F.when(F.col("major"), F.col("n")))), ("_b", F.count_if(~F.col("major"))), ("_wb", F.sum(F.when(~F.col("major"), F.col("n")))))]
+    )
+    cheaper = per.groupBy("_of").agg(F.sum("_apart").alias("_apart")).join(once, "_of").where(_rows(F.col("_a"), F.col("_wa"), F.col("_b"), F.col("_wb")) <= F.col("_apart"))
+    together = materialize(cheaper.select("_of", F.lit(True).alias("_once")), "neardup-once")
+    bucket = F.unhex(F.lpad(F.hex("bucket"), 16, "0"))  # of another length than a root
+    large = met.join(_if_few(together), "_of", "left").withColumn("place", F.when(F.col("_once"), F.col("_of")).otherwise(bucket)).withColumn("large", F.lit(True))
+    small = met.where(~F.col("major") & (F.col("_roots") > 2)).withColumn("place", bucket).withColumn("large", F.lit(False))
+    both = large.drop("_once").unionByName(small)
+    return both.groupBy("place", "large", "key").agg(*[F.first(c).alias(c) for c in ("root", "major", "n")], F.collect_list("bucket").alias("buckets"))
+
+
+def _dealt(places: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of places with the columns of texts, sorted by the blocks (place, large, i, j) that they take part in.
+
+    No pairs are dealt out: a member goes to the blocks it takes part in, at most one for each chunk
+    that it meets, and no two chunks of the largest component ever meet.
+    """
+    major, other = F.col("major"), ~F.col("major")
+    per = materialize(places.groupBy("place", "large").agg(
+        _chunks(F.count_if(major), F.coalesce(F.sum(F.when(major, F.col("n"))), F.lit(0))).alias("_a"), _chunks(F.count_if(other), F.coalesce(F.sum(F.when(other, F.col("n"))), F.lit(0))).alias("_b")
+    ), "neardup-chunks")
+    many = _if_few(per.where("_a > 1 or _b > 1"))  # all members of others are in chunk 0, without a join by a hot place
+    one = places.join(many, ["place", "large"], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_a", "_b")})
+    one = one.withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(major, F.col("_a")).otherwise(F.col("_b"))).cast("int"))
+    met = one.drop("n").join(texts, "key").withColumn("_block", F.explode(F.expr("""
+        if(large and not major, transform(sequence(0, _a - 1), i -> named_struct('i', i, 'j', chunk)),
+           transform(sequence(0, _b - 1), j -> if(large, named_struct('i', chunk, 'j', j), named_struct('i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
+    own = met.select("place", "large", "_block.*", "key", "root", "major", "chunk", "buckets", *[c for c in texts.columns if c != "key"])
+    by = ["place", "large", "i", "j"]
     return own.repartition(*by).sortWithinPartitions(*by)
 
 
@@ -414,10 +444,11 @@ def _blocked(members: DataFrame, sizes: DataFrame, fresh: DataFrame, threshold:
     The blocks are met twice: first by counts of words, which tell the members that could have a link
     there, then by the words of those.
     """
-    possible = _dealt(members, sizes, sizes).mapInArrow(_blocks_possible(threshold), "bucket long, key binary")
-    members = materialize(members.join(possible.distinct(), ["bucket", "key"], "left_semi"), "neardup-possible")
-    keys = materialize(members.select("key").distinct(), "neardup-blocked")
-    return _dealt(members, sizes, _texts(fresh, keys, "words", "bands")).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()
+    places = materialize(_places(members, sizes), "neardup-places")
+    possible = _dealt(places, sizes).mapInArrow(_blocks_possible(threshold), "place binary, large boolean, key binary")
+    places = materialize(places.join(possible.distinct(), ["place", "large", "key"], "left_semi"), "neardup-possible")
+    keys = materialize(places.select("key").distinct(), "neardup-blocked")
+    return _dealt(places, _texts(fresh, keys, "words", "bands")).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, take: int = L) -> DataFrame:

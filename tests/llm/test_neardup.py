@@ -206,3 +206,50 @@ def test_words_are_dealt_only_where_a_link_is_possible(spark, monkeypatch):
     got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], SCHEMA)).collect()}
     assert [got[k] for k in range(44)] == classes_of(texts)
     assert dict(dealt)["n", "bag"] > 20 and dict(dealt)["words",] == 4 and dict(dealt).get(("words", "bands"), 0) == 0
+
+
+def test_near_copies_meet_others_once_and_not_in_every_bucket(spark, monkeypatch):
+    """Near copies share most of their buckets; with others there, they are dealt once and not once for each bucket."""
+    rng, dealt, plain = random.Random(12), [], neardup._dealt
+
+    def counted(*arguments):
+        own = plain(*arguments)
+        dealt.append((own.count(), own.select("key").distinct().count()))
+        return own
+
+    monkeypatch.setattr(neardup, "_dealt", counted)
+    texts = family(rng, 60, 160, 3) + family(rng, 1, 160, 1)
+    base = texts[0].split()
+    texts += [" ".join(base[:100] + [f"z{rng.randint(0, 10**6)}" for _ in range(60)]) for _ in range(12)]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.near_duplicates(spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], SCHEMA)).collect()}
+    assert [got[k] for k in range(len(texts))] == classes_of(texts)
+    rows, keys = dealt[0]
+    assert keys > 60 and rows < 5 * keys, dealt
+
+
+@pytest.mark.parametrize("block_rows", [500, 3])
+def test_every_pair_across_components_meets_once(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", block_rows)
+    rng = random.Random(30)
+    root = {bytes([k]): bytes([k % 7 if k < 30 else k]) for k in range(48)}
+    buckets = {b: rng.sample(sorted(root), rng.randint(2, 20)) for b in [-5, *range(1, 24)]}
+    buckets |= {b: sorted(root)[:12] + [bytes([40 + b % 4])] for b in range(50, 56)}
+    members = spark.createDataFrame([(b, k, root[k]) for b, own in buckets.items() for k in own], "bucket long, key binary, root binary")
+    sizes = spark.createDataFrame([(k, 10, b"") for k in root], "key binary, n long, bag binary")
+    places = neardup._places(members, sizes)
+    met, kinds = {}, set()
+    for r in neardup._dealt(places, sizes).collect():
+        met.setdefault((bytes(r["place"]), r["large"], r["i"], r["j"]), []).append(r)
+        kinds.add((r["large"], len(r["place"])))
+    found = []
+    for (_, large, i, j), rows in met.items():
+        assert len({bytes(r["key"]) for r in rows}) == len(rows)
+        for x in rows:
+            for y in rows:
+                sided = x["major"] and not y["major"] if large else x["chunk"] == i and y["chunk"] == j and (i != j or x["key"] < y["key"])
+                shared = sorted(b for b, own in buckets.items() if {bytes(x["key"]), bytes(y["key"])} <= set(own))
+                if sided and x["root"] != y["root"] and shared and shared[0] in x["buckets"]:
+                    found.append(frozenset((bytes(x["key"]), bytes(y["key"]))))
+    expected = {frozenset((x, y)) for own in buckets.values() for x in own for y in own if root[x] != root[y]}
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert kinds == {(True, 1), (True, 8), (False, 8)} or block_rows == 500
