@@ -10,7 +10,8 @@ Candidates are not expanded into pairs. In each bucket the key that shares most
 hub; all members are verified against it, in chunks that hold the hub's words once, and links grow
 into components. Buckets that still hold several components are cut into blocks of bounded size, in
 which the members across components are aligned, so no candidate pair is left between components
-unverified. The words that two texts share in any order bound their alignment from above. Counted in 64
+unverified. A component that is the largest of many buckets meets the others of all of them at once, and
+members of crowded buckets are first parted by their rarest words, an exact prefix filter. The words that two texts share in any order bound their alignment from above. Counted in 64
 hash buckets, they are 64 bytes a text: by them pairs with a hub, and members without any possible
 partner in a block, are ruled out before words are dealt out. Counted in 256 in a block, they rule out most
 of the rest before it is aligned.
@@ -48,6 +49,8 @@ SHORT, SHORT_SHINGLE = 100, 2
 BLOCK_ROWS, BLOCK_WORDS, BROADCAST_ROWS = 500, 2_000_000, 200_000
 #: Hash buckets in which a text's words are counted, a byte each. A count of 255 stands for that or any more.
 BAG = 64
+#: Hash buckets in which the texts that hold a word are counted, to tell rare words.
+SLOTS = 2**18
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_P), -1, 2**64))
@@ -284,6 +287,40 @@ def _blocks_possible(threshold: float):
     return run
 
 
+def _slots(x: np.ndarray) -> np.ndarray:
+    return (_mixed(x) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def _held_by(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts hold a word, by slot; a word that repeats counts as others."""
+    for batch in batches:
+        own = [_slots(_labelled(_sequence(w).astype(np.uint64))) for w in batch.column("words").to_pylist()]
+        found, n = np.unique(np.concatenate(own) if own else np.zeros(0, np.int64), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["slot", "n"])
+
+
+def rarest(words: np.ndarray, counts: np.ndarray, threshold: float) -> np.ndarray:
+    """A text's rarest words by counts, repeated ones apart: so many that two texts that reach the threshold share one.
+
+    Such texts share threshold * n words or more for either's n, so more than either leaves out here.
+    The least of the shared words, in the one order of all texts, is therefore among those of both.
+    """
+    x = _labelled(words.astype(np.uint64))
+    return x[np.lexsort((x, counts[_slots(x)]))[: len(x) - int(np.ceil(threshold * len(x) - 1e-9)) + 1]]
+
+
+def _rare(counts: np.ndarray, threshold: float):
+    """(key, token) of each text's rarest words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, raw in zip(batch.column("key").to_pylist(), batch.column("words").to_pylist()):
+                own = rarest(_sequence(raw), counts, threshold)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(own), pa.binary()), pa.array([t.tobytes() for t in own], pa.binary())], names=["key", "token"])
+
+    return run
+
+
 def _sides(table: pa.Table, large: bool, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
     """Which members of a block are to be held against which."""
     chunks, major = table["chunk"].to_numpy(), np.array(table["major"].to_pylist())
@@ -417,23 +454,63 @@ def _places(members: DataFrame, sizes: DataFrame) -> DataFrame:
     return both.groupBy("place", "large", "key").agg(*[F.first(c).alias(c) for c in ("root", "major", "n")], F.collect_list("bucket").alias("buckets"))
 
 
+def _whole():
+    """The place that a part is of."""
+    return F.expr("substring(place, 1, length(place) - 8)")
+
+
+def _counted(places: DataFrame) -> DataFrame:
+    """Members and words on both sides of each place, the rows dealt for it, and whether it has two that could be linked."""
+    major, n = F.col("major"), F.col("n")
+    per = places.groupBy("place", "large").agg(
+        F.count_if(major).alias("_a"), F.coalesce(F.sum(F.when(major, n)), F.lit(0)).alias("_wa"), F.count_if(~major).alias("_b"), F.coalesce(F.sum(F.when(~major, n)), F.lit(0)).alias("_wb"),
+        (F.min("root") != F.max("root")).alias("_several"),
+    )
+    b, wb = F.col("_b"), F.col("_wb")
+    return per.withColumn("_dealt", F.when(F.col("large"), _rows(F.col("_a"), F.col("_wa"), b, wb)).otherwise(b * _chunks(b, wb)))
+
+
+def _parted(places: DataFrame, fresh: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame] | None:
+    """Parts of crowded places, and the places that they stand for; None if no place is crowded.
+
+    A place of so many chunks that its members would be dealt more often than they have rare words is
+    parted: a part holds the members with one rare word. Members that could have a link share one, so
+    they meet in a part, and no part is dealt where none can. A part's name is its place's and the
+    word, 8 bytes. Where words are so common that this would deal more, the place stays whole.
+    """
+    crowded = _counted(places).where(F.col("_dealt") > (1 - threshold) * (F.col("_wa") + F.col("_wb")) + F.col("_a") + F.col("_b"))
+    crowded = materialize(crowded.select("place", "large", F.col("_dealt").alias("_whole")), "neardup-crowded")
+    if crowded.isEmpty():
+        return None
+    own = places.join(_if_few(crowded), ["place", "large"], "left_semi")
+    words = materialize(_texts(fresh, own.select("key").distinct(), "words"), "neardup-crowded-words")
+    counts = np.zeros(SLOTS, np.int64)
+    for r in words.mapInArrow(_held_by, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        counts[r["slot"]] = r["n"]
+    rare = words.mapInArrow(_rare(counts, threshold), "key binary, token binary")
+    parts = materialize(own.join(rare, "key").withColumn("place", F.concat("place", "token")).drop("token"), "neardup-parts")
+    met = materialize(_counted(parts).where("_several and (not large or _a > 0 and _b > 0)").select("place", "large", "_dealt"), "neardup-parts-met")
+    spent = met.groupBy(_whole().alias("place"), "large").agg(F.sum("_dealt").alias("_spent"))
+    stood = materialize(crowded.join(spent, ["place", "large"], "left").where(F.coalesce("_spent", F.lit(0)) < F.col("_whole")).select("place", "large"), "neardup-parted")
+    of = _if_few(stood.withColumnRenamed("place", "_whole"))
+    used = met.drop("_dealt").withColumn("_whole", _whole()).join(of, ["_whole", "large"], "left_semi").drop("_whole")
+    return parts.join(used, ["place", "large"], "left_semi"), stood
+
+
 def _dealt(places: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of places with the columns of texts, sorted by the blocks (place, large, i, j) that they take part in.
 
     No pairs are dealt out: a member goes to the blocks it takes part in, at most one for each chunk
     that it meets, and no two chunks of the largest component ever meet.
     """
-    major, other = F.col("major"), ~F.col("major")
-    per = materialize(places.groupBy("place", "large").agg(
-        _chunks(F.count_if(major), F.coalesce(F.sum(F.when(major, F.col("n"))), F.lit(0))).alias("_a"), _chunks(F.count_if(other), F.coalesce(F.sum(F.when(other, F.col("n"))), F.lit(0))).alias("_b")
-    ), "neardup-chunks")
+    per = materialize(_counted(places).select("place", "large", _chunks(F.col("_a"), F.col("_wa")).alias("_a"), _chunks(F.col("_b"), F.col("_wb")).alias("_b")), "neardup-chunks")
     many = _if_few(per.where("_a > 1 or _b > 1"))  # all members of others are in chunk 0, without a join by a hot place
     one = places.join(many, ["place", "large"], "left").withColumns({c: F.coalesce(c, F.lit(1)) for c in ("_a", "_b")})
-    one = one.withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(major, F.col("_a")).otherwise(F.col("_b"))).cast("int"))
+    one = one.withColumn("chunk", F.pmod(F.xxhash64("key"), F.when(F.col("major"), F.col("_a")).otherwise(F.col("_b"))).cast("int"))
     met = one.drop("n").join(texts, "key").withColumn("_block", F.explode(F.expr("""
         if(large and not major, transform(sequence(0, _a - 1), i -> named_struct('i', i, 'j', chunk)),
            transform(sequence(0, _b - 1), j -> if(large, named_struct('i', chunk, 'j', j), named_struct('i', least(chunk, j), 'j', greatest(chunk, j)))))""")))
-    own = met.select("place", "large", "_block.*", "key", "root", "major", "chunk", "buckets", *[c for c in texts.columns if c != "key"])
+    own = met.select("place", "large", "_block.*", "chunk", *[c for c in places.columns if c not in ("place", "large", "n")], *[c for c in texts.columns if c != "key"])
     by = ["place", "large", "i", "j"]
     return own.repartition(*by).sortWithinPartitions(*by)
 
@@ -442,10 +519,17 @@ def _blocked(members: DataFrame, sizes: DataFrame, fresh: DataFrame, threshold:
     """Links (a, b) between members (bucket, key, root) of one bucket in different components.
 
     The blocks are met twice: first by counts of words, which tell the members that could have a link
-    there, then by the words of those.
+    there, then by the words of those. In crowded places members are parted for the first by their rare words.
     """
+    possible_in = lambda rows: _dealt(rows, sizes).mapInArrow(_blocks_possible(threshold), "place binary, large boolean, key binary")
     places = materialize(_places(members, sizes), "neardup-places")
-    possible = _dealt(places, sizes).mapInArrow(_blocks_possible(threshold), "place binary, large boolean, key binary")
+    bare = places.drop("buckets")
+    if parted := _parted(bare, fresh, threshold):
+        parts, stood = parted
+        possible = possible_in(bare.join(_if_few(stood), ["place", "large"], "left_anti"))
+        possible = possible.unionAll(possible_in(materialize(parts, "neardup-parts-used")).withColumn("place", _whole()))
+    else:
+        possible = possible_in(bare)
     places = materialize(places.join(possible.distinct(), ["place", "large", "key"], "left_semi"), "neardup-possible")
     keys = materialize(places.select("key").distinct(), "neardup-blocked")
     return _dealt(places, _texts(fresh, keys, "words", "bands")).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()

@@ -253,3 +253,44 @@ def test_every_pair_across_components_meets_once(spark, monkeypatch, block_rows)
     expected = {frozenset((x, y)) for own in buckets.values() for x in own for y in own if root[x] != root[y]}
     assert len(found) == len(set(found)) and set(found) == expected
     assert kinds == {(True, 1), (True, 8), (False, 8)} or block_rows == 500
+
+
+@given(st.lists(st.integers(0, 60), min_size=1, max_size=60), st.integers(1, 3), st.data())
+@settings(deadline=None, max_examples=200)
+def test_texts_that_are_linked_share_a_rare_word(a, times, data):
+    a = np.array(a * times, "<u4")
+    b = np.delete(a, data.draw(st.lists(st.integers(0, len(a) - 1), max_size=max(1, len(a) // 6))))
+    b = np.append(b, np.array(data.draw(st.lists(st.integers(0, 90), max_size=max(1, len(a) // 9))), "<u4"))
+    counts = np.random.default_rng(data.draw(st.integers(0, 99))).integers(0, 5, neardup.SLOTS)
+    if len(b) and neardup.aligned(a, b) > 0:
+        assert len(np.intersect1d(neardup.rarest(a, counts, 0.8), neardup.rarest(b, counts, 0.8)))
+
+
+def test_a_crowded_bucket_is_dealt_by_rare_words(spark, monkeypatch):
+    """Links in a bucket of many components are all found, with rows that don't grow with the square of its members."""
+    monkeypatch.setattr(neardup, "BLOCK_ROWS", 2)
+    rng, dealt, plain = random.Random(14), [], neardup._dealt
+
+    def counted(*arguments):
+        own = plain(*arguments)
+        dealt.append(own.count())
+        return own
+
+    monkeypatch.setattr(neardup, "_dealt", counted)
+    passage, rows = list(range(25)), []
+    for k in range(120):
+        rows.append([rng.randrange(100, 10**6) for _ in range(25)] + passage)
+        if k % 12 == 0:
+            rows.append([*rows[-1][:10], 99, *rows[-1][11:]])
+    texts = {f"{k:03}".encode(): np.array(w, "<u4") for k, w in enumerate(rows)}
+    for roots in (1, 40):  # every text alone, or one component of 40
+        own = [(7, k, b"000" if int(k) < roots else k) for k in texts]
+        members = spark.createDataFrame(own, "bucket long, key binary, root binary")
+        fresh = spark.createDataFrame([(k, w.tobytes(), [7], len(w), neardup.bag(w)) for k, w in texts.items()], "key binary, words binary, bands array<long>, n long, bag binary")
+        sizes = fresh.select("key", "n", "bag")
+        del dealt[:]
+        got = {(bytes(r["a"]), bytes(r["b"])) for r in neardup._blocked(members, sizes, fresh, 0.8).collect()}
+        of = {k: r for _, k, r in own}
+        expected = {(y, x) for x in texts for y in texts if x < y and of[x] != of[y] and neardup.aligned(texts[x], texts[y]) > 0}
+        assert got == expected and expected
+        assert sum(dealt) < 10 * len(texts), dealt
