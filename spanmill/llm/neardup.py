@@ -11,10 +11,10 @@ hub; all members are verified against it, in chunks that hold the hub's words on
 into components. Buckets that still hold several components are cut into blocks of bounded size, in
 which the members across components are aligned, so no candidate pair is left between components
 unverified. A component that is the largest of many buckets meets the others of all of them at once, and
-members of crowded buckets are first parted by their rarest words, an exact prefix filter. The words that two texts share in any order bound their alignment from above. Counted in 64
-hash buckets, they are 64 bytes a text: by them pairs with a hub, and members without any possible
-partner in a block, are ruled out before words are dealt out. Counted in 256 in a block, they rule out most
-of the rest before it is aligned.
+members of crowded buckets are first parted by their rarest words, an exact prefix filter. The words that
+two texts share in any order bound their alignment from above. Counted in 64 hash buckets, they are 64
+bytes a text: by them pairs with a hub, and members without any possible partner in a block, are ruled
+out before words are dealt out. Counted in 256 in a block, they rule out most of the rest before it is aligned.
 
 The similarity of two texts is LCS / (n + m - LCS) over their words, at least THRESHOLD: one word in
 nine may be replaced. The alignment runs bit-parallel in the band that the threshold allows. Over
