@@ -6,8 +6,10 @@ sample of keys gives quantile boundaries; records are range-partitioned by them;
 out overfull are sampled anew and subdivided. Exact sums per range then place every record on the
 axis of cumulated bytes, which is cut into shards of equal length.
 
-Ranges only share out the work: shard and slot follow from the exact sums. Ranges that are overfull after
-max_rounds subdivisions are an error, never left to one task.
+Ranges only share out the work: shard and slot follow from the exact sums, and a group of equal texts that
+lies in several ranges is placed by its sums over all of them. Ranges that are overfull after
+max_rounds subdivisions are an error, never left to one task; ranges of up to FEW_ROWS rows never count
+as overfull, since rows are kept without their texts here.
 
 Cases: null text counts as empty (size 1); null ids sort first; repeated rows are rows of their own;
 equal texts share a shard unless
@@ -33,6 +35,8 @@ from .common import materialize, read, text_or_empty
 GROUP_SHARE = 0.02
 #: Salts of records equal in text and id.
 SALTS = 1 << 20
+#: A range of so few rows is no burden to a task, whatever its texts weigh.
+FEW_ROWS = 1000
 _FIRST = -(2**63)
 
 
@@ -109,7 +113,7 @@ def shard_by_size(
         docs.select(
             F.col(id_col).cast("long").alias(id_col), *carry, (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_hash"),
-            F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST)).alias("_id"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).alias("_salt"),
+            F.coalesce(F.col(id_col).cast("long"), F.lit(_FIRST)).alias("_id"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).alias("_salt"),
         ),
         "shard-keys",
     )
@@ -129,7 +133,7 @@ def shard_by_size(
     for again in range(1, max_rounds + 1):
         ranged = keyed.withColumn("range_id", _range_udf(splitters)("_hash", "_id", "_salt"))
         sums = {r[0]: (r[1], r[2], r[3]) for r in ranged.groupBy("range_id").agg(F.sum("size"), F.count("*"), F.max("size")).collect()}
-        over = [k for k, (b, n, most) in sums.items() if n > 1 and b > 2 * quota and b > 1.5 * most]
+        over = [k for k, (b, n, most) in sums.items() if n > FEW_ROWS and b > 2 * quota and b > 1.5 * most]
         if not over:
             break
         if again == max_rounds:
@@ -155,8 +159,13 @@ def shard_by_size(
         .withColumn("_group", F.sum("size").over(in_group))
         .withColumn("_group_start", F.min(F.col("_end") - F.col("size")).over(in_group))
     )
+    placed = placed.withColumn("_group_start", F.col("_bytes_before") + F.col("_group_start"))
+    parted = sorted({h for h, i, salt in splitters if i != _FIRST or salt})
+    if parted:  # groups that a boundary cuts: one row for each such boundary at most
+        over_ranges = placed.where(F.col("_hash").isin(parted)).groupBy("_hash").agg(F.sum("size").alias("_whole"), F.min("_group_start").alias("_whole_start"))
+        placed = placed.join(F.broadcast(over_ranges), "_hash", "left").withColumns({"_group": F.coalesce("_whole", "_group"), "_group_start": F.coalesce("_whole_start", "_group_start")})
     whole = F.col("_group") <= GROUP_SHARE * total / n_shards
-    middle = F.col("_bytes_before") + F.when(whole, F.col("_group_start") + F.col("_group") / 2).otherwise(F.col("_end") - F.col("size") / 2)
+    middle = F.when(whole, F.col("_group_start") + F.col("_group") / 2).otherwise(F.col("_bytes_before") + F.col("_end") - F.col("size") / 2)
     shard = F.least(F.lit(n_shards - 1), F.floor(middle * n_shards / F.lit(float(total)))).cast("int")
     placed = materialize(
         placed.select(id_col, *carry, "size", "text_crc32", "range_id", shard.alias("shard"), (F.col("_rows_before") + F.col("_row") - 1).alias("_at")),
@@ -168,8 +177,6 @@ def shard_by_size(
     )
 
 
-
-
 def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_by_size(read(spark, sf_dir, "documents"), 8)
     return out.select(

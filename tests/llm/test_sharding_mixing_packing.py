@@ -90,6 +90,43 @@ def test_rows_equal_in_text_and_id_are_parted(spark):
     assert max(load.values()) - min(load.values()) < 0.05 * sum(load.values())
 
 
+def even_and_gapless(out, n_shards):
+    load, slots = Counter(), defaultdict(list)
+    for r in out:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return [load[k] for k in range(n_shards)]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_repeated_rows_of_several_files(spark, sf):
+    """Equal rows at the same place of two files: nothing but the file tells them apart."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    out = sharding.shard_by_size(docs.unionAll(docs), 8).select("shard", "slot", "size").collect()
+    load = even_and_gapless(out, 8)
+    assert len(out) == 2 * docs.count() and max(load) - min(load) <= 4 * max(r["size"] for r in out)
+
+
+def test_two_equal_rows(spark):
+    one = docs_of(spark, [(1, "the same text", "a")])
+    out = sharding.shard_by_size(one.unionAll(one), 8).collect()
+    assert len(out) == 2
+    even_and_gapless(out, 8)
+
+
+def test_groups_of_copies_that_lie_in_several_ranges_stay_together(spark):
+    """Groups of 1.3 % of a shard, with far more ranges than groups."""
+    rows = [(k, f"copies of the text number {k % 600} " + "x" * 100, "a") for k in range(30_000)]
+    of, cut = defaultdict(set), sharding.shard_by_size(docs_of(spark, rows).repartition(4), 8, ranges_per_shard=125)
+    found = cut.collect()
+    for r in found:
+        of[r["text_crc32"]].add(r["shard"])
+    assert len({r["range_id"] for r in found}) > 800 and all(len(s) == 1 for s in of.values())
+    load = even_and_gapless(found, 8)
+    assert max(load) - min(load) <= 0.04 * sum(load) / 8
+
+
 def test_shards_of_an_empty_table(spark):
     assert sharding.shard_by_size(docs_of(spark, []), 8).count() == 0
 
