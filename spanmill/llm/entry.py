@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .counts import op1_offset_attribution
 from .html import op3_inferred_wrappers
+from .merkle import OP11_SQL, op11_merkle_tree
 from .mixing import op5_hypergeometric_mix
 from .neardup import op7_order_minhash
 from .packing import op4_best_fit_decreasing
@@ -28,5 +29,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_weak_supervision": op8_weak_supervision,
     "op9_boosted_candidates": op9_boosted_candidates,
     "op10_uniform_threshold": op10_uniform_threshold,
+    "op11_merkle_tree": op11_merkle_tree,
 }
-ORACLE_SQL: dict[str, str] = {"op10_uniform_threshold": OP10_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_uniform_threshold": OP10_SQL, "op11_merkle_tree": OP11_SQL}
