@@ -16,7 +16,9 @@ from .pii import op9_boosted_candidates
 from .quality import op8_weak_supervision
 from .secrets import op6_multipart_secrets
 from .sharding import op2_sampled_splitters
+from .spelling import OP13_SQL, op13_anagram_hashing
 from .topk import OP10_SQL, op10_uniform_threshold
+from .whitening import op12_lobpcg_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_offset_attribution": op1_offset_attribution,
@@ -30,5 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_boosted_candidates": op9_boosted_candidates,
     "op10_uniform_threshold": op10_uniform_threshold,
     "op11_merkle_tree": op11_merkle_tree,
+    "op12_lobpcg_whitening": op12_lobpcg_whitening,
+    "op13_anagram_hashing": op13_anagram_hashing,
 }
-ORACLE_SQL: dict[str, str] = {"op10_uniform_threshold": OP10_SQL, "op11_merkle_tree": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_uniform_threshold": OP10_SQL, "op11_merkle_tree": OP11_SQL, "op13_anagram_hashing": OP13_SQL}

@@ -17,6 +17,7 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -106,8 +107,9 @@ def _followed(order: DataFrame) -> DataFrame:
     """
     block = F.shiftright("_at", 33)
     ends = order.groupBy(block.alias("_block")).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")).orderBy("_block").collect()
-    jumps = [(e["_last"], ends[(k + 1) % len(ends)]["_first"]) for k, e in enumerate(ends)]
-    jump = order.sparkSession.createDataFrame(jumps, "_at long, _jump long")
+    jumps = json.dumps([[e["_last"], ends[(k + 1) % len(ends)]["_first"]] for k, e in enumerate(ends)])
+    pair = F.explode(F.from_json(F.lit(jumps), "array<array<long>>")).alias("_e")  # a literal: rows from Python would start Python workers
+    jump = order.sparkSession.range(1).select(pair).select(F.col("_e")[0].alias("_at"), F.col("_e")[1].alias("_jump"))
     return order.join(F.broadcast(jump), "_at", "left").withColumn("_next", F.coalesce("_jump", F.col("_at") + 1)).drop("_jump")
 
 
