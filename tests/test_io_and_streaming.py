@@ -9,7 +9,7 @@ from spanmill.operators import pii, rollup
 from spanmill.operators.derive import derive
 from spanmill.sources import spans as io
 from spanmill.sources.pricing import static_pricing
-from spanmill.streaming.worker import Worker, read_stream, rows_of, start_all, states_of
+from spanmill.streaming.worker import Worker, ledger, read_stream, rows_of, start_all, states_of
 from spanmill.testbed import event_spans
 from tests.test_derive import T0, spans_of
 
@@ -64,7 +64,7 @@ def test_stream_equals_batch_and_replay_adds_nothing(spark, sf_dir, tmp_path):
     worker.start(read_stream(spark, str(tmp_path / "in"), 1), once=True).awaitTermination()
     expected = totals(rollup.base_rollup(derive(own, "performance")))
     assert totals(states_of(spark, str(tmp_path / "out"))) == expected
-    last = max(int(p.name.removeprefix("batch=")) for p in (tmp_path / "out/rows/lens=performance").glob("batch=*"))
+    last = max(int(p.key.removeprefix("batch=")) for p in ledger(spark, str(tmp_path / "out"), "rows", "performance").current().parts)
     worker.on_batch(spark.read.schema(own.schema).parquet(str(tmp_path / "in")).where("cast(span_id as int) >= 500"), last)
     assert totals(states_of(spark, str(tmp_path / "out"))) == expected
     assert rows_of(spark, str(tmp_path / "out")).count() == derive(own, "performance").count()
