@@ -79,9 +79,14 @@ def _cost(spans: DataFrame, pricing: DataFrame) -> DataFrame:
     })
 
 
-def _safety(spans: DataFrame, policy) -> DataFrame:
-    """Counts of detections in input and output. Each text is analysed once per row, next to it."""
-    own = spans.withColumn("_in", analyze(F.coalesce(P.text("input"), F.lit("")), policy)).withColumn("_out", analyze(F.coalesce(P.text("output"), F.lit("")), policy))
+def _safety(spans: DataFrame, policy, results=None) -> DataFrame:
+    """Counts of detections in input and output. Each text is analysed once per row, next to it; with a store of
+    results (operators/results.py) once for all batches, which runs jobs of its own."""
+    own = spans.withColumns({"_in_text": F.coalesce(P.text("input"), F.lit("")), "_out_text": F.coalesce(P.text("output"), F.lit(""))})
+    if results is None:
+        own = own.withColumns({"_in": analyze(F.col("_in_text"), policy), "_out": analyze(F.col("_out_text"), policy)})
+    else:
+        own = results.analysed(own, {"_in": "_in_text", "_out": "_out_text"})
     own = own.withColumn("_n_in", F.col("_in.entity_count")).withColumn("_n_out", F.col("_out.entity_count"))
     types = F.array_sort(F.array_distinct(F.concat(F.map_keys("_in.entities"), F.map_keys("_out.entities"))))
     own = own.withColumn("_types", types).withColumn("_total", F.col("_n_in") + F.col("_n_out"))
@@ -94,15 +99,16 @@ def _safety(spans: DataFrame, policy) -> DataFrame:
     })
 
 
-def derive(spans: DataFrame, lens: str, pricing: DataFrame | None = None, policy=None, metrics: set[str] | None = None) -> DataFrame:
+def derive(spans: DataFrame, lens: str, pricing: DataFrame | None = None, policy=None, metrics: set[str] | None = None, results=None) -> DataFrame:
     """The lens's per-span metric rows, in the derived layout. Works alike on batch and streaming spans.
 
-    metrics limits the output to some of the lens's own.
+    metrics limits the output to some of the lens's own. results is a store of analyses for the safety lens,
+    under the policy of its own; spans must be a batch then.
     """
     kinds = SPAN_TYPES[lens]
     own = spans.where(F.col("span_type").isin(*kinds)) if kinds else spans
     own = own.withColumn(P.META, P.parsed_metadata())
-    built_in = {"performance": lambda s: _performance(s), "cost": lambda s: _cost(s, pricing), "safety": lambda s: _safety(s, policy)}
+    built_in = {"performance": lambda s: _performance(s), "cost": lambda s: _cost(s, pricing), "safety": lambda s: _safety(s, policy, results)}
     own = built_in[lens](own) if lens in built_in else INTERMEDIATES[lens](own, pricing, policy) if lens in INTERMEDIATES else own
     specs = [m for m in LENSES[lens] if m.per_span and (metrics is None or m.name in metrics)]
     none = F.lit(None).cast("string")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +12,7 @@ from pyspark.sql import functions as F
 
 from spanmill.operators import evaluate, parity, pii, readtime, rollup, thresholds
 from spanmill.operators.derive import derive
+from spanmill.operators.results import ResultStore
 from spanmill.plans.registry import LENSES, catalogue, every_metric
 from spanmill.sources import config
 from spanmill.sources.pricing import STATIC, static_pricing
@@ -93,6 +97,14 @@ def _cost_rows() -> str:
 _PERF, _COST = f"{_WITH}, rows AS ({_perf_rows()})", f"{_WITH}, rows AS ({_cost_rows()})"
 
 
+def _scratch(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share; on a local master a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return shared.rstrip("/") or f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
+
+
 def query(name: str, sql: str | None = None):
     def register(f):
         QUERIES[name] = f
@@ -332,6 +344,28 @@ def pii_safety_metrics(spark, sf_dir):
     return derive(document_pairs(spark, sf_dir), "safety").select("span_id", "metric", "value")
 
 
+_BATCHES = 4
+
+
+@query("pii_result_store", f"""WITH p AS (SELECT doc_id // 2 AS pair, max(text) FILTER (doc_id % 2 = 0) AS input, max(text) FILTER (doc_id % 2 = 1) AS output FROM documents GROUP BY ALL),
+  t AS (SELECT pair, pair % {_BATCHES} AS batch, unnest([input, output]) AS text FROM p), d AS (SELECT DISTINCT batch, text FROM t WHERE text <> ''), f AS (SELECT text, min(batch) AS batch FROM d GROUP BY text),
+  c AS (SELECT batch, count(DISTINCT pair) AS spans, CAST(sum({' + '.join(f"coalesce(len(regexp_extract_all(text, '{_duck(e)}')), 0)" for e in _SAFE_TYPES)}) AS DOUBLE) AS pii_count FROM t GROUP BY batch)
+  SELECT CAST(c.batch AS BIGINT) AS batch, spans, (SELECT count(*) FROM d WHERE d.batch = c.batch) AS texts, (SELECT count(*) FROM f WHERE f.batch = c.batch) AS analysed, pii_count FROM c""")
+def pii_result_store(spark, sf_dir):
+    """Model calls over all documents in batches that share a store of analyses: how many texts each batch held, and how many were new."""
+    store = ResultStore(spark, f"{_scratch(spark)}/results-{uuid.uuid4().hex}")
+    pairs = document_pairs(spark, sf_dir)
+    done = None
+    for k in range(_BATCHES):
+        rows = derive(pairs.where(F.col("span_id").cast("long") % _BATCHES == k), "safety", metrics={"pii_count"}, results=store)
+        own = rows.agg(F.count("*").alias("spans"), F.sum("value").alias("pii_count")).select(F.lit(k).cast("long").alias("batch"), "spans", "pii_count").where("spans > 0")
+        done = own if done is None else done.unionAll(own)
+    fresh = store.results().groupBy((F.col("tick") - 1).alias("batch")).agg(F.count("*").alias("analysed"))
+    again = store.touches().groupBy((F.col("tick") - 1).alias("batch")).agg(F.count("*").alias("again"))
+    met = done.join(fresh, "batch", "left").join(again, "batch", "left").na.fill(0, ["analysed", "again"])
+    return met.select("batch", "spans", (F.col("analysed") + F.col("again")).alias("texts"), "analysed", "pii_count")
+
+
 @query("pii_redact", f"SELECT doc_id, md5(regexp_replace(text, '{_duck('EMAIL_ADDRESS')}', '[EMAIL_ADDRESS]', 'g')) AS digest FROM documents")
 def pii_redact(spark, sf_dir):
     only = pii.Policy(disabled=frozenset(pii.ENTITY_TYPES) - {"EMAIL_ADDRESS"})
@@ -411,16 +445,9 @@ def dedup_derived(spark, sf_dir):
 @query("stream_rollup", f"{_PERF} SELECT metric, count(*) AS count, round(sum(value), 4) AS sum_value FROM rows GROUP BY metric")
 def stream_rollup(spark, sf_dir):
     """Spans written as files, drained by a streaming worker, read back from its partial states."""
-    import tempfile
-    import uuid
-
     from spanmill.streaming.worker import Worker, read_stream, states_of
 
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared and not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    shared = shared or f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
-    own = f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    own = f"{_scratch(spark)}/stream-{uuid.uuid4().hex}"
     event_spans(spark, sf_dir).write.parquet(f"{own}/spans")
     Worker("performance", f"{own}/out", f"{own}/checkpoint").start(read_stream(spark, f"{own}/spans", 2), once=True).awaitTermination()
     return states_of(spark, f"{own}/out").groupBy("metric").agg(F.sum("count").alias("count"), F.round(F.sum("sum_value"), 4).alias("sum_value"))

@@ -80,11 +80,11 @@ class Ledger:
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(f"{self.root}/{own}")
         return own
 
-    def frame(self, path: str, schema: T.StructType) -> DataFrame:
+    def frame(self, path: str, schema: T.StructType | str) -> DataFrame:
         """A part, or a staged folder."""
         return self.spark.read.schema(schema).parquet(f"{self.root}/{path}")
 
-    def read(self, schema: T.StructType, version: Version | None = None, parts: tuple[Part, ...] | list[Part] | None = None) -> DataFrame:
+    def read(self, schema: T.StructType | str, version: Version | None = None, parts: tuple[Part, ...] | list[Part] | None = None) -> DataFrame:
         """The rows of a version, the newest by default, or of some of its parts."""
         own = [p for p in ((version or self.current()).parts if parts is None else parts) if p.path]
         if not own:
