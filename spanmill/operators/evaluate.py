@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanmill.operators.quantiles import exact_quantiles
+
 # Annotation labels and the entity types they stand for.
 LABELS = {"NAME_STUDENT": "PERSON", "EMAIL": "EMAIL_ADDRESS", "PHONE_NUM": "PHONE_NUMBER", "URL_PERSONAL": "URL", "USERNAME": "NRP", "STREET_ADDRESS": "LOCATION"}
 _SPANS = "array<struct<start:int,end:int,entity_type:string>>"
@@ -70,4 +72,8 @@ def scores(counts: DataFrame) -> DataFrame:
 def latency_stats(runs: DataFrame, column: str = "latency_ms", *by: str) -> DataFrame:
     """Count, mean, deviation, extremes and quantiles of how long runs took, per key."""
     own = [F.count(column).alias("n"), F.round(F.avg(column), 4).alias("mean"), F.round(F.stddev_pop(column), 4).alias("deviation"), F.min(column).alias("least"), F.max(column).alias("most")]
-    return runs.groupBy(*by).agg(*own, *[F.round(F.percentile(column, F.lit(q)), 4).alias(f"p{round(100 * q)}") for q in (0.5, 0.95, 0.99)])
+    names = ["p50", "p95", "p99"]
+    ranks = exact_quantiles(runs, list(by), column, [0.5, 0.95, 0.99], names=names)
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in by] or [F.lit(True)]
+    both = runs.groupBy(*by).agg(*own).alias("a").join(ranks.alias("b"), same, "left")
+    return both.select(*[f"a.{c}" for c in by], "n", "mean", "deviation", "least", "most", *[F.round(f"b.{c}", 4).alias(c) for c in names])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanmill.operators.quantiles import exact_quantiles
 from spanmill.operators.rollup import bucket
 from spanmill.plans.registry import every_metric
 
@@ -33,14 +34,16 @@ def with_business_keys(rows: DataFrame, registry: dict[str, DataFrame]) -> DataF
 def reduced(rows: DataFrame, window: str, by: list[str]) -> DataFrame:
     """metric, by, bucket, value, count: each metric by its own statistic, as the registry names it, per window.
 
-    p95 is exact, over counts per distinct value, which combine before the shuffle.
+    p95 is exact, by exact_quantiles(), which runs jobs of its own.
     """
     kinds = {m.name: m.reducer for m in every_metric()}
     kind = F.element_at(F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv]), F.col("metric"))
-    own = rows.where(F.col("metric").isin(*kinds)).groupBy("metric", *by, bucket("ts", window).alias("bucket"))
-    out = own.agg(F.count("*").alias("count"), F.sum("value").alias("_sum"), F.max("value").alias("_max"), F.percentile(F.when(kind == "p95", F.col("value")), F.lit(0.95)).alias("_p95"))
-    value = F.when(kind == "p95", F.col("_p95")).when(kind == "avg", F.col("_sum") / F.col("count")).when(kind == "max", F.col("_max")).otherwise(F.col("_sum"))
-    return out.select("metric", *by, "bucket", value.alias("value"), "count")
+    keys = ["metric", *by, "bucket"]
+    own = rows.where(F.col("metric").isin(*kinds)).select("metric", *by, bucket("ts", window).alias("bucket"), "value")
+    ranked = exact_quantiles(own.where(kind == "p95"), keys, "value", [0.95], names=["value"]).select(*keys, "value", "count")
+    sums = own.where(kind != "p95").groupBy(*keys).agg(F.count("*").alias("count"), F.sum("value").alias("_sum"), F.max("value").alias("_max"))
+    value = F.when(kind == "avg", F.col("_sum") / F.col("count")).when(kind == "max", F.col("_max")).otherwise(F.col("_sum"))
+    return sums.select(*keys, value.alias("value"), "count").unionAll(ranked)
 
 
 def judged(values: DataFrame, thresholds: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,9 +10,11 @@ from pyspark.sql import functions as F
 
 from spanmill.operators import evaluate, parity, pii, readtime, rollup, thresholds
 from spanmill.operators.derive import derive
+from spanmill.operators.quantiles import exact_quantiles
 from spanmill.operators.results import ResultStore
 from spanmill.plans.registry import LENSES, catalogue, every_metric
 from spanmill.sources import config
+from spanmill.sources.ledger import scratch
 from spanmill.sources.pricing import STATIC, static_pricing
 from spanmill.sources.spans import next_batch
 from spanmill.testbed import document_pairs, event_spans, table
@@ -97,14 +97,6 @@ def _cost_rows() -> str:
 _PERF, _COST = f"{_WITH}, rows AS ({_perf_rows()})", f"{_WITH}, rows AS ({_cost_rows()})"
 
 
-def _scratch(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; on a local master a temporary one where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return shared.rstrip("/") or f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
-
-
 def query(name: str, sql: str | None = None):
     def register(f):
         QUERIES[name] = f
@@ -216,7 +208,8 @@ for _w in ("1m", "5m", "15m", "1h", "1d"):
 @query("rollup_exact_quantiles", f"""{_PERF} SELECT solution_id, scope, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.95), 4) AS p95
   FROM rows WHERE metric = 'latency' GROUP BY solution_id, scope""")
 def rollup_exact_quantiles(spark, sf_dir):
-    return _perf(spark, sf_dir, {"latency"}).groupBy("solution_id", "scope").agg(F.round(F.percentile("value", F.lit(0.5)), 4).alias("p50"), F.round(F.percentile("value", F.lit(0.95)), 4).alias("p95"))
+    found = exact_quantiles(_perf(spark, sf_dir, {"latency"}), ["solution_id", "scope"], "value", [0.5, 0.95], names=["p50", "p95"])
+    return found.select("solution_id", "scope", F.round("p50", 4).alias("p50"), F.round("p95", 4).alias("p95"))
 
 
 @query("rollup_sketch_quantiles")
@@ -353,7 +346,7 @@ _BATCHES = 4
   SELECT CAST(c.batch AS BIGINT) AS batch, spans, (SELECT count(*) FROM d WHERE d.batch = c.batch) AS texts, (SELECT count(*) FROM f WHERE f.batch = c.batch) AS analysed, pii_count FROM c""")
 def pii_result_store(spark, sf_dir):
     """Model calls over all documents in batches that share a store of analyses: how many texts each batch held, and how many were new."""
-    store = ResultStore(spark, f"{_scratch(spark)}/results-{uuid.uuid4().hex}")
+    store = ResultStore(spark, f"{scratch(spark)}/results-{uuid.uuid4().hex}")
     pairs = document_pairs(spark, sf_dir)
     done = None
     for k in range(_BATCHES):
@@ -447,7 +440,7 @@ def stream_rollup(spark, sf_dir):
     """Spans written as files, drained by a streaming worker, read back from its partial states."""
     from spanmill.streaming.worker import Worker, read_stream, states_of
 
-    own = f"{_scratch(spark)}/stream-{uuid.uuid4().hex}"
+    own = f"{scratch(spark)}/stream-{uuid.uuid4().hex}"
     event_spans(spark, sf_dir).write.parquet(f"{own}/spans")
     Worker("performance", f"{own}/out", f"{own}/checkpoint").start(read_stream(spark, f"{own}/spans", 2), once=True).awaitTermination()
     return states_of(spark, f"{own}/out").groupBy("metric").agg(F.sum("count").alias("count"), F.round(F.sum("sum_value"), 4).alias("sum_value"))

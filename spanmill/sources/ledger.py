@@ -13,6 +13,8 @@ A manifest grows with the parts, so writers of many small parts merge them now a
 from __future__ import annotations
 
 import json
+import re
+import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -21,6 +23,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+_temporary: dict[str, str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, from spark.checkpoint.dir; on a local master a temporary one where none is set."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if shared:
+        return shared.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "local")):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _temporary:
+        _temporary[app] = f"file://{tempfile.mkdtemp(prefix='spanmill-')}"
+    return _temporary[app]
+
+
 @dataclass(frozen=True)
 class Part:
     """A folder of a ledger, or none (an empty path). key names its place: a commit takes away the part that had it. facts are the writer's own."""
