@@ -15,12 +15,10 @@ null keys are a key; ties cost no more than other values; no rows give no keys,
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanmill.sources.ledger import scratch
+from spanmill.sources.ledger import kept
 
 #: A bracket of so many values is sorted.
 MOST = 32_768
@@ -38,8 +36,8 @@ def exact_quantiles(rows: DataFrame, by: list[str], value: str | Column, ranks:
     """
     if not all(0 <= q <= 1 for q in ranks):
         raise ValueError("ranks lie between 0 and 1")
-    names, store = names or [f"q{k}" for k in range(len(ranks))], store or scratch(rows.sparkSession)
-    keep = lambda frame: _kept(frame, store)
+    names = names or [f"q{k}" for k in range(len(ranks))]
+    keep = lambda frame: kept(frame, "quantiles", store)
     key = F.struct(*[F.col(c) for c in by]) if by else F.struct(F.lit(1))
     data = rows.select(*by, F.sha2(F.to_json(key, {"ignoreNullFields": "false"}), 256).alias("_k") if by else F.lit("").alias("_k"), (F.col(value) if isinstance(value, str) else value).cast("double").alias("_v"))
     totals = keep(data.groupBy(*by, "_k").agg(F.count("_v").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"), _grid(F.col("_v")).alias("_s")))
@@ -63,12 +61,6 @@ def exact_quantiles(rows: DataFrame, by: list[str], value: str | Column, ranks:
     return _picked(by, data, totals, keep(done), ranks, names)
 
 
-def _kept(frame: DataFrame, store: str) -> DataFrame:
-    path = f"{store.rstrip('/')}/quantiles-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
 def _checked(targets: DataFrame) -> DataFrame:
     return F.broadcast(targets) if targets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else targets
 

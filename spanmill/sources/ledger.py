@@ -39,6 +39,13 @@ def scratch(spark: SparkSession) -> str:
     return _temporary[app]
 
 
+def kept(frame: DataFrame, label: str, store: str | None = None) -> DataFrame:
+    """frame written as a table in a shared folder, the session's by default, and read back."""
+    path = f"{(store or scratch(frame.sparkSession)).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Part:
     """A folder of a ledger, or none (an empty path). key names its place: a commit takes away the part that had it. facts are the writer's own."""

@@ -56,15 +56,15 @@ def test_no_list_is_longer_than_told(spark, tmp_path, monkeypatch):
     from spanmill.operators import quantiles
 
     longest = []
-    real = quantiles._kept
+    real = quantiles.kept
 
-    def kept(frame, store):
-        out = real(frame, store)
+    def kept(frame, label, store):
+        out = real(frame, label, store)
         if "low" in out.columns and "s" not in out.columns:
             longest.append(out.where(~F.col("low").eqNullSafe(F.col("high"))).agg(F.max("n")).first()[0])
         return out
 
-    monkeypatch.setattr(quantiles, "_kept", kept)
+    monkeypatch.setattr(quantiles, "kept", kept)
     rows = [("a", random.Random(k).random()) for k in range(5000)]
     got = run(spark, rows, tmp_path, most=25)
     assert longest and max(longest) <= 25 and all(close(a, b) for a, b in zip(got["a"], brute(rows)["a"]))
