@@ -1,63 +1,124 @@
-"""Evaluation of detections against annotated tokens: BIO tags to spans, greedy matching, precision and recall."""
+"""Evaluation of detections against annotated tokens: BIO tags to spans, greedy matching, precision and recall.
+
+Spans are rows. Annotated documents become spans by running sums over their tokens, and are matched by a sweep
+over each document's spans of one type, in a task that sees its documents one after another: linear in tokens
+and, but for places where very many different spans overlap, in spans.
+"""
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import deque
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanmill.operators.quantiles import exact_quantiles
+from spanmill.sources.ledger import kept
 
 # Annotation labels and the entity types they stand for.
 LABELS = {"NAME_STUDENT": "PERSON", "EMAIL": "EMAIL_ADDRESS", "PHONE_NUM": "PHONE_NUMBER", "URL_PERSONAL": "URL", "USERNAME": "NRP", "STREET_ADDRESS": "LOCATION"}
 _SPANS = "array<struct<start:int,end:int,entity_type:string>>"
 
 
-def gold_spans(docs: DataFrame) -> DataFrame:
-    """docs (tokens, labels, trailing_whitespace) with gold: spans in characters.
+def gold_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id_col, place, start, end, entity_type) from docs (id_col, tokens, labels, trailing_whitespace), in characters. id_col must tell documents apart.
 
     B opens a span, I extends the open one whatever its label, all else closes it; a B with an
-    unknown label opens none. A fold over the tokens, within the row.
+    unknown label opens none. So tokens form stretches that begin at each token that isn't I; a stretch is a
+    span if a B with a known label begins it.
     """
-    tokens = F.arrays_zip("tokens", "labels", "trailing_whitespace")
     kind = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])
-    first = F.expr(f"named_struct('at', 0, 'open', cast(null as struct<start:int,end:int,entity_type:string>), 'out', cast(array() as {_SPANS}))")
+    tokens = docs.select(id_col, F.posexplode(F.arrays_zip("tokens", "labels", "trailing_whitespace")).alias("place", "_t")).select(
+        id_col, "place", F.length("_t.tokens").alias("_n"), F.col("_t.labels").alias("_l"), F.when(F.col("_t.trailing_whitespace"), 1).otherwise(0).alias("_s")
+    ).where("_n is not null and _l is not null")
+    so_far = Window.partitionBy(id_col).orderBy("place")
+    ended = F.sum(F.col("_n") + F.col("_s")).over(so_far) - F.col("_s")
+    stretch = F.count(F.when(~F.col("_l").startswith("I-"), 1)).over(so_far)
+    own = tokens.select(id_col, "place", "_l", (ended - F.col("_n")).cast("int").alias("start"), ended.cast("int").alias("end"), stretch.alias("_k")).groupBy(id_col, "_k")
+    spans = own.agg(F.min_by("_l", "place").alias("_l"), F.min("place").alias("place"), F.min("start").alias("start"), F.max("end").alias("end"))
+    entity = F.when(F.col("_l").startswith("B-"), F.try_element_at(kind, F.substring("_l", F.lit(3), F.length("_l"))))
+    return spans.select(id_col, "place", "start", "end", entity.alias("entity_type")).where("entity_type is not null")
 
-    def step(s, t):
-        end = s["at"] + F.length(t["tokens"])
-        entity = F.try_element_at(kind, F.substring(t["labels"], 3, 1000))
-        begins, inside = t["labels"].startswith("B-"), t["labels"].startswith("I-") & s["open"].isNotNull()
-        opened = F.when(begins & entity.isNotNull(), F.struct(s["at"].alias("start"), end.alias("end"), entity.alias("entity_type")))
-        grown = F.when(inside, F.struct(s["open"]["start"].alias("start"), end.alias("end"), s["open"]["entity_type"].alias("entity_type"))).otherwise(opened)
-        closed = F.when(~inside & s["open"].isNotNull(), F.array_append(s["out"], s["open"])).otherwise(s["out"])
-        return F.struct((end + F.when(t["trailing_whitespace"], 1).otherwise(0)).alias("at"), grown.alias("open"), closed.alias("out"))
 
-    done = F.aggregate(tokens, first, step, lambda s: F.when(s["open"].isNotNull(), F.array_append(s["out"], s["open"])).otherwise(s["out"]))
-    return docs.withColumn("gold", done)
+def gold_spans(docs: DataFrame) -> DataFrame:
+    """docs with gold, the spans of gold_rows() as an array in their order. Documents are numbered in a table of the shared folder."""
+    own = kept(docs.withColumn("_doc", F.monotonically_increasing_id()), "annotated")
+    each = gold_rows(own.select("_doc", "tokens", "labels", "trailing_whitespace"), "_doc").groupBy("_doc").agg(F.array_sort(F.collect_list(F.struct("start", "end", "entity_type"))).alias("gold"))
+    return own.join(each, "_doc", "left").select(*docs.columns, F.coalesce("gold", F.expr(f"cast(array() as {_SPANS})")).alias("gold"))
 
 
-def _overlap(p, g):
-    """The share of two spans' common stretch that both cover; 0 for spans of different types."""
-    both = F.least(p["end"], g["end"]) - F.greatest(p["start"], g["start"])
-    whole = F.greatest(p["end"], g["end"]) - F.least(p["start"], g["start"])
-    return F.when((p["entity_type"] == g["entity_type"]) & (both > 0), both / whole).otherwise(0.0)
+def greedy(golds: Iterable[tuple[int, int]], predictions: Iterable[tuple[int, int]], min_iou: float) -> int:
+    """How many predictions find a gold span: each, in order, takes the first of those that it overlaps enough and that are free.
 
+    Equal gold spans are one entry. Entries by start carry the greatest end so far, which tells where the
+    search for overlaps may stop.
+    """
+    places: dict[tuple[int, int], deque[int]] = {}
+    for k, span in enumerate(golds):
+        places.setdefault(span, deque()).append(k)
+    entries = sorted(places)
+    starts, tops, top = [a for a, _ in entries], [], 0
+    for _, b in entries:
+        top = max(top, b)
+        tops.append(top)
+    hits = 0
+    for a, b in predictions:
+        k, best = bisect_left(starts, b), None
+        while k and tops[k - 1] > a:
+            k -= 1
+            c, d = entries[k]
+            both = min(b, d) - max(a, c)
+            if both > 0 and places[c, d] and both / (max(b, d) - min(a, c)) >= min_iou and (best is None or places[c, d][0] < places[best][0]):
+                best = c, d
+        if best is not None:
+            places[best].popleft()
+            hits += 1
+    return hits
+
+
+def matched(spans: DataFrame, id_col: str = "doc_id", min_iou: float = 0.5) -> DataFrame:
+    """(entity_type, tp, fp, fn) from spans (id_col, gold: boolean, place, start, end, entity_type); place is a span's order within its document.
+
+    A document's spans of one type are one task's work; a task holds those of one at a time.
+    """
+    import pyarrow as pa
 
-def match_counts(docs: DataFrame, min_iou: float = 0.5) -> DataFrame:
-    """(entity_type, tp, fp, fn) from docs (predicted, gold), each an array<(start, end, entity_type)>.
+    def sweep(batches):
+        key, golds, found, kinds = None, [], [], {}
 
-    Greedy: a prediction, in order, takes the first gold span that it overlaps enough and that is free.
-    A fold over the predictions within the row: its state is the places of the gold spans taken, -1 for none.
-    """
-    spans = lambda c: F.transform(c, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["entity_type"].alias("entity_type")))
-    own = docs.select(spans("predicted").alias("_p"), spans("gold").alias("_g"))
-    fits = F.transform("_p", lambda p: F.filter(F.transform("_g", lambda g, k: F.when(_overlap(p, g) >= min_iou, k).otherwise(-1)), lambda k: k >= 0))
-    first = lambda taken, places: F.coalesce(F.get(F.filter(places, lambda k: ~F.array_contains(taken, k)), F.lit(0)), F.lit(-1))
-    taken = F.aggregate("_fits", F.expr("cast(array() as array<int>)"), lambda acc, places: F.array_append(acc, first(acc, places)))
-    done = own.withColumn("_fits", fits).withColumn("_taken", taken)
-    hits = F.zip_with("_p", "_taken", lambda p, k: F.struct(p["entity_type"].alias("entity_type"), (k >= 0).cast("long").alias("tp"), (k < 0).cast("long").alias("fp"), F.lit(0).cast("long").alias("fn")))
-    free = F.filter("_g", lambda g, k: ~F.array_contains("_taken", k))
-    missed = F.transform(free, lambda g: F.struct(g["entity_type"].alias("entity_type"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("fp"), F.lit(1).cast("long").alias("fn")))
-    return done.select(F.explode(F.concat(hits, missed)).alias("_m")).groupBy("_m.entity_type").agg(*[F.sum(f"_m.{c}").alias(c) for c in ("tp", "fp", "fn")])
+        def close():
+            if key is not None:
+                hits = greedy(golds, found, min_iou)
+                own = kinds.setdefault(key[1], [0, 0, 0])
+                for k, n in enumerate((hits, len(found) - hits, len(golds) - hits)):
+                    own[k] += n
+                golds.clear()
+                found.clear()
+
+        for batch in batches:
+            for doc, entity, gold, start, end in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                if (doc, entity) != key:
+                    close()
+                    key = doc, entity
+                (golds if gold else found).append((start, end))
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(list(kinds), pa.string()), *[pa.array([v[k] for v in kinds.values()], pa.int64()) for k in range(3)]], ["entity_type", "tp", "fp", "fn"])
+
+    own = spans.select(F.col(id_col).alias("_doc"), "entity_type", "gold", "start", "end", "place").repartition("_doc", "entity_type").sortWithinPartitions("_doc", "entity_type", "place")
+    return own.drop("place").mapInArrow(sweep, "entity_type string, tp long, fp long, fn long").groupBy("entity_type").agg(*[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+
+
+def match_counts(docs: DataFrame, min_iou: float = 0.5) -> DataFrame:
+    """(entity_type, tp, fp, fn) from docs (predicted, gold), each an array<(start, end, entity_type)>: matched() in the arrays' order."""
+    spans = lambda c, gold: F.coalesce(
+        F.transform(c, lambda s, k: F.struct(F.lit(gold).alias("gold"), k.alias("place"), s["start"].alias("start"), s["end"].alias("end"), s["entity_type"].alias("entity_type"))),
+        F.expr("cast(array() as array<struct<gold:boolean,place:int,start:int,end:int,entity_type:string>>)"),
+    )
+    numbered = docs.select(F.monotonically_increasing_id().alias("_id"), F.concat(spans("predicted", False), spans("gold", True)).alias("_s"))
+    return matched(numbered.select("_id", F.explode("_s").alias("_s")).select("_id", "_s.*"), "_id", min_iou)
 
 
 def scores(counts: DataFrame) -> DataFrame:

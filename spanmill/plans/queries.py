@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from spanmill.operators import evaluate, parity, pii, readtime, rollup, thresholds
 from spanmill.operators.derive import derive
@@ -400,18 +401,44 @@ def pii_latency_stats(spark, sf_dir):
     return evaluate.latency_stats(own, "value", "solution_id")
 
 
-_ANNOTATED = [
-    (["Ann", "Lee", "wrote", "to", "a@b.org", "."], ["B-NAME_STUDENT", "I-NAME_STUDENT", "O", "O", "B-EMAIL", "O"], [True, True, True, True, False, False], [(0, 7, "PERSON"), (17, 24, "EMAIL_ADDRESS"), (0, 3, "URL")]),
-    (["Call", "555", "0100", "now"], ["O", "B-PHONE_NUM", "I-PHONE_NUM", "O"], [True, True, True, False], [(5, 8, "PHONE_NUMBER"), (5, 13, "PHONE_NUMBER")]),
-    (["Bo", "Kim"], ["B-NAME_STUDENT", "B-NAME_STUDENT"], [True, False], [(3, 6, "PERSON")]),
-]
+_NUMBER, _MAIL = "^[0-9+(][0-9().+-]*$", "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+"
 
 
-@query("eval_prf1", """SELECT * FROM (VALUES ('PERSON', 2::BIGINT, 0::BIGINT, 1::BIGINT, 1.0::DOUBLE, 0.666667::DOUBLE, 0.8::DOUBLE), ('EMAIL_ADDRESS', 1, 0, 0, 1.0, 1.0, 1.0),
-  ('PHONE_NUMBER', 1, 1, 0, 0.5, 1.0, 0.666667), ('OVERALL', 4, 2, 1, 0.666667, 0.8, 0.727273)) AS t(entity_type, tp, fp, fn, "precision", recall, f1)""")
+@query("eval_prf1", f"""WITH t AS (SELECT doc_id, unnest(string_split(text, ' ')) AS x, generate_subscripts(string_split(text, ' '), 1) AS i FROM documents),
+  n AS (SELECT *, CAST(coalesce(sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS a, contains(x, '@') AS mail, regexp_matches(x, '{_NUMBER}') AS num FROM t),
+  m AS (SELECT *, num AND coalesce(lag(num AND NOT mail) OVER (PARTITION BY doc_id ORDER BY i), false) AS more, regexp_extract(x, '{_MAIL}') AS y FROM n),
+  k AS (SELECT *, sum((NOT (num AND more AND NOT mail))::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM m),
+  g AS (SELECT doc_id, CASE WHEN bool_or(mail) THEN 'EMAIL_ADDRESS' WHEN bool_or(num) THEN 'PHONE_NUMBER' ELSE 'URL' END AS e, min(a) AS a, max(a + length(x)) AS b FROM k GROUP BY doc_id, k HAVING bool_or(mail OR num OR starts_with(x, 'http'))),
+  p AS (SELECT doc_id, 3 * i AS place, 'EMAIL_ADDRESS' AS e, a + instr(x, y) - 1 AS a, a + instr(x, y) - 1 + length(y) AS b FROM m WHERE mail AND y <> '' UNION ALL SELECT doc_id, 3 * i + 1, 'EMAIL_ADDRESS', a + instr(x, y) - 1, a + length(x) FROM m WHERE mail AND y <> ''
+    UNION ALL SELECT doc_id, 3 * i, 'PHONE_NUMBER', a, a + length(x) FROM m WHERE num AND NOT mail UNION ALL SELECT doc_id, 3 * i, 'URL', a, a + length(x) FROM m WHERE (starts_with(x, 'http') OR starts_with(x, 'www')) AND NOT mail AND NOT num),
+  o AS (SELECT p.doc_id, p.e, p.place, g.a FROM p JOIN g ON p.doc_id = g.doc_id AND p.e = g.e AND least(p.b, g.b) - greatest(p.a, g.a) > 0 AND (least(p.b, g.b) - greatest(p.a, g.a)) / (greatest(p.b, g.b) - least(p.a, g.a))::DOUBLE >= 0.5),
+  h AS (SELECT e, count(DISTINCT (doc_id, a)) AS tp FROM o GROUP BY e),
+  s AS (SELECT e, coalesce(tp, 0) AS tp, np - coalesce(tp, 0) AS fp, ng - coalesce(tp, 0) AS fn FROM (SELECT e, count(*) AS ng FROM g GROUP BY e) FULL JOIN (SELECT e, count(*) AS np FROM p GROUP BY e) USING (e) LEFT JOIN h USING (e)),
+  u AS (SELECT e AS entity_type, tp, coalesce(fp, 0) AS fp, coalesce(fn, 0) AS fn FROM s WHERE tp + coalesce(fn, 0) > 0 UNION ALL SELECT 'OVERALL', sum(tp), sum(fp), sum(fn) FROM s),
+  r AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END AS pr, CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END AS re FROM u)
+  SELECT entity_type, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, round(pr, 6) AS "precision", round(re, 6) AS recall, round(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END, 6) AS f1 FROM r""")
 def eval_prf1(spark, sf_dir):
-    docs = spark.createDataFrame(_ANNOTATED, "tokens array<string>, labels array<string>, trailing_whitespace array<boolean>, predicted array<struct<start:int,end:int,entity_type:string>>")
-    return evaluate.scores(evaluate.match_counts(evaluate.gold_spans(docs)))
+    """Words with @, runs of numbers and links of all documents, annotated by rule as BIO tags, against predictions that cut, double and part them."""
+    words = F.split("text", " ")
+    number = lambda x: x.rlike(_NUMBER) & ~x.contains("@")
+    before = lambda ws, k: F.coalesce(number(F.get(ws, k - 1)), F.lit(False))
+    docs = table(spark, sf_dir, "documents").where("text is not null").select("doc_id", words.alias("tokens"))
+    label = lambda x, k: (
+        F.when(x.contains("@"), "B-EMAIL").when(number(x), F.when(before(F.col("tokens"), k), "I-PHONE_NUM").otherwise("B-PHONE_NUM")).when(x.startswith("http"), "B-URL_PERSONAL").otherwise("O")
+    )
+    docs = docs.withColumns({"labels": F.transform("tokens", label), "trailing_whitespace": F.transform("tokens", lambda x: F.lit(True))})
+    gold = evaluate.gold_rows(docs).select("doc_id", F.lit(True).alias("gold"), "place", "start", "end", "entity_type")
+    place = F.sum(F.length("x") + 1).over(Window.partitionBy("doc_id").orderBy("i")) - F.length("x") - 1
+    own = docs.select("doc_id", F.posexplode("tokens").alias("i", "x")).withColumns({"a": place, "y": F.regexp_extract("x", _MAIL, 0)})
+    mail, end = F.col("x").contains("@"), F.col("a") + F.length("x")
+    first = F.col("a") + F.expr("instr(x, y)") - 1
+    span = lambda k, e, a, b: F.struct((F.col("i") * 3 + k).alias("place"), F.lit(e).alias("entity_type"), a.cast("int").alias("start"), b.cast("int").alias("end"))
+    predicted = (
+        F.when(mail & (F.col("y") != ""), F.array(span(0, "EMAIL_ADDRESS", first, first + F.length("y")), span(1, "EMAIL_ADDRESS", first, end))).when(mail, F.array())
+        .when(number(F.col("x")), F.array(span(0, "PHONE_NUMBER", F.col("a"), end))).when(F.col("x").startswith("http") | F.col("x").startswith("www"), F.array(span(0, "URL", F.col("a"), end)))
+    )
+    found = own.select("doc_id", F.explode(predicted).alias("p")).select("doc_id", F.lit(False).alias("gold"), "p.place", "p.start", "p.end", "p.entity_type")
+    return evaluate.scores(evaluate.matched(gold.unionByName(found)))
 
 
 @query("parity_tolerance", f"""{_PERF} SELECT metric, count(*) AS compared, CAST(count(*) FILTER (NOT (metric = 'latency' AND CAST(span_id AS BIGINT) % 5 = 0)) AS BIGINT) AS within,
