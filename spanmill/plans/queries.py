@@ -168,9 +168,15 @@ _SPEC_VALUES = """
   ('safety', 'pii_detected', 'ratio', '1h', true, true), ('safety', 'pii_distinct_types', 'count', '1h', false, true)"""
 
 
-@query("spec_catalogue", f"SELECT * FROM (VALUES {_SPEC_VALUES}) AS t(lens, metric, unit, \"window\", threshold, per_span)")
+@query("spec_catalogue", f"""{_WITH}, found AS (SELECT metric, count(*) AS n FROM ({_perf_rows()} UNION ALL {_cost_rows()}) GROUP BY metric),
+  pairs AS (SELECT count(DISTINCT doc_id // 2) AS n FROM documents), t(lens, metric, unit, "window", threshold, per_span) AS (VALUES {_SPEC_VALUES})
+  SELECT t.*, CASE WHEN lens = 'safety' THEN (SELECT n FROM pairs) ELSE coalesce(found.n, 0) END AS found FROM t LEFT JOIN found USING (metric)""")
 def spec_catalogue(spark, sf_dir):
-    return catalogue(spark).select("lens", "metric", "unit", "window", "threshold", "per_span")
+    """Every metric of the registry, with the rows that events and pairs of documents have of it."""
+    rows = [_perf(spark, sf_dir), _costs(spark, sf_dir), derive(document_pairs(spark, sf_dir), "safety")]
+    counts = rows[0].select("metric").unionAll(rows[1].select("metric")).unionAll(rows[2].select("metric")).groupBy("metric").agg(F.count("*").alias("found"))
+    own = catalogue(spark).select("lens", "metric", "unit", "window", "threshold", "per_span")
+    return own.join(counts, "metric", "left").select(*own.columns, F.coalesce("found", F.lit(0)).alias("found"))
 
 
 @query("cost_by_solution", f"{_COST} SELECT solution_id, round(sum(value), 6) AS total, count(*) AS n FROM rows WHERE metric = 'cost' AND component_id <> '' GROUP BY solution_id")
@@ -297,10 +303,41 @@ def threshold_signals(spark, sf_dir):
     return out.select("metric", "solution_id", F.unix_seconds("bucket").alias("bucket_s"), F.round("value", 6).alias("value"), "status")
 
 
-@query("binding_paths", """SELECT * FROM (VALUES ('sol_support', 'ep_ticket', 'workflow', 1::BIGINT), ('sol_support', 'ep_ticket', 'agent', 2), ('sol_support', 'ep_ticket', 'component', 2),
-  ('sol_support', 'ep_quick', 'component', 2), ('sol_support', 'ep_quick', 'agent', 1)) AS t(solution_id, endpoint_id, level, n)""")
+@query("binding_paths", f"""{_WITH} SELECT solution_id, endpoint AS endpoint_id, CASE WHEN leaf THEN 'component' WHEN span_type = 'workflow' THEN 'workflow' WHEN endpoint <> '' THEN 'endpoint' ELSE 'solution' END AS level,
+  count(*) AS n FROM sp GROUP BY ALL""")
 def binding_paths(spark, sf_dir):
-    return config.sample_bindings(spark).withColumn("level", thresholds.deepest()).groupBy("solution_id", "endpoint_id", "level").agg(F.count("*").alias("n"))
+    """Spans as a configuration names them, by surrogate ids, brought back to business keys through a registry that the spans themselves give."""
+    spans = event_spans(spark, sf_dir).withColumnRenamed("endpoint", "endpoint_id").select(*thresholds.PATH)
+    surrogate = lambda c: F.when(F.col(c) != "", F.md5(F.concat(F.lit(f"{c}:"), F.col(c)).cast("binary")))
+    registry = {c.removesuffix("_id"): spans.where(F.col(c) != "").select(surrogate(c).alias("id"), c).distinct() for c in thresholds.PATH}
+    bound = thresholds.with_business_keys(spans.select(*[surrogate(c).alias(c) for c in thresholds.PATH]), registry)
+    return bound.groupBy("solution_id", F.coalesce("endpoint_id", F.lit("")).alias("endpoint_id"), thresholds.deepest().alias("level")).agg(F.count("*").alias("n"))
+
+
+# thresholds of several levels for one metric: (scope, operator, warning, critical, solution, endpoint, workflow, agent, component, active)
+_LEVELS = [
+    ("solution", "gt", 0.01, 0.9, "sol_support", "", "", "", "", True), ("endpoint", "gt", 0.01, 0.02, "sol_support", "ep_ticket", "", "", "", True),
+    ("workflow", "gt", 0.5, 0.9, "sol_support", "", "wf_triage", "", "", True), ("workflow", "gt", 0.01, 0.02, "sol_support", "ep_ticket", "wf_triage", "", "", True),
+    ("component", "gt", 0.01, 0.02, "sol_docprocess", "", "", "", "model_gpt4o", True), ("component", "gt", 0.05, 0.9, "sol_docprocess", "", "wf_triage", "", "model_gpt4o", True),
+    ("component", "lt", 0.2, 0.001, "sol_docprocess", "ep_ticket", "", "", "model_gpt4o", True), ("component", "gt", 0.0, 0.0, "sol_docprocess", "", "", "agt_triage", "model_gpt4o", False),
+    ("component", "gt", 0.01, 0.5, "sol_docprocess", "", "", "agt_other", "model_claude", True), ("component", "lt", 0.5, 0.01, "sol_support", "", "", "", "tool_websearch", True),
+]
+_LEVEL_PATHS = f"""SELECT scope, solution_id, endpoint, CASE WHEN scope IN ('solution', 'endpoint') THEN '' ELSE workflow_id END AS workflow_id, CASE WHEN scope IN ('solution', 'endpoint', 'workflow') OR NOT leaf THEN '' ELSE 'agt_triage' END AS agent_id,
+    CASE WHEN scope = 'component' THEN component_id ELSE '' END AS component_id, CASE WHEN status IN ('error', 'timeout') THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS value FROM fan"""
+
+
+@query("threshold_paths", f"""{_WITH}, w AS ({_LEVEL_PATHS}), v AS (SELECT scope, solution_id, endpoint, workflow_id, agent_id, component_id, avg(value) AS value FROM w GROUP BY ALL),
+  t(scope, operator, warning, critical, s, e, wf, a, c, active) AS (VALUES {', '.join("('{}', '{}', {}::DOUBLE, {}::DOUBLE, '{}', '{}', '{}', '{}', '{}', {})".format(*r) for r in _LEVELS)}),
+  m AS (SELECT v.*, t.*, row_number() OVER (PARTITION BY v.scope, solution_id, endpoint, workflow_id, agent_id, component_id ORDER BY c = '', a = '', wf = '', e = '', critical) AS k FROM v JOIN t ON v.scope = t.scope AND active
+    AND s = solution_id AND (e = '' OR e = endpoint) AND (wf = '' OR wf = workflow_id) AND (a = '' OR a = agent_id) AND (c = '' OR c = component_id))
+  SELECT v.scope, v.solution_id, v.endpoint AS endpoint_id, v.workflow_id, v.agent_id, v.component_id, round(v.value, 6) AS value, v.operator, v.critical AS critical_value, CASE WHEN operator = 'gt' AND value > critical OR operator = 'lt' AND value < critical THEN 'critical'
+    WHEN operator = 'gt' AND value > warning OR operator = 'lt' AND value < warning THEN 'warning' ELSE 'ok' END AS status FROM m AS v WHERE k = 1""")
+def threshold_paths(spark, sf_dir):
+    """Error rates of every path against thresholds of several levels, of which the one that names the deepest level counts."""
+    rows = _perf(spark, sf_dir, {"error_rate"}).withColumnRenamed("endpoint", "endpoint_id")
+    values = rows.groupBy("scope", *thresholds.PATH).agg(F.avg("value").alias("value")).withColumns({"metric": F.lit("error_rate"), "time_window": F.lit("1d")})
+    rules = spark.createDataFrame([("performance", "error_rate", s, "1d", o, w, c, *[x or None for x in path[:-1]], path[-1]) for s, o, w, c, *path in _LEVELS], config.THRESHOLD_SCHEMA)
+    return thresholds.judged(values, rules).select("scope", *thresholds.PATH, F.round("value", 6).alias("value"), "operator", "critical_value", "status")
 
 
 @query("bench_lineitem_cost", """SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(floor((l_quantity / 1000.0::DOUBLE * p_retailprice) * 1e8 + 0.5) / 1e8), 2) AS cost

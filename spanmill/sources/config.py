@@ -19,7 +19,7 @@ COMPONENTS = [
 BINDING_SCHEMA = "solution_id string, endpoint_id string, workflow_id string, agent_id string, component_id string"
 THRESHOLD_SCHEMA = (
     "category string, metric_name string, scope string, time_window string, operator string, warning_value double, critical_value double, "
-    "solution_id string, endpoint_id string, workflow_id string, agent_id string, component_id string"
+    "solution_id string, endpoint_id string, workflow_id string, agent_id string, component_id string, is_active boolean"
 )
 
 
@@ -39,7 +39,7 @@ def sample_bindings(spark: SparkSession) -> DataFrame:
 
 
 def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
-    """Thresholds from a CSV with a header; empty path columns are null."""
+    """Thresholds from a CSV with a header; empty path columns are null, and so is is_active in files without it."""
     return spark.read.schema(THRESHOLD_SCHEMA).option("header", True).csv(path)
 
 
@@ -87,4 +87,4 @@ def thresholds_of(tables: dict[str, DataFrame]) -> DataFrame:
 
 def thresholds_by_rule(spark: SparkSession, rules: list[tuple], solutions: list[str]) -> DataFrame:
     """Each rule (category, metric, scope, window, operator, warning, critical) for each solution."""
-    return spark.createDataFrame([(*r, s, None, None, None, None) for r in rules for s in solutions], THRESHOLD_SCHEMA)
+    return spark.createDataFrame([(*r, s, None, None, None, None, True) for r in rules for s in solutions], THRESHOLD_SCHEMA)

@@ -22,6 +22,7 @@ from spanmill.operators.rollup import base_rollup, merge
 from spanmill.plans.registry import LENSES
 from spanmill.schema import derived, raw_span
 from spanmill.sources.ledger import Ledger, Part, Version
+from spanmill.sources.snapshots import Snapshots
 
 
 def read_stream(spark: SparkSession, path: str, files_per_batch: int = 100, file_format: str = "parquet") -> DataFrame:
@@ -60,12 +61,12 @@ def _joined(*extents: list[int] | None) -> list[int] | None:
     return [min(e[0] for e in own), max(e[1] for e in own)] if own else None
 
 
-def _add(to: Ledger, batch_id: int, path: str, extent: list[int] | None, schema: T.StructType) -> None:
-    """A batch's part. since is the version that brought it; replaced, the times that an earlier attempt held."""
+def _add(to: Ledger, batch_id: int, path: str, extent: list[int] | None, schema: T.StructType, more: dict | None = None) -> None:
+    """A batch's part, with more facts if given. since is the version that brought it; replaced, the times that an earlier attempt held."""
 
     def change(old: Version):
         before = old.part(f"batch={batch_id}")
-        facts = {"batches": [[batch_id, batch_id]], "extent": extent, "since": old.number + 1, "replaced": _joined(before.facts["extent"], before.facts["replaced"]) if before else None}
+        facts = {"batches": [[batch_id, batch_id]], "extent": extent, "since": old.number + 1, "replaced": _joined(before.facts["extent"], before.facts["replaced"]) if before else None} | (more or {})
         kept = [p for p in old.parts if p.key != f"batch={batch_id}"]
         return (*kept, Part(f"batch={batch_id}", path, facts)), old.facts | {"schema": json.loads(schema.json())}
 
@@ -73,7 +74,8 @@ def _add(to: Ledger, batch_id: int, path: str, extent: list[int] | None, schema:
 
 
 class Worker:
-    """One lens. pricing is a function that reads the price table anew for each batch; results, a store of analyses that batches share."""
+    """One lens. pricing is a function that reads the price table anew for each batch, or snapshots of it, whose
+    name the batch's rows then bear; results, a store of analyses that batches share."""
 
     def __init__(self, lens: str, out: str, checkpoint: str, pricing=None, policy=None, window: str = "1m", results=None):
         if lens not in LENSES:
@@ -86,12 +88,15 @@ class Worker:
         rows_to, states_to = ledger(spark, self.out, "rows", self.lens), ledger(spark, self.out, "states", self.lens)
         if any(_holds(p, batch_id) and p.key != f"batch={batch_id}" for p in states_to.current().parts):
             return
-        rows = derive(spans, self.lens, self.pricing(spark) if self.pricing else None, self.policy, **({"results": self.results} if self.results else {}))
+        # one snapshot for the whole batch, however long it takes
+        snapshot = self.pricing.current() if isinstance(self.pricing, Snapshots) else None
+        prices = snapshot.table if snapshot else self.pricing(spark) if self.pricing else None
+        rows = derive(spans, self.lens, prices, self.policy, results=self.results)
         written = rows_to.stage(rows)
         own = rows_to.frame(written, rows.schema)
         states = base_rollup(own, self.window)
         merged = states_to.stage(states)
-        _add(rows_to, batch_id, written, _extent(own, "ts"), rows.schema)
+        _add(rows_to, batch_id, written, _extent(own, "ts"), rows.schema, {"prices": snapshot.name, "stale": snapshot.stale} if snapshot else {})
         _add(states_to, batch_id, merged, _extent(states_to.frame(merged, states.schema), "bucket"), states.schema)
 
     def start(self, spans: DataFrame, seconds: float = 2.0, once: bool = False) -> StreamingQuery:
