@@ -24,15 +24,15 @@ def bucket(ts: str | Column, window: str) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts) if isinstance(ts, str) else ts) / SECONDS[window]) * SECONDS[window])
 
 
-def base_rollup(rows: DataFrame, window: str = "1m", sketch: bool = True) -> DataFrame:
-    """States per nine dimensions and bucket of metric rows."""
+def base_rollup(rows: DataFrame, window: str = "1m", sketch: bool = True, by: list[str] | None = None) -> DataFrame:
+    """States per nine dimensions, or some of them, and bucket of metric rows."""
     states = [
         F.count("*").alias("count"), F.sum("value").alias("sum_value"), F.min("value").alias("min_value"), F.max("value").alias("max_value"),
         F.sum(F.col("confidence").cast("double")).alias("sum_confidence"), F.count("confidence").alias("n_confidence"),
     ]
     if sketch:
         states.append(F.kll_sketch_agg_double("value").alias("quantiles"))
-    return rows.withColumn("bucket", bucket("ts", window)).groupBy(*DIMENSIONS, "bucket").agg(*states)
+    return rows.withColumn("bucket", bucket("ts", window)).groupBy(*(DIMENSIONS if by is None else by), "bucket").agg(*states)
 
 
 def merge(states: DataFrame, window: str | None = None, by: list[str] | None = None) -> DataFrame:
@@ -47,9 +47,6 @@ def merge(states: DataFrame, window: str | None = None, by: list[str] | None = N
     return own.groupBy(*(DIMENSIONS if by is None else by), "bucket").agg(*merged)
 
 
-compact = merge
-
-
 def average() -> Column:
     return F.col("sum_value") / F.col("count")
 

@@ -13,6 +13,7 @@ from spanmill.operators import evaluate, parity, pii, readtime, rollup, threshol
 from spanmill.operators.derive import derive
 from spanmill.operators.quantiles import exact_quantiles
 from spanmill.operators.results import ResultStore
+from spanmill.plans.readplan import compile_metrics
 from spanmill.plans.registry import LENSES, catalogue, every_metric
 from spanmill.sources import config
 from spanmill.sources.ledger import scratch
@@ -198,8 +199,8 @@ def _rolled(name: str, window: str) -> None:
       min(value) AS min_value, max(value) AS max_value, floor(round(sum(value), 4) / count(*) * 1e4 + 0.5) / 1e4 AS avg_value FROM rows GROUP BY ALL"""
 
     def run(spark, sf_dir):
-        base = rollup.base_rollup(_perf(spark, sf_dir), "1m", sketch=False)
-        out = rollup.merge(base, window, by=["scope", "solution_id", "endpoint", "component_id", "environment", "metric"])
+        keys = ["scope", "solution_id", "endpoint", "component_id", "environment", "metric"]
+        out = rollup.base_rollup(_perf(spark, sf_dir), window, sketch=False, by=keys)
         return out.select(
             "scope", "solution_id", "endpoint", "component_id", "environment", "metric", F.unix_seconds("bucket").alias("bucket_s"), "count", F.round("sum_value", 4).alias("sum_value"),
             "min_value", "max_value", (F.floor(F.round("sum_value", 4) / F.col("count") * 1e4 + 0.5) / 1e4).alias("avg_value"),
@@ -277,6 +278,42 @@ def read_cost_per_record(spark, sf_dir):
     return readtime.cost_per(_costs(spark, sf_dir, {"cost"}), counts).withColumn("value", F.round("value", 6))
 
 
+_READ = ("throughput", "concurrency", "messages_in_flight", "infrastructure_cost", "burn_rate", "projected_cost", "cost_per_record", "cost_per_outcome", "budget_utilization")
+
+
+@query("read_metrics", f"""{_WITH}, q AS (SELECT *, if(scope = 'workflow', workflow_id, '') AS wf FROM fan WHERE scope IN ('solution', 'endpoint', 'workflow')), -- no span here is an agent's
+  l AS (SELECT 'cost' AS metric, 'solution' AS scope, solution_id, '' AS endpoint, '' AS workflow_id, {_money('raw')} AS value, ended_at AS ts, true AS leaf FROM cost WHERE leaf
+    UNION ALL SELECT 'cost', 'workflow', solution_id, '', workflow_id, {_money('raw')}, ended_at, true FROM cost WHERE leaf AND workflow_id <> ''),
+  o AS (SELECT scope, solution_id, if(scope = 'endpoint', endpoint, '') AS endpoint, wf AS workflow_id, ended_at AS ts, started_at, ended_at, k, user_id, status FROM q),
+  r AS (SELECT metric, scope, solution_id, endpoint, workflow_id, value, ts FROM l UNION ALL SELECT 'latency', scope, solution_id, endpoint, workflow_id, 1.0::DOUBLE, ts FROM o
+    UNION ALL SELECT 'records_processed', scope, solution_id, endpoint, workflow_id, CAST(k % 3 AS DOUBLE), ts FROM o UNION ALL SELECT 'goal_achieved', scope, solution_id, endpoint, workflow_id, CASE WHEN status = 'ok' THEN 1.0::DOUBLE ELSE 0 END, ts FROM o
+    UNION ALL SELECT 'messages_in_flight', scope, solution_id, endpoint, workflow_id, CAST(user_id % 7 AS DOUBLE), ts FROM o UNION ALL SELECT 'infrastructure_cost', scope, solution_id, endpoint, workflow_id, 0.25::DOUBLE, ts FROM o
+    UNION ALL SELECT 'budget', scope, solution_id, endpoint, workflow_id, 40.0::DOUBLE, ts FROM o),
+  g AS (SELECT scope, solution_id, endpoint, workflow_id, CAST(epoch(date_trunc('day', ts)) AS BIGINT) AS bucket_s, count(*) FILTER (metric = 'latency') AS spans, sum(value) FILTER (metric = 'cost') AS cost, sum(value) FILTER (metric = 'records_processed') AS records,
+    sum(value) FILTER (metric = 'goal_achieved') AS goals, max(value) FILTER (metric = 'messages_in_flight') AS messages, sum(value) FILTER (metric = 'infrastructure_cost') AS infra, max(value) FILTER (metric = 'budget') AS budget FROM r GROUP BY ALL),
+  w AS (SELECT scope, solution_id, endpoint, workflow_id, started_at AS a, ended_at AS b, unnest(generate_series(CAST(floor(epoch_us(started_at) / 86400000000) AS BIGINT), CAST(floor((epoch_us(ended_at) - 1) / 86400000000) AS BIGINT))) AS h FROM o WHERE ended_at > started_at),
+  e AS (SELECT scope, solution_id, endpoint, workflow_id, h, greatest(epoch_us(a), h * 86400000000) AS t, 1 AS d FROM w UNION ALL SELECT scope, solution_id, endpoint, workflow_id, h, least(epoch_us(b), (h + 1) * 86400000000), -1 FROM w),
+  c AS (SELECT *, sum(d) OVER (PARTITION BY scope, solution_id, endpoint, workflow_id, h ORDER BY t, d ROWS UNBOUNDED PRECEDING) AS n FROM e),
+  v AS (SELECT 'throughput' AS metric, * EXCLUDE (spans, cost, records, goals, messages, infra, budget), spans / 86400.0::DOUBLE AS value FROM g WHERE spans > 0
+    UNION ALL SELECT 'messages_in_flight', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), messages FROM g WHERE scope <> 'endpoint' UNION ALL SELECT 'infrastructure_cost', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), infra FROM g WHERE scope <> 'endpoint'
+    UNION ALL SELECT 'burn_rate', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), cost / 24 FROM g WHERE scope <> 'endpoint' UNION ALL SELECT 'projected_cost', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), cost / 24 * 720 FROM g WHERE scope = 'solution'
+    UNION ALL SELECT 'cost_per_record', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), cost / records FROM g WHERE scope <> 'endpoint' AND records > 0 UNION ALL SELECT 'cost_per_outcome', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), cost / goals FROM g WHERE scope <> 'endpoint' AND goals > 0
+    UNION ALL SELECT 'budget_utilization', * EXCLUDE (spans, cost, records, goals, messages, infra, budget), cost / budget FROM g WHERE scope = 'solution'
+    UNION ALL SELECT 'concurrency', scope, solution_id, endpoint, workflow_id, h * 86400, max(n) FROM c GROUP BY ALL)
+  SELECT metric, scope, solution_id, endpoint, workflow_id, bucket_s, round(value, 6) AS value FROM v WHERE value IS NOT NULL""")
+def read_metrics(spark, sf_dir):
+    """All nine read-time metrics, at all their levels, from one aggregation over rows of cost, latency and what spans of solutions and workflows say of outcomes, records and messages."""
+    perf = _perf(spark, sf_dir, {"latency", "retry_count"})
+    # what other systems would write as rows, from the spans of solutions, their endpoints and workflows
+    spans = event_spans(spark, sf_dir).where("span_type in ('solution', 'workflow')").select("span_id", F.get_json_object("metadata", "$.retry_count").cast("double").alias("_k"), F.col("session_id").cast("long").alias("_user"), F.lower("span_status").alias("_status"))
+    level = perf.where("metric = 'latency' and scope in ('solution', 'endpoint', 'workflow')").join(spans, "span_id")
+    said = {"records_processed": F.col("_k"), "goal_achieved": F.when(F.col("_status") == "ok", 1.0).otherwise(0.0), "messages_in_flight": (F.col("_user") % 7).cast("double"), "infrastructure_cost": F.lit(0.25), "budget": F.lit(40.0)}
+    given = level.select(*[c for c in perf.columns if c not in ("metric", "value")], F.stack(F.lit(len(said)), *[x for m, v in said.items() for x in (F.lit(m), v)]).alias("metric", "value"))
+    rows = perf.where("metric = 'latency'").unionByName(_costs(spark, sf_dir, {"cost"})).unionByName(given)
+    out = compile_metrics(rows, list(_READ), "1d", 720.0)
+    return out.select("metric", "scope", "solution_id", "endpoint", "workflow_id", F.unix_seconds("bucket").alias("bucket_s"), F.round("value", 6).alias("value"))
+
+
 @query("incremental_batch_scan", f"{_WITH} SELECT span_id, span_type, epoch_us(started_at) AS recorded_us FROM sp WHERE span_type IN ('model_call', 'tool_call') ORDER BY started_at, span_id LIMIT 500")
 def incremental_batch_scan(spark, sf_dir):
     own = next_batch(event_spans(spark, sf_dir), "1970-01-01 00:00:00", 500, ("model_call", "tool_call"))
@@ -510,6 +547,29 @@ def stream_rollup(spark, sf_dir):
     return states_of(spark, f"{own}/out").groupBy("metric").agg(F.sum("count").alias("count"), F.round(F.sum("sum_value"), 4).alias("sum_value"))
 
 
+@query("stream_tier", f"""{_PERF} SELECT scope, solution_id, endpoint, component_id, environment, metric, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS bucket_s, count(*) AS count, round(sum(value), 4) AS sum_value,
+  min(value) AS min_value, max(value) AS max_value FROM rows GROUP BY ALL""")
+def stream_tier(spark, sf_dir):
+    """Hourly states kept beside those of a minute, after late batches, a replay and a compaction, each followed by a refresh of the hours that changed."""
+    from spanmill.streaming import tiers, worker
+
+    out, spans = f"{scratch(spark)}/tier-{uuid.uuid4().hex}", event_spans(spark, sf_dir)
+    lens = worker.Worker("performance", out, f"{out}/checkpoint")
+    batch = lambda k: spans.where(F.pmod(F.xxhash64("span_id"), F.lit(3)) == k)
+    lens.on_batch(batch(0), 0)
+    tiers.refresh(spark, out, "performance")
+    lens.on_batch(batch(1), 1)
+    lens.on_batch(batch(0), 0)
+    worker.compact(spark, out, "performance", 2)
+    tiers.refresh(spark, out, "performance")
+    lens.on_batch(batch(2), 2)
+    lens.on_batch(batch(1), 1)
+    tiers.refresh(spark, out, "performance")
+    keys = ["scope", "solution_id", "endpoint", "component_id", "environment", "metric"]
+    states = rollup.merge(tiers.read_tier(spark, out, "performance"), by=keys)
+    return states.select(*keys, F.unix_seconds("bucket").alias("bucket_s"), "count", F.round("sum_value", 4).alias("sum_value"), "min_value", "max_value")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """95th percentile and average of latency per solution and day, from one-minute states."""
     return rollup_sketch_quantiles(spark, sf_dir)
