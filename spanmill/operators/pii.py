@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from spanmill.operators.prefilter import Prefilter
+
 # Fixed values: (pattern, entity type, score), matched without regard to case.
 PATTERNS: list[tuple[str, str, float]] = [
     (r"\b[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\b", "EMAIL_ADDRESS", 0.95),
@@ -156,12 +158,10 @@ def needed(pattern: str, entity: str) -> str:
 
 
 @lru_cache(maxsize=1)
-def _compiled() -> list[tuple[re.Pattern, str, float, str, tuple[str, ...]]]:
-    """Pattern, type, score, what a match needs, and context words."""
-    return [
-        (re.compile(p, re.IGNORECASE), e, s, needed(p, e), CONTEXT.get(e, ()) if lifted else ())
-        for lifted, own in ((False, PATTERNS), (True, SCORED)) for p, e, s in own
-    ]
+def _compiled() -> tuple[Prefilter, list[tuple[re.Pattern, str, float, tuple[str, ...]]]]:
+    """What tells which patterns a text needs; pattern, type, score, and context words of each."""
+    every = [(p, e, s, CONTEXT.get(e, ()) if lifted else ()) for lifted, own in ((False, PATTERNS), (True, SCORED)) for p, e, s in own]
+    return Prefilter(p for p, *_ in every), [(re.compile(p, re.IGNORECASE), e, s, c) for p, e, s, c in every]
 
 
 def lifted(score: float) -> float:
@@ -185,14 +185,12 @@ class _Words:
 
 def detect_text(text: str, policy: Policy) -> list[tuple]:
     """Every detection that the policy allows, in order of patterns, unresolved."""
-    out, low, held, words = [], text.lower(), {}, _Words(text)
-    for pattern, entity, score, need, context in _compiled():
+    prefilter, compiled = _compiled()
+    out, words = [], _Words(text)
+    for k in prefilter.allowed(text):
+        pattern, entity, score, context = compiled[k]
         if not policy.allows(entity, lifted(score) if context else score):
             continue
-        if need not in held:
-            held[need] = re.search(need, low) is not None
-        if not held[need]:
-            continue
         for m in pattern.finditer(text):
             near = bool(context) and any(c in w for w in words.before(m.start()) for c in context)
             own, g = lifted(score) if near else score, 1 if m.lastindex else 0
