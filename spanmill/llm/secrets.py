@@ -4,10 +4,11 @@ Strong spans stand by themselves: assignments to secret-like names, access ident
 prefix, long hexadecimal runs. Weak candidates are parts of a credential that prove nothing alone:
 identifiers (`user = ...`), opaque strings of mixed characters, endpoints (`https://...`, `host = ...`).
 A document is cut into scopes (paragraphs between blank lines). Within a scope the intervals of
-identifiers, widened by REACH code points, are joined with those of secrets, and the links found
-with endpoints; a weak part is reported only as part of a link of an identifier with a secret.
+identifiers are joined with those of secrets, and the links found with endpoints, wherever in the scope they
+stand, or, where a reach is given, at most so many code points apart; a weak part is reported only as
+part of a link of an identifier with a secret.
 
-All identifiers join with all secrets in reach, and each such pair with all endpoints in reach. Since
+All identifiers join with all secrets, and each such pair with all endpoints, of a scope. Since
 only the parts are reported, not the pairs, a part needs no more than the least start and the greatest
 end of what it joins with; per document that costs a sort and a binary search for each part.
 
@@ -31,8 +32,6 @@ from pyspark.sql import functions as F
 
 from .common import read
 
-#: Code points between parts of one credential, at most.
-REACH = 300
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -87,8 +86,9 @@ class Intervals:
         return self.starts[bisect_left(self.ends, low - reach)], self.ends[k - 1]
 
 
-def linked_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span]:
-    """Weak parts of credentials: an identifier and a secret in one scope, and an endpoint near them."""
+def linked_spans(text: str, strong: list[Span], reach: int | None = None) -> list[Span]:
+    """Weak parts of credentials: an identifier and a secret in one scope, and an endpoint with them; reach None is the whole scope."""
+    reach = len(text) if reach is None else reach
     if not any(s[2] == "access" for s in strong) and not ("=" in text or ":" in text):
         return []
     ids = [s for s in strong if s[2] == "access"] + [(*m.span(), "part_id") for m in IDENTIFIER.finditer(text)]
@@ -118,20 +118,20 @@ def linked_spans(text: str, strong: list[Span], reach: int = REACH) -> list[Span
     return sorted(s for s in found if s[2].startswith("part_"))
 
 
-def scan(text: str) -> tuple[list[Span], list[Span]]:
+def scan(text: str, reach: int | None = None) -> tuple[list[Span], list[Span]]:
     strong = base_spans(text)
-    return strong, linked_spans(text, strong)
+    return strong, linked_spans(text, strong, reach)
 
 
 def joined(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, b, k in spans)
 
 
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _scan(batches: Iterator[pd.DataFrame], reach: int | None) -> Iterator[pd.DataFrame]:
     for frame in batches:
         rows = []
         for text in frame["text"].array:
-            strong, weak = scan(text)
+            strong, weak = scan(text, reach)
             n = Counter(s[2] for s in strong)
             every = sorted(strong + weak, key=lambda s: (s[0], KINDS.index(s[2]) if s[2] in KINDS else 9, s[2]))
             rows.append((n["assign"], n["access"], n["hex"], hashlib.sha256(joined(strong).encode()).hexdigest(), joined(every), [text[a:b] for a, b, _ in every]))
@@ -140,10 +140,13 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, and found: the text of each span."""
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int | None = None) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, and found: the text of each span.
+
+    reach is the most code points between parts of one credential; None joins them within the whole scope.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.mapInPandas(_scan, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, found array<string>")
+    return texts.mapInPandas(lambda batches: _scan(batches, reach), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, found array<string>")
 
 
 def op6_multipart_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,8 @@ Cases: vectors that are null, empty, or hold null or non-finite components take
 of another length than the query's block are not compared (each length is searched by itself);
 ties go to the smaller id; a repeated query id is asked once, with its smallest vector, and rows
 that bear the query's id are its own and no candidates; other repeated rows are candidates each on
-its own; rows without an id take no part; empty tables give an empty result; extra columns are ignored.
+its own; rows without an id take no part; vectors so long that a score could leave 64 bits are an error;
+empty tables give an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -189,6 +190,11 @@ def top_k(
     asked = materialize(
         rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("width", F.size("v")), "topk-queries"
     )
+    # the two longest vectors bound every score of two rows
+    squares = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    longest = [r[0] for r in rows.select(squares.alias("s")).orderBy(F.desc("s")).limit(2).collect()]
+    if len(longest) == 2 and (longest[0] ** 0.5) * (longest[1] ** 0.5) >= 0.999999 * 2.0**63:
+        raise ValueError("scores could leave 64 bits: vectors are too long")
     path = table_path(spark, "topk-found")
     rows.limit(0).select(F.col("vec_id").alias("query_id"), "vec_id", F.lit(0).cast("long").alias("score")).write.parquet(path)
     for width, n in sorted(asked.groupBy("width").count().collect()):
