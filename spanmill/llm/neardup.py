@@ -47,6 +47,8 @@ L, ROWS, BANDS = 2, 1, 32
 SHORT, SHORT_SHINGLE = 100, 2
 #: Members and words in a chunk of a bucket, and the bound for broadcasting keys or ids.
 BLOCK_ROWS, BLOCK_WORDS, BROADCAST_ROWS = 500, 2_000_000, 200_000
+#: A class of so many different texts counts as large: its keys aren't joined by their root.
+LARGE_CLASS = 1000
 #: Hash buckets in which a text's words are counted, a byte each. A count of 255 stands for that or any more.
 BAG = 64
 #: Hash buckets in which the texts that hold a word are counted, to tell rare words.
@@ -535,6 +537,22 @@ def _blocked(members: DataFrame, sizes: DataFrame, fresh: DataFrame, threshold:
     return _dealt(places, _texts(fresh, keys, "words", "bands")).mapInArrow(_in_blocks(threshold), "a binary, b binary").distinct()
 
 
+def _class_of(named: DataFrame, large_from: int = LARGE_CLASS) -> DataFrame:
+    """(key, class_id) from (key, _least, root): the least of _least over a root's keys.
+
+    The classes of large_from keys or more, of which there are 10,000 at most, are broadcast; their keys are
+    spread over all tasks for the join of the other classes, so that no class gathers in one task.
+    """
+    classes = materialize(named.groupBy("root").agg(F.min("_least").alias("class_id"), F.count("*").alias("_n")), "neardup-classes")
+    from_ = max(large_from, named.count() // 10_000)
+    large, others = classes.where(F.col("_n") >= from_), classes.where(F.col("_n") < from_)
+    met = named.join(F.broadcast(large.select("root", F.struct("class_id").alias("_large"))), "root", "left")
+    spread = F.concat("root", F.substring("key", 1, 4))  # longer than a root, so no class has it
+    met = met.withColumn("_at", F.when(F.col("_large").isNull(), F.col("root")).otherwise(spread))
+    met = met.join(others.select(F.col("root").alias("_at"), F.col("class_id").alias("_other")), "_at", "left")
+    return met.select("key", F.when(F.col("_large").isNull(), F.col("_other")).otherwise(F.col("_large.class_id")).alias("class_id"))
+
+
 def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", bands: int = BANDS, rows: int = ROWS, take: int = L) -> DataFrame:
     """doc_id, key, class_id: one row per row of docs; class_id is the least doc_id of its class."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -564,8 +582,7 @@ def near_duplicates(docs: DataFrame, *, threshold: float = THRESHOLD, id_col: st
             moved = roots.join(merged, "root", "left").select("key", F.coalesce("_top", "root").alias("root"))
             roots = materialize(moved.unionAll(merged.select(F.col("root").alias("key"), F.col("_top").alias("root"))).distinct(), "neardup-roots")
     named = least.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
-    classes = named.groupBy("root").agg(F.min("_least").alias("class_id"))
-    class_of = named.join(classes, "root").select("key", "class_id")
+    class_of = _class_of(materialize(named, "neardup-named"))
     return signed.select("doc_id", "key").join(class_of, "key").select("doc_id", "key", "class_id")
 
 

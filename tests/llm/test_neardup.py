@@ -294,3 +294,15 @@ def test_a_crowded_bucket_is_dealt_by_rare_words(spark, monkeypatch):
         expected = {(y, x) for x in texts for y in texts if x < y and of[x] != of[y] and neardup.aligned(texts[x], texts[y]) > 0}
         assert got == expected and expected
         assert sum(dealt) < 10 * len(texts), dealt
+
+
+@pytest.mark.parametrize("large_from", [1, 5, 10**6])
+def test_large_classes_give_every_key_the_least_id_of_its_class(spark, large_from):
+    rng = random.Random(large_from)
+    rows = [(b"k%05d" % k + b"-" * 10, rng.choice([None, rng.randint(0, 10**6)]), rng.choice([b"hot", b"hot", b"b", b"r%d" % k]) + b"root") for k in range(2000)]
+    want = {}
+    for key, low, root in rows:
+        want.setdefault(root, []).append(low)
+    least = {root: min((x for x in lows if x is not None), default=None) for root, lows in want.items()}
+    got = neardup._class_of(spark.createDataFrame(rows, "key binary, _least long, root binary").repartition(3), large_from).collect()
+    assert len(got) == len(rows) and {bytes(r["key"]): r["class_id"] for r in got} == {key: least[root] for key, _, root in rows}
