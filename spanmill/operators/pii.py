@@ -315,9 +315,15 @@ def audit_records(anonymized: DataFrame, id_col: str = "doc_id", at: Column | No
     return anonymized.select(F.col(id_col).alias("document_id"), F.size("audit").alias("entities_found"), F.size("audit").alias("entities_processed"), when, F.col("audit").alias("entries"))
 
 
+def any_pattern(entity_type: str) -> str:
+    """All patterns of a type that score by themselves, as one."""
+    own = [p for p, e, _ in PATTERNS if e == entity_type]
+    return own[0] if len(own) == 1 else "|".join(f"(?:{p})" for p in own)
+
+
 def count_matches(text: Column, entity_type: str) -> Column:
-    """Matches of a type's first pattern, within whole-stage code and without offsets."""
-    pattern = next(p for p, e, _ in PATTERNS if e == entity_type)
-    need = needed(pattern, entity_type)
-    held = text.contains(need) if re.fullmatch("[^\\\\\\[|(]+", need) else text.rlike("(?i)" + need)
-    return F.when(text.isNull(), F.lit(None).cast("int")).when(held, F.regexp_count(text, F.lit(f"(?i){pattern}"))).otherwise(0)
+    """Matches of a type's patterns, within whole-stage code and without offsets."""
+    held = F.lit(False)
+    for need in {needed(p, e) for p, e, _ in PATTERNS if e == entity_type}:
+        held = held | (text.contains(need) if re.fullmatch("[^\\\\\\[|(]+", need) else text.rlike("(?i)" + need))
+    return F.when(text.isNull(), F.lit(None).cast("int")).when(held, F.regexp_count(text, F.lit(f"(?i){any_pattern(entity_type)}"))).otherwise(0)

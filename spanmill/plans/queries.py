@@ -391,7 +391,7 @@ _COUNTABLE = ("EMAIL_ADDRESS", "PHONE_NUMBER", "CREDIT_CARD", "IP_ADDRESS", "URL
 
 
 def _duck(entity: str) -> str:
-    return "(?i)" + next(p for p, e, _ in pii.PATTERNS if e == entity).replace("'", "''")
+    return "(?i)" + pii.any_pattern(entity).replace("'", "''")
 
 
 @query("pii_counts_by_type", " UNION ALL ".join(f"SELECT '{e}' AS entity_type, CAST(sum(len(regexp_extract_all(text, '{_duck(e)}'))) AS BIGINT) AS n FROM documents" for e in _COUNTABLE))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanmill.schema import derived, raw_span
+from spanmill.sources.ledger import Ledger, Version, kept
 
 #: The null marker of CSV files, and where an unset cursor stands.
 NULL, EPOCH = "\\N", "1970-01-01 00:00:00.000"
@@ -51,27 +52,52 @@ def next_batch(spans: DataFrame, since: str, limit: int, span_types: tuple[str,
 
 
 class Cursors:
-    """A cursor per lens for batch jobs, as a small table in a folder that all jobs share.
+    """A cursor per lens for batch jobs, as facts of a ledger in a folder that all jobs share.
 
-    recorded_at is text of one form (ISO, UTC), so that the greatest line is the last cursor.
+    recorded_at is text of one form (ISO, UTC), so that text order is time order. A cursor never goes back, and a
+    lost write leaves it where it was; few versions are kept.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, kept: int = 5):
+        self.spark, self.ledger, self.kept = spark, Ledger(spark, path), kept
+
+    def _state(self, lens: str) -> list:
+        return self.ledger.current().facts.get(lens, [EPOCH, "", 0])
 
     def load(self, lens: str) -> tuple[str, str]:
         """(recorded_at, span_id) of the last span done."""
-        try:
-            found = self.spark.read.schema("body string").text(f"{self.path}/{lens}").agg(F.max("body")).where("`max(body)` is not null").collect()
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            found = []
-        return tuple(json.loads(found[0][0])) if found else (EPOCH, "")
+        return tuple(self._state(lens)[:2])
+
+    def batch(self, lens: str) -> int:
+        """The number of the batch that comes next: how often the cursor moved."""
+        return self._state(lens)[2]
 
     def save(self, lens: str, recorded_at: str, span_id: str) -> None:
-        """Appended, never rewritten: a lost write leaves the cursor where it was."""
-        self.spark.createDataFrame([(json.dumps([recorded_at, span_id]),)], "body string").coalesce(1).write.mode("append").text(f"{self.path}/{lens}")
+        def change(old: Version):
+            now = old.facts.get(lens, [EPOCH, "", 0])
+            return None if [recorded_at, span_id] <= now[:2] else (old.parts, old.facts | {lens: [recorded_at, span_id, now[2] + 1]})
+
+        if self.ledger.commit(change).number > self.kept:
+            self.ledger.vacuum(self.kept)
+
+
+def poll(spans: DataFrame, cursors: Cursors, lens: str, limit: int, handle: Callable[[DataFrame, int], None], span_types: tuple[str, ...] | None = None, most_batches: int | None = None) -> int:
+    """Hand the spans behind a lens's cursor to handle(batch, number), at most limit rows at a time by (recorded_at, span_id), until none is left; how many batches.
+
+    Spans that tie with the cursor's time aren't lost. The cursor moves when handle returns: a batch that stops is repeated
+    under its number, which a Worker's on_batch() counts once. Only the cursor's place comes to the driver.
+    """
+    done = 0
+    while most_batches is None or done < most_batches:
+        at, last = cursors.load(lens)
+        own = kept(next_batch(spans, at, limit, span_types, after_span=last), "poll")
+        end = own.agg(F.max(F.struct(F.date_format("recorded_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("at"), "span_id"))).first()[0]
+        if end is None:
+            break
+        handle(own, cursors.batch(lens))
+        cursors.save(lens, end["at"], end["span_id"])
+        done += 1
+    return done
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:

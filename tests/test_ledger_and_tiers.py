@@ -186,3 +186,25 @@ def test_ranges_of_batches():
     ids = rng.sample(range(60), 40)
     out = worker.ranges([[k, k] for k in ids])
     assert sorted(ids) == [x for a, b in out for x in range(a, b + 1)] and all(a[1] + 1 < b[0] for a, b in zip(out, out[1:]))
+
+
+def test_polling_resumes_at_ties_and_counts_a_stopped_batch_once(spark, sf_dir, tmp_path):
+    from spanmill.sources import spans as io
+
+    spans = event_spans(spark, sf_dir).limit(60).withColumn("recorded_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.floor(F.col("span_id").cast("long") / 20))).cache()
+    cursors, lens, sizes = io.Cursors(spark, str(tmp_path / "cursors"), kept=2), worker.Worker("performance", str(tmp_path / "out"), str(tmp_path / "check")), []
+
+    def handle(batch, number):
+        sizes.append((number, batch.count()))
+        lens.on_batch(batch, number)
+        if len(sizes) == 2:
+            raise Stop  # after its rows were committed, before the cursor moved
+
+    with pytest.raises(Stop):
+        io.poll(spans, cursors, "performance", 25, handle)
+    assert io.poll(spans, cursors, "performance", 25, handle) == 2
+    assert sizes == [(0, 25), (1, 25), (1, 25), (2, 10)] and io.poll(spans, cursors, "performance", 25, handle) == 0
+    assert counted(worker.states_of(spark, str(tmp_path / "out"))) == expected([spans])
+    cursors.save("performance", "2001-01-01 00:00:00.000000", "z")
+    assert cursors.load("performance")[0] > "2023" and cursors.batch("performance") == 3
+    assert len(cursors.ledger._names("versions")) <= 3
