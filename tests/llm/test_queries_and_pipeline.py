@@ -4,13 +4,14 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from spanmill.llm import html, mixing, pii, quality, secrets
+from spanmill.llm import entry, html, mixing, pii, quality, secrets
 from spanmill.llm.common import drop_tables, materialize, read, tables_since
 from spanmill.llm.tokens import default_tokenizer, encoder
 
@@ -134,6 +135,18 @@ def test_op10(spark, run):
     assert sorted(map(tuple, run("op10_uniform_threshold"))) == brute_top_k(rows, 50, 5)
 
 
+@pytest.mark.parametrize("name", sorted(entry.ORACLE_SQL))
+def test_queries_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    frame, wanted = __spark_entry__.queries()[name](spark, SF), con.sql(__spark_entry__.oracle_sql()[name])
+    columns = sorted(frame.columns)
+    assert columns == sorted(wanted.columns)
+    places = [wanted.columns.index(c) for c in columns]
+    assert sorted(repr([r[c] for c in columns]) for r in frame.collect()) == sorted(repr([r[i] for i in places]) for r in wanted.fetchall())
+
+
 def test_pipeline(spark, docs):
     stages = dict(corpus_pipeline.STAGES)
     assert list(stages) == ["quality_rules", "near_duplicates", "personal_data", "mixing", "packing"]
