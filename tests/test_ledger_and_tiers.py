@@ -20,7 +20,7 @@ class Stop(Exception):
 @pytest.fixture
 def batches(spark, sf_dir):
     """Batches of spans of all hours, so that every batch has late ones."""
-    spans = event_spans(spark, sf_dir).cache()
+    spans = event_spans(spark, sf_dir).where("cast(span_id as long) < 600").coalesce(2).cache()
     return [spans.where(F.pmod(F.xxhash64("span_id"), F.lit(6)) == k) for k in range(6)]
 
 
@@ -59,10 +59,10 @@ def test_of_two_commits_one_reads_anew(spark, tmp_path):
     assert Ledger(spark, str(tmp_path / "none")).read(numbers.schema).count() == 0
 
 
-STEPS = [("stage", 0), ("stage", 1), ("stage", 2), ("_publish", 0), ("_publish", 2), ("vacuum", 0)]
+STEPS = [("stage", 1), ("stage", 2), ("_publish", 1), ("_publish", 2), ("vacuum", 0)]
 
 
-@pytest.mark.parametrize("where", [(s, k, after) for s, k in STEPS for after in (False, True)])
+@pytest.mark.parametrize("where", [(s, k, after) for s, k in STEPS for after in (False, True) if after or s != "vacuum"])
 def test_a_stop_after_any_step_loses_and_doubles_nothing(spark, batches, tmp_path, monkeypatch, where):
     """A worker, a replay, a compaction, and a vacuum, with a stop before or after the k-th call of a step of theirs; then all is done again."""
     step, at, after = where
