@@ -8,8 +8,8 @@ when the letter is taken out at its place: equal digests at one place are an exc
 word's an addition or removal. So no pair is formed that fails, words that only share letters never
 meet, and a group holds at most a word per letter of the alphabet, or per letter and place.
 
-Words are counted per task before they are shuffled. Digests are polynomials modulo 2^127 - 1, 2^61 of
-keys; a word of any length costs its length.
+Words are counted per task before they are shuffled. Digests are polynomials modulo 2^127 - 1, keys are
+modulo 2^62; a word of any length costs its length. Rows bear a word's rank by count, not the word.
 
 Cases: null texts hold no words; a null id is written as the empty text; repeated rows count as often as
 they occur; words of equal count are taken in code-point order; no words, or no near ones, give rows
