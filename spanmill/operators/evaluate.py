@@ -30,19 +30,45 @@ def gold_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     unknown label opens none. So tokens form stretches that begin at each token that isn't I; a stretch is a
     span if a B with a known label begins it.
     """
+    own = placed(docs.withColumn("_marked", F.transform("labels", lambda x: x != "O")), "_marked", id_col)
     kind = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])
-    tokens = docs.select(id_col, F.posexplode(F.arrays_zip("tokens", "labels", "trailing_whitespace")).alias("place", "_t")).select(
-        id_col, "place", F.length("_t.tokens").alias("_n"), F.col("_t.labels").alias("_l"), F.when(F.col("_t.trailing_whitespace"), 1).otherwise(0).alias("_s")
-    ).where("_n is not null and _l is not null")
+    # marked tokens alone are shuffled; where one isn't next to the last one, an unmarked one closed the span
     so_far = Window.partitionBy(id_col).orderBy("place")
-    ended = F.sum(F.col("_n") + F.col("_s")).over(so_far) - F.col("_s")
-    stretch = F.count(F.when(~F.col("_l").startswith("I-"), 1)).over(so_far)
-    own = tokens.select(id_col, "place", "_l", (ended - F.col("_n")).cast("int").alias("start"), ended.cast("int").alias("end"), stretch.alias("_k")).groupBy(id_col, "_k")
-    spans = own.agg(F.min_by("_l", "place").alias("_l"), F.min("place").alias("place"), F.min("start").alias("start"), F.max("end").alias("end"))
+    apart = F.coalesce(F.lag("place").over(so_far) + 1 != F.col("place"), F.lit(True))
+    begins = own.withColumn("_b", ~F.col("label").startswith("I-") | apart)
+    stretches = begins.withColumn("_k", F.count(F.when(F.col("_b"), 1)).over(so_far)).groupBy(id_col, "_k")
+    spans = stretches.agg(F.min_by("label", "place").alias("_l"), F.min("place").alias("place"), F.min("start").alias("start"), F.max("end").alias("end"))
     entity = F.when(F.col("_l").startswith("B-"), F.try_element_at(kind, F.substring("_l", F.lit(3), F.length("_l"))))
     return spans.select(id_col, "place", "start", "end", entity.alias("entity_type")).where("entity_type is not null")
 
 
+def placed(docs: DataFrame, marked: str, id_col: str = "doc_id") -> DataFrame:
+    """(id_col, place, start, end, token, label) of the tokens that the array of booleans marked names, from docs (id_col, tokens, labels, trailing_whitespace).
+
+    A sum over a document's tokens, in its own row: no token is shuffled.
+    """
+    import pyarrow as pa
+
+    types = (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.string())
+
+    def run(batches):
+        for batch in batches:
+            at, columns = [], [[], [], [], [], []]
+            for n, (tokens, labels, spaces, chosen) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(1, 5)))):
+                start = 0
+                for place, (token, label, space, wanted) in enumerate(zip(tokens or (), labels or (), spaces or (), chosen or ())):
+                    end = start + len(token)
+                    if wanted:
+                        at.append(n)
+                        for column, value in zip(columns, (place, start, end, token, label)):
+                            column.append(value)
+                    start = end + bool(space)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), *[pa.array(c, t) for c, t in zip(columns, types)]], [id_col, "place", "start", "end", "token", "label"])
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, "tokens", "labels", "trailing_whitespace", marked).mapInArrow(run, f"`{id_col}` {id_type}, place int, start int, end int, token string, label string")
+
+
 def gold_spans(docs: DataFrame) -> DataFrame:
     """docs with gold, the spans of gold_rows() as an array in their order. Documents are numbered in a table of the shared folder."""
     own = kept(docs.withColumn("_doc", F.monotonically_increasing_id()), "annotated")

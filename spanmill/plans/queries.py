@@ -7,7 +7,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from spanmill.operators import evaluate, parity, pii, readtime, rollup, thresholds
 from spanmill.operators.derive import derive
@@ -502,8 +501,8 @@ def eval_prf1(spark, sf_dir):
     )
     docs = docs.withColumns({"labels": F.transform("tokens", label), "trailing_whitespace": F.transform("tokens", lambda x: F.lit(True))})
     gold = evaluate.gold_rows(docs).select("doc_id", F.lit(True).alias("gold"), "place", "start", "end", "entity_type")
-    place = F.sum(F.length("x") + 1).over(Window.partitionBy("doc_id").orderBy("i")) - F.length("x") - 1
-    own = docs.select("doc_id", F.posexplode("tokens").alias("i", "x")).withColumns({"a": place, "y": F.regexp_extract("x", _MAIL, 0)})
+    marks = F.transform("tokens", lambda x: x.contains("@") | number(x) | x.startswith("http") | x.startswith("www"))
+    own = evaluate.placed(docs.withColumn("marked", marks), "marked").select("doc_id", F.col("place").alias("i"), F.col("token").alias("x"), F.col("start").alias("a")).withColumn("y", F.regexp_extract("x", _MAIL, 0))
     mail, end = F.col("x").contains("@"), F.col("a") + F.length("x")
     first = F.col("a") + F.expr("instr(x, y)") - 1
     span = lambda k, e, a, b: F.struct((F.col("i") * 3 + k).alias("place"), F.lit(e).alias("entity_type"), a.cast("int").alias("start"), b.cast("int").alias("end"))
