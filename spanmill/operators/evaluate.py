@@ -30,7 +30,11 @@ def gold_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     unknown label opens none. So tokens form stretches that begin at each token that isn't I; a stretch is a
     span if a B with a known label begins it.
     """
-    own = placed(docs.withColumn("_marked", F.transform("labels", lambda x: x != "O")), "_marked", id_col)
+    return gold_of(placed(docs.withColumn("_marked", F.transform("labels", lambda x: x != "O")), "_marked", id_col), id_col)
+
+
+def gold_of(own: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """gold_rows() from the tokens (id_col, place, start, end, label) of documents whose label isn't O."""
     kind = F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])
     # marked tokens alone are shuffled; where one isn't next to the last one, an unmarked one closed the span
     so_far = Window.partitionBy(id_col).orderBy("place")

@@ -15,7 +15,7 @@ from spanmill.operators.results import ResultStore
 from spanmill.plans.readplan import compile_metrics
 from spanmill.plans.registry import LENSES, catalogue, every_metric
 from spanmill.sources import config
-from spanmill.sources.ledger import scratch
+from spanmill.sources.ledger import kept, scratch
 from spanmill.sources.pricing import STATIC, static_pricing
 from spanmill.sources.spans import next_batch
 from spanmill.testbed import document_pairs, event_spans, table
@@ -500,9 +500,10 @@ def eval_prf1(spark, sf_dir):
         F.when(x.contains("@"), "B-EMAIL").when(number(x), F.when(before(F.col("tokens"), k), "I-PHONE_NUM").otherwise("B-PHONE_NUM")).when(x.startswith("http"), "B-URL_PERSONAL").otherwise("O")
     )
     docs = docs.withColumns({"labels": F.transform("tokens", label), "trailing_whitespace": F.transform("tokens", lambda x: F.lit(True))})
-    gold = evaluate.gold_rows(docs).select("doc_id", F.lit(True).alias("gold"), "place", "start", "end", "entity_type")
     marks = F.transform("tokens", lambda x: x.contains("@") | number(x) | x.startswith("http") | x.startswith("www"))
-    own = evaluate.placed(docs.withColumn("marked", marks), "marked").select("doc_id", F.col("place").alias("i"), F.col("token").alias("x"), F.col("start").alias("a")).withColumn("y", F.regexp_extract("x", _MAIL, 0))
+    found = kept(evaluate.placed(docs.withColumn("marked", marks), "marked"), "marked-tokens")  # read for gold and for predictions
+    gold = evaluate.gold_of(found.where("label <> 'O'")).select("doc_id", F.lit(True).alias("gold"), "place", "start", "end", "entity_type")
+    own = found.select("doc_id", F.col("place").alias("i"), F.col("token").alias("x"), F.col("start").alias("a")).withColumn("y", F.regexp_extract("x", _MAIL, 0))
     mail, end = F.col("x").contains("@"), F.col("a") + F.length("x")
     first = F.col("a") + F.expr("instr(x, y)") - 1
     span = lambda k, e, a, b: F.struct((F.col("i") * 3 + k).alias("place"), F.lit(e).alias("entity_type"), a.cast("int").alias("start"), b.cast("int").alias("end"))
