@@ -24,6 +24,13 @@ def bucket(ts: str | Column, window: str) -> Column:
     return F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts) if isinstance(ts, str) else ts) / SECONDS[window]) * SECONDS[window])
 
 
+def _grouped(rows: DataFrame, by: list[str] | None, states: list[Column]) -> DataFrame:
+    """States by dimensions and bucket. The bucket is the first key, since sorts compare by that at little cost and dimensions have few values."""
+    dimensions = DIMENSIONS if by is None else by
+    own = rows.groupBy("bucket", *dimensions).agg(*states)
+    return own.select(*dimensions, "bucket", *[c for c in own.columns if c != "bucket" and c not in dimensions])
+
+
 def base_rollup(rows: DataFrame, window: str = "1m", sketch: bool = True, by: list[str] | None = None) -> DataFrame:
     """States per nine dimensions, or some of them, and bucket of metric rows."""
     states = [
@@ -32,7 +39,7 @@ def base_rollup(rows: DataFrame, window: str = "1m", sketch: bool = True, by: li
     ]
     if sketch:
         states.append(F.kll_sketch_agg_double("value").alias("quantiles"))
-    return rows.withColumn("bucket", bucket("ts", window)).groupBy(*(DIMENSIONS if by is None else by), "bucket").agg(*states)
+    return _grouped(rows.withColumn("bucket", bucket("ts", window)), by, states)
 
 
 def merge(states: DataFrame, window: str | None = None, by: list[str] | None = None) -> DataFrame:
@@ -44,7 +51,7 @@ def merge(states: DataFrame, window: str | None = None, by: list[str] | None = N
     ]
     if "quantiles" in states.columns:
         merged.append(F.kll_merge_agg_double("quantiles").alias("quantiles"))
-    return own.groupBy(*(DIMENSIONS if by is None else by), "bucket").agg(*merged)
+    return _grouped(own, by, merged)
 
 
 def average() -> Column:

@@ -539,12 +539,12 @@ def dedup_derived(spark, sf_dir):
 @query("stream_rollup", f"{_PERF} SELECT metric, count(*) AS count, round(sum(value), 4) AS sum_value FROM rows GROUP BY metric")
 def stream_rollup(spark, sf_dir):
     """Spans written as files, drained by a streaming worker, read back from its partial states."""
-    from spanmill.streaming.worker import Worker, read_stream, states_of
+    from spanmill.streaming.worker import Worker, partials_of, read_stream
 
     own = f"{scratch(spark)}/stream-{uuid.uuid4().hex}"
-    event_spans(spark, sf_dir).write.parquet(f"{own}/spans")
+    event_spans(spark, sf_dir, dealt=True).write.parquet(f"{own}/spans")
     Worker("performance", f"{own}/out", f"{own}/checkpoint").start(read_stream(spark, f"{own}/spans", 2), once=True).awaitTermination()
-    return states_of(spark, f"{own}/out").groupBy("metric").agg(F.sum("count").alias("count"), F.round(F.sum("sum_value"), 4).alias("sum_value"))
+    return partials_of(spark, f"{own}/out").groupBy("metric").agg(F.sum("count").alias("count"), F.round(F.sum("sum_value"), 4).alias("sum_value"))
 
 
 @query("stream_tier", f"""{_PERF} SELECT scope, solution_id, endpoint, component_id, environment, metric, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS bucket_s, count(*) AS count, round(sum(value), 4) AS sum_value,

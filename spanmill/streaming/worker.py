@@ -91,7 +91,8 @@ class Worker:
         # one snapshot for the whole batch, however long it takes
         snapshot = self.pricing.current() if isinstance(self.pricing, Snapshots) else None
         prices = snapshot.table if snapshot else self.pricing(spark) if self.pricing else None
-        rows = derive(spans, self.lens, prices, self.policy, results=self.results)
+        # dealt to all tasks: a file has as few as it has row groups, and a stretch of a cursor one
+        rows = derive(spans.repartition("trace_id", "span_id"), self.lens, prices, self.policy, results=self.results)
         written = rows_to.stage(rows)
         own = rows_to.frame(written, rows.schema)
         states = base_rollup(own, self.window)
@@ -126,12 +127,15 @@ def rows_of(spark: SparkSession, out: str) -> DataFrame:
     return spark.createDataFrame([], derived()) if found is None else found
 
 
+def partials_of(spark: SparkSession, out: str) -> DataFrame:
+    """The partial states of all batches as they are, several of a key. Sums over coarser keys need no merge before."""
+    found = _all(spark, out, "states")
+    return base_rollup(spark.createDataFrame([], derived())) if found is None else found
+
+
 def states_of(spark: SparkSession, out: str) -> DataFrame:
     """The partial states of all batches, merged."""
-    found = _all(spark, out, "states")
-    if found is None:
-        found = base_rollup(spark.createDataFrame([], derived()))
-    return merge(found)
+    return merge(partials_of(spark, out))
 
 
 def compact(spark: SparkSession, out: str, lens: str, before_batch: int, window: str | None = None) -> None:

@@ -49,8 +49,10 @@ def spans_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def event_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spans_from_events(table(spark, sf_dir, "events"))
+def event_spans(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    """dealt: to all tasks, however few row groups the table has."""
+    events = table(spark, sf_dir, "events")
+    return spans_from_events(events.repartition("event_id") if dealt else events)
 
 
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
