@@ -553,7 +553,7 @@ def stream_tier(spark, sf_dir):
     """Hourly states kept beside those of a minute, after late batches, a replay and a compaction, each followed by a refresh of the hours that changed."""
     from spanmill.streaming import tiers, worker
 
-    out, spans = f"{scratch(spark)}/tier-{uuid.uuid4().hex}", event_spans(spark, sf_dir)
+    out, spans = f"{scratch(spark)}/tier-{uuid.uuid4().hex}", event_spans(spark, sf_dir, dealt=True)
     lens = worker.Worker("performance", out, f"{out}/checkpoint")
     batch = lambda k: spans.where(F.pmod(F.xxhash64("span_id"), F.lit(3)) == k)
     lens.on_batch(batch(0), 0)

@@ -29,6 +29,22 @@ def test_spans_of_a_table_of_one_row_group_are_dealt(spark, sf_dir, uncoalesced)
     assert per_task(False) == 1 and per_task(True) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_batches_of_the_tier_are_made_in_all_tasks(spark, sf_dir, monkeypatch, uncoalesced):
+    class Stop(Exception):
+        pass
+
+    seen = []
+
+    def first(self, spans, batch_id):
+        seen.append(spans.groupBy(F.spark_partition_id()).count().count())
+        raise Stop
+
+    monkeypatch.setattr(worker.Worker, "on_batch", first)
+    with pytest.raises(Stop):
+        QUERIES["stream_tier"](spark, sf_dir)
+    assert seen == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
+
+
 def test_partial_states_sum_to_the_merged_ones(spark, sf_dir, tmp_path):
     own, spans = worker.Worker("performance", str(tmp_path), str(tmp_path / "check")), event_spans(spark, sf_dir)
     for k in range(2):  # of the same minutes and dimensions
