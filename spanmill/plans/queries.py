@@ -402,12 +402,55 @@ def pii_counts_by_type(spark, sf_dir):
 _SAFE_TYPES = ("EMAIL_ADDRESS", "PHONE_NUMBER", "CREDIT_CARD", "IP_ADDRESS")
 
 
-@query("pii_safety_metrics", f"""WITH d AS (SELECT doc_id // 2 AS pair, {', '.join(f"len(regexp_extract_all(text, '{_duck(e)}')) AS c{k}" for k, e in enumerate(_SAFE_TYPES))} FROM documents),
-  p AS (SELECT CAST(pair AS VARCHAR) AS span_id, {', '.join(f'sum(c{k}) AS c{k}' for k in range(len(_SAFE_TYPES)))} FROM d GROUP BY pair)
-  SELECT span_id, 'pii_count' AS metric, CAST(c0 + c1 + c2 + c3 AS DOUBLE) AS value FROM p
-  UNION ALL SELECT span_id, 'pii_detected', CASE WHEN c0 + c1 + c2 + c3 > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM p
-  UNION ALL SELECT span_id, 'pii_distinct_types', CAST((c0 > 0)::INT + (c1 > 0)::INT + (c2 > 0)::INT + (c3 > 0)::INT AS DOUBLE) FROM p""")
+# --- The oracle's own statement of what the strict policy detects: every type, scores lifted by words before, overlaps settled within a type ---
+#: Characters as Python's patterns see them: small letters for ASCII letters and for the four others that match one, a space for other whitespace.
+#: Other digits become D and other letters L, which are word characters to RE2 too; no pattern in small letters names them.
+_SEEN = "translate(lower(text), 'ſı', 'si')"
+for _chars, _as in (
+    (r"[\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]", " "), (r"[^\P{Nd}0-9]", "D"),
+    (r"[^\x00-\x7f\P{L}]|[^\x00-\x7f\P{N}]|[\x{2ebf0}-\x{2ee5d}]", "L"),
+):
+    _SEEN = f"regexp_replace({_SEEN}, '{_chars}', '{_as}', 'g')"
+_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _seen(pattern: str) -> str:
+    """A pattern over _SEEN in RE2's terms, which have no lookahead."""
+    plain = r"(?:[1-57-9D]\d\d|0(?:[1-9D]\d|0[1-9D])|6(?:[0-57-9D]\d|6[0-57-9D]))"
+    return pattern.lower().replace(r"(?!000|666)\d{3}", plain).replace(r"\d", "[0-9D]").replace("'", "''")
+
+
+def _rule(pattern: str, entity: str, score: float, words: tuple[str, ...]) -> str:
+    """A rule with the lengths of all its matches, of what stands between them, and of what they report: their group, at their end, or all."""
+    own, group = _seen(pattern), 3 if "(" in pattern.replace("(?", "").replace(r"\(", "") else 2
+    lengths = [f"CASE WHEN regexp_matches(seen, '{own}') THEN list_transform(regexp_extract_all(seen, '(?s)(.*?)({own})', {k}), lambda x: length(x)) ELSE [] END" for k in (1, 2, group)]
+    return f"{{'entity': '{entity}', 'score': {score}::DOUBLE, 'words': '{'|'.join(words)}', 'gaps': {lengths[0]}, 'hits': {lengths[1]}, 'own': {lengths[2]}}}"
+
+
+#: What a text matches that any of the rules matches: one search over all texts before those by rule.
+_ANY_RULE = "|".join(f"(?:{x})" for x in dict.fromkeys(_seen(p) for p, _, _ in pii.PATTERNS + pii.SCORED))
+#: Detections of the texts of t (pair, side, text): r has each rule's matches, m their places, d their scores, k those of a text and type in the order
+#: in which they are taken, and n, by pair, how many are taken, and of how many types.
+_DETECTED = f"""r AS (SELECT pair, side, text, unnest([{", ".join([_rule(p, e, s, ()) for p, e, s in pii.PATTERNS] + [_rule(p, e, s, pii.CONTEXT.get(e, ())) for p, e, s in pii.SCORED])}]) AS r
+    FROM (SELECT *, {_SEEN} AS seen FROM t WHERE text <> '') WHERE regexp_matches(seen, '{_ANY_RULE}')),
+  m AS (SELECT pair, side, text, r.entity AS entity, r.score AS score, r.words AS words, unnest(r.hits) AS hit, unnest(r.own) AS own,
+    unnest(list_transform(r.gaps, lambda x, i: CAST(list_sum(r.gaps[:i]) + coalesce(list_sum(r.hits[:i - 1]), 0) AS BIGINT))) AS a FROM r WHERE len(r.gaps) > 0),
+  d AS (SELECT pair, side, entity, a + hit - own AS a, a + hit AS b, CASE WHEN words <> ''
+    AND regexp_matches(translate(regexp_extract(substr(text, 1, a + 1), '((?:[A-Za-z0-9_]+[^A-Za-z0-9_]+){{0,{pii.WINDOW}}})[A-Za-z0-9_]*$', 1), '{_CAPITALS}', '{_CAPITALS.lower()}'), words)
+    THEN round(least(1, greatest(score + {pii.BOOST}, {pii.LEAST})), 2) ELSE score END AS score FROM m),
+  k AS (SELECT pair, side, entity, list([{{'a': a, 'b': b}}] ORDER BY b - a DESC, score DESC, a) AS d FROM d WHERE score >= {pii.STRICT.score_threshold} GROUP BY ALL),
+  n AS (SELECT pair, count(DISTINCT entity) AS types,
+    sum(len(list_reduce(d, lambda taken, x: CASE WHEN len(list_filter(taken, lambda y: y.a < x[1].b AND x[1].a < y.b)) > 0 THEN taken ELSE taken || x END))) AS n FROM k GROUP BY pair)"""
+
+
+@query("pii_safety_metrics", f"""WITH p AS (SELECT CAST(floor(doc_id / 2) AS BIGINT) AS pair, max(text) FILTER (doc_id % 2 = 0) AS input, max(text) FILTER (doc_id % 2 = 1) AS output FROM documents GROUP BY ALL),
+  t AS (SELECT pair, unnest(['input', 'output']) AS side, unnest([input, output]) AS text FROM p), {_DETECTED},
+  c AS (SELECT CAST(q.pair AS VARCHAR) AS span_id, coalesce(n, 0) AS n, coalesce(types, 0) AS types FROM (SELECT DISTINCT CAST(floor(doc_id / 2) AS BIGINT) AS pair FROM documents) AS q LEFT JOIN n ON q.pair IS NOT DISTINCT FROM n.pair)
+  SELECT span_id, 'pii_count' AS metric, CAST(n AS DOUBLE) AS value FROM c
+  UNION ALL SELECT span_id, 'pii_detected', CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FROM c
+  UNION ALL SELECT span_id, 'pii_distinct_types', CAST(types AS DOUBLE) FROM c""")
 def pii_safety_metrics(spark, sf_dir):
+    """Counts of the detections of all types, under the strict policy, in model calls over all documents."""
     return derive(document_pairs(spark, sf_dir), "safety").select("span_id", "metric", "value")
 
 
